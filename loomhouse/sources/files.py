@@ -41,10 +41,15 @@ def read_batch_dates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_wire_lines(spark: SparkSession, path: str, case_sensitive: bool = True) -> DataFrame:
-    """Lines of all quarterly wire files below ``path``, in one scan."""
+    """Lines of all quarterly wire files below ``path``, in one scan.
+
+    A file belongs when its stem has the quarterly name, or the folder it lies
+    in (a file set written in parts).
+    """
     pattern = FINWIRE_NAME if case_sensitive else "(?i)" + FINWIRE_NAME
     lines = spark.read.text(path, recursiveFileLookup=True)
-    return lines.where(file_stem().rlike(pattern)).select(F.col("value").alias("line"))
+    quarterly = file_stem().rlike(pattern) | parent_folder().rlike(pattern)
+    return lines.where(quarterly).select(F.col("value").alias("line"))
 
 
 def split_wire_lines(lines: DataFrame, line: str = "line") -> DataFrame:
