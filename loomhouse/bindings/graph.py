@@ -1 +1,632 @@
-"""Placeholder."""
+"""Lineage documents of orders, their graph, walks and audits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from loomhouse.bindings.history import TABLES
+from loomhouse.bindings.registry import query, stored, table
+from loomhouse.bindings.scripts import padded
+from loomhouse.lineage import graph as lg
+from loomhouse.lineage.audit import class_counts, edge_directions, run_difference, script_extract
+from loomhouse.lineage.closure import derivation_paths, reachable
+from loomhouse.lineage.documents import (
+    attach_scripts,
+    derivations,
+    parse_documents,
+    rejected_entries,
+    script_pipelines,
+    script_tables,
+    source_entries,
+)
+from loomhouse.lineage.identifiers import normalize_table, parse_column, rewrite_csv_call
+from loomhouse.lineage.retrieval import nearest, with_neighbours
+from loomhouse.sources.catalog import catalog_of
+
+
+def document_texts(spark, sf) -> DataFrame:
+    """One lineage document per order.
+
+    The target is a table of the ordering customer, so the documents of a
+    customer merge. Every tenth document is cut off and does not parse.
+    """
+    key = F.col("o_orderkey")
+    status, digit = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
+    own = F.concat(F.lit("c"), "o_custkey")
+    none = F.lit(None).cast("string")
+    paths = F.array(F.lit("s.price"))
+    side = "struct<identifier:string,path:array<string>>"
+
+    def source(identifier, role, kind=none, logic=none, notes=none, path=None, join=False):
+        empty = F.lit(None)
+        join_info = F.struct(
+            F.lit("INNER JOIN").alias("type"),
+            F.struct(F.lit("a.k").alias("identifier"), F.array(F.lit("k")).alias("path")).alias("left_source"),
+            F.struct(F.lit("b.k").alias("identifier"), F.array(F.lit("k")).alias("path")).alias("right_source"),
+        )
+        info = f"struct<type:string,left_source:{side},right_source:{side}>"
+        return F.struct(
+            identifier.alias("source_identifier"),
+            (paths if path else empty.cast("array<string>")).alias("path"),
+            F.lit(role).alias("role"),
+            (join_info if join else empty).cast(info).alias("join_info"),
+            kind.alias("transformation_type"), logic.alias("transformation_logic"),
+            notes.alias("notes"),
+        )
+
+    def column(kind, logic, *sources):
+        return F.struct(
+            F.array(*sources).alias("sources"), kind.alias("transformation_type"),
+            logic.alias("transformation_logic"), none.alias("notes"),
+        )
+
+    price = column(
+        F.lit("CAST"),
+        F.concat(F.lit("cast "), key),
+        source(F.concat(F.lit("wh.src_"), status, F.lit(".price")), "direct input",
+               notes=F.when(key % 2 == 0, F.concat(F.lit("n"), key)), path=True),
+        source(F.lit("stage.total"), "join key", F.lit("JOIN_LOOKUP"), join=True),
+    )
+    prio = column(
+        F.lit("DIRECT INPUT"),
+        F.when(digit == "1", F.lit("COPY from file")),
+        source(F.concat(F.lit("file.c"), digit), "direct input"),
+        source(F.lit("1"), "constant"),
+    )
+    mentions = F.array(
+        F.struct(F.lit("TABLE").alias("type"), F.concat(F.lit("wh.src_"), status).alias("name"),
+                 F.when(key % 3 == 0, F.concat(F.lit("a"), key)).alias("alias_or_cte")),
+        F.struct(F.when(status == "O", "CTE").otherwise("FILE").alias("type"),
+                 F.concat(F.lit("data\\in"), digit, F.lit("/p"), digit, F.lit(".csv")).alias("name"),
+                 none.alias("alias_or_cte")),
+    )
+    doc = F.to_json(
+        F.struct(
+            F.when(status == "P", own).otherwise(F.concat(F.lit("wh."), own)).alias("target_table"),
+            mentions.alias("sources_summary"),
+            F.create_map(F.lit("price"), price, F.lit("prio"), prio).alias("lineage"),
+        )
+    )
+    cut = F.when(key % 10 == 9, doc.substr(F.lit(1), F.length(doc) - 5)).otherwise(doc)
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("cust"), padded("o_custkey"), F.lit("_"), padded("o_orderkey"), F.lit(".json")).alias("name"),
+        cut.alias("content"),
+    )
+
+
+def script_map(spark, sf) -> DataFrame:
+    """A script per customer with positive balance, in its nation's pipeline."""
+    texts = table(spark, sf, "customer").where("c_acctbal > 0").select(
+        padded("c_custkey").alias("name"),
+        F.to_json(
+            F.create_map(
+                F.concat(F.lit("load_"), "c_nationkey"),
+                F.array(F.concat(F.lit("cust"), padded("c_custkey"), F.lit(".sql"))),
+            )
+        ).alias("content"),
+    )
+    return script_pipelines(texts)
+
+
+def documents(spark, sf) -> DataFrame:
+    """The documents with their script, loaded once and read by every query."""
+
+    def build():
+        parsed, _ = parse_documents(document_texts(spark, sf))
+        return attach_scripts(parsed, script_map(spark, sf))
+
+    return stored(spark, sf, "documents", build)
+
+
+def derived(spark, sf) -> DataFrame:
+    return stored(
+        spark, sf, "derivations", lambda: derivations(source_entries(documents(spark, sf)))
+    )
+
+
+def merged(spark, sf) -> DataFrame:
+    return stored(
+        spark, sf, "merged-derivations", lambda: lg.merged_derivations(derived(spark, sf))
+    )
+
+
+def io_columns(spark, sf) -> DataFrame:
+    return stored(spark, sf, "script-columns", lambda: lg.script_columns(derived(spark, sf)))
+
+
+def vertex_table(spark, sf) -> DataFrame:
+    return stored(spark, sf, "vertices", lambda: lg.vertices(documents(spark, sf)))
+
+
+def edge_table(spark, sf) -> DataFrame:
+    return stored(spark, sf, "edges", lambda: lg.edges(documents(spark, sf)))
+
+
+# The documents as rows: doc = parsed documents with a script, e = source entries.
+_DOCS_SQL = """
+    doc AS (
+        SELECT *, substr(o_orderpriority, 1, 1) AS digit,
+               CASE WHEN o_orderstatus = 'P' THEN 'main.c' ELSE 'wh.c' END || o_custkey AS target,
+               'cust' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '.sql' AS script,
+               'load_' || c_nationkey AS pipeline,
+               'cust' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '_'
+                   || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.json' AS file_name,
+               CASE WHEN o_orderstatus <> 'O' THEN 'data.in' || substr(o_orderpriority, 1, 1)
+               END AS fschema,
+               CASE WHEN o_orderstatus <> 'O' THEN 'p' || substr(o_orderpriority, 1, 1) || '.csv'
+               END AS ftable
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE o_orderkey % 10 <> 9 AND c_acctbal > 0),
+    e AS (
+        SELECT doc.*, 0 AS col_pos, 0 AS src_pos, target || '.price' AS tgt, 'wh' AS sschema,
+               'src_' || o_orderstatus AS stable, 'price' AS scol,
+               'CAST' AS transformation_type, 'cast ' || o_orderkey AS transformation_logic,
+               's.price' AS path, 'direct input' AS role, FALSE AS has_join,
+               CASE WHEN o_orderkey % 2 = 0 THEN 'n' || o_orderkey END AS notes FROM doc
+        UNION ALL
+        SELECT doc.*, 0, 1, target || '.price', 'main', 'stage', 'total', 'JOIN_LOOKUP',
+               'cast ' || o_orderkey, NULL, 'join key', TRUE, NULL FROM doc
+        UNION ALL
+        SELECT doc.*, 1, 0, target || '.prio', coalesce(fschema, 'main'), coalesce(ftable, 'file'),
+               'c' || digit, CASE WHEN digit = '1' THEN 'FILE_LOAD' ELSE 'DIRECT INPUT' END,
+               CASE WHEN digit = '1' THEN 'COPY from file' END, NULL, 'direct input', FALSE, NULL
+        FROM doc),
+    ed AS (SELECT *, sschema || '.' || stable || '.' || scol AS src FROM e)"""
+
+_MERGED_SQL = """
+    mg AS (
+        SELECT tgt AS target_column, src AS source_column,
+               arg_max(transformation_type, file_name) AS transformation_type,
+               arg_max(transformation_logic, file_name) AS transformation_logic,
+               arg_max(path, file_name) AS path, arg_max(role, file_name) AS role,
+               bool_or(has_join) AS has_join, arg_max(notes, file_name) AS notes
+        FROM ed GROUP BY ALL)"""
+
+
+@query(
+    "lineage_docs_parse",
+    """
+    SELECT 'cust' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '_'
+               || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.json' AS file_name,
+           CASE WHEN o_orderkey % 10 = 9 THEN NULL WHEN o_orderstatus = 'P' THEN 'main.c' || o_custkey
+                ELSE 'wh.c' || o_custkey END AS target,
+           CASE WHEN o_orderkey % 10 <> 9 THEN 2 END AS n_columns,
+           CASE WHEN o_orderkey % 10 <> 9 THEN 2 END AS n_sources,
+           o_orderkey % 10 = 9 AS rejected
+    FROM orders""",
+)
+def q_docs_parse(spark, sf):
+    parsed, rejects = parse_documents(document_texts(spark, sf))
+    good = parsed.select(
+        "file_name", "target", F.size("lineage").alias("n_columns"),
+        F.size("sources_summary").alias("n_sources"), F.lit(False).alias("rejected"),
+    )
+    bad = rejects.select("file_name", F.lit(True).alias("rejected"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@query(
+    "lineage_identifier_parse",
+    """
+    WITH i AS (SELECT o_orderkey, o_orderkey % 6 AS f, o_custkey AS k,
+                      o_orderstatus <> 'O' AS has_file FROM orders)
+    SELECT o_orderkey,
+           CASE f WHEN 0 THEN 's' || k WHEN 1 THEN 'main'
+                  WHEN 2 THEN CASE WHEN has_file THEN 'dir' ELSE 'main' END
+                  WHEN 3 THEN 'a.b' END AS schema_name,
+           CASE f WHEN 0 THEN 't' WHEN 1 THEN 't' || k
+                  WHEN 2 THEN CASE WHEN has_file THEN 'x.csv' ELSE 'file' END
+                  WHEN 3 THEN 'f' || k END AS table_name,
+           CASE f WHEN 0 THEN 'c' WHEN 1 THEN 'c' WHEN 2 THEN 'c' || k
+                  WHEN 3 THEN 'file_content' END AS column_name
+    FROM i""",
+)
+def q_identifier_parse(spark, sf):
+    """Three parts, two parts, file placeholder, quoted file, constant, missing."""
+    k, form = F.col("o_custkey"), F.col("o_orderkey") % 6
+    identifier = (
+        F.when(form == 0, F.concat(F.lit("s"), k, F.lit(".t.c")))
+        .when(form == 1, F.concat(F.lit("t"), k, F.lit(".c")))
+        .when(form == 2, F.concat(F.lit("file.c"), k))
+        .when(form == 3, F.concat(F.lit('"a.b.f'), k, F.lit('.csv"')))
+        .when(form == 4, F.concat(F.lit("constant_value_"), k))
+    )
+    file = F.when(
+        F.col("o_orderstatus") != "O",
+        F.struct(F.lit("dir").alias("schema"), F.lit("x.csv").alias("table")),
+    )
+    parsed = parse_column(identifier, file)
+    return table(spark, sf, "orders").select(
+        "o_orderkey", parsed["schema"].alias("schema_name"), parsed["table"].alias("table_name"),
+        parsed["column"].alias("column_name"),
+    )
+
+
+@query(
+    "lineage_table_normalize",
+    """
+    WITH i AS (SELECT o_orderkey, o_orderkey % 5 AS f, o_custkey AS k FROM orders)
+    SELECT o_orderkey,
+           CASE f WHEN 0 THEN 'src.da_ta.f' || k || '_old' WHEN 1 THEN 'main.t' || k
+                  WHEN 2 THEN 'wh.t' || k WHEN 3 THEN 'file_sources.src_b_h' || k
+                  ELSE '' END AS table_full_name
+    FROM i""",
+)
+def q_table_normalize(spark, sf):
+    """Quoted file, bare name, dotted name, csv call, missing name."""
+    k, form = F.col("o_custkey"), F.col("o_orderkey") % 5
+    name = (
+        F.when(form == 0, F.concat(F.lit('"src/da.ta\\f'), k, F.lit('.old.TXT"')))
+        .when(form == 1, F.concat(F.lit("t"), k))
+        .when(form == 2, F.concat(F.lit("wh.t"), k))
+        .when(form == 3, F.concat(F.lit("read_csv('/src/b\\h"), k, F.lit(".csv', header=False)")))
+    )
+    return table(spark, sf, "orders").select(
+        "o_orderkey", normalize_table(rewrite_csv_call(name)).alias("table_full_name")
+    )
+
+
+@query(
+    "lineage_edges_extract",
+    f"""
+    WITH {_DOCS_SQL}
+    SELECT file_name, script, tgt AS target_full, src AS source_full, col_pos, src_pos,
+           transformation_type, transformation_logic, path, role, has_join, notes FROM ed""",
+)
+def q_edges_extract(spark, sf):
+    return derived(spark, sf).select(
+        "file_name", "script", "target_full", "source_full", "col_pos", "src_pos",
+        "transformation_type", "transformation_logic", F.array_join("path", ",").alias("path"),
+        "role", F.contains("join_info", F.lit('"identifier":"a.k"')).isNotNull().alias("has_join"),
+        "notes",
+    )
+
+
+@query(
+    "lineage_rejects",
+    f"""
+    WITH {_DOCS_SQL}
+    SELECT file_name, script, target, 'prio' AS target_column, 1 AS src_pos,
+           '1' AS source_identifier FROM doc""",
+)
+def q_lineage_rejects(spark, sf):
+    return rejected_entries(source_entries(documents(spark, sf)))
+
+
+@query(
+    "lineage_vertices",
+    f"""
+    WITH {_DOCS_SQL},
+    m AS (
+        SELECT 'Pipeline' AS label, pipeline AS key, pipeline AS name, NULL AS type FROM doc
+        UNION SELECT 'Script', script, script, 'SQL' FROM doc
+        UNION SELECT 'Schema', split_part(target, '.', 1), split_part(target, '.', 1), NULL FROM doc
+        UNION SELECT 'Table', target, split_part(target, '.', 2), NULL FROM doc
+        UNION SELECT 'Column', tgt, split_part(tgt, '.', 3), NULL FROM ed
+        UNION SELECT 'Schema', sschema, sschema, NULL FROM ed
+        UNION SELECT 'Table', sschema || '.' || stable, stable,
+                     CASE WHEN ftable = stable THEN 'FILE' ELSE 'TABLE' END FROM ed
+        UNION SELECT 'Column', src, scol, NULL FROM ed)
+    SELECT * FROM m""",
+)
+def q_vertices(spark, sf):
+    return vertex_table(spark, sf)
+
+
+@query(
+    "lineage_edges_merge",
+    f"""
+    WITH {_DOCS_SQL}, {_MERGED_SQL} SELECT * FROM mg""",
+)
+def q_edges_merge(spark, sf):
+    return merged(spark, sf).select(
+        "target_column", "source_column", "transformation_type", "transformation_logic",
+        F.array_join("path", ",").alias("path"), "role",
+        F.col("join_info").isNotNull().alias("has_join"), "notes",
+    )
+
+
+@query(
+    "lineage_graph_edges",
+    f"""
+    WITH {_DOCS_SQL}
+    SELECT 'CONTAINS_SCRIPT' AS edge_type, pipeline AS src, script AS dst FROM doc
+    UNION SELECT 'IN_SCHEMA', target, split_part(target, '.', 1) FROM doc
+    UNION SELECT 'IN_SCHEMA', fschema || '.' || ftable, fschema FROM doc WHERE ftable IS NOT NULL
+    UNION SELECT 'IN_TABLE', tgt, target FROM ed
+    UNION SELECT 'IN_SCHEMA', sschema || '.' || stable, sschema FROM ed
+    UNION SELECT 'IN_TABLE', src, sschema || '.' || stable FROM ed
+    UNION SELECT 'DERIVED_FROM', tgt, src FROM ed
+    UNION SELECT 'READS_FROM', script, src FROM ed
+    UNION SELECT 'GENERATES', script, tgt FROM ed""",
+)
+def q_graph_edges(spark, sf):
+    return edge_table(spark, sf)
+
+
+@query(
+    "script_io_columns",
+    f"""
+    WITH {_DOCS_SQL}
+    SELECT script, 'READS_FROM' AS edge_type, src AS column FROM ed
+    UNION SELECT script, 'GENERATES', tgt FROM ed""",
+)
+def q_script_io_columns(spark, sf):
+    return io_columns(spark, sf)
+
+
+@query(
+    "script_io_tables",
+    f"""
+    WITH {_DOCS_SQL}
+    SELECT script, 'PRODUCES_OUTPUT_TABLE' AS edge_type, target AS table_full_name,
+           NULL AS alias_or_cte FROM doc GROUP BY ALL
+    UNION ALL
+    SELECT script, 'USES_INPUT_TABLE', 'wh.src_' || o_orderstatus,
+           arg_max('a' || o_orderkey, file_name) FILTER (WHERE o_orderkey % 3 = 0)
+    FROM doc GROUP BY ALL""",
+)
+def q_script_io_tables(spark, sf):
+    return script_tables(documents(spark, sf))
+
+
+@query(
+    "graph_schema_triples",
+    """
+    SELECT * FROM (VALUES ('Pipeline', 'CONTAINS_SCRIPT', 'Script'), ('Table', 'IN_SCHEMA', 'Schema'),
+        ('Column', 'IN_TABLE', 'Table'), ('Column', 'DERIVED_FROM', 'Column'),
+        ('Script', 'READS_FROM', 'Column'), ('Script', 'GENERATES', 'Column'))
+        t(from_label, edge_type, to_label)""",
+)
+def q_schema_triples(spark, sf):
+    return lg.schema_triples(edge_table(spark, sf), vertex_table(spark, sf))
+
+
+@query(
+    "graph_key_check",
+    """
+    SELECT 'Part' AS label, p_name AS key, count(*) AS n FROM part GROUP BY ALL HAVING n > 1
+    UNION ALL SELECT 'Order', CAST(l_orderkey AS VARCHAR), count(*) AS n FROM lineitem
+    GROUP BY ALL HAVING n > 1""",
+)
+def q_key_check(spark, sf):
+    """Part names, order keys and customer names as vertex keys; the last are unique."""
+
+    def keyed(t: str, label: str, key: str):
+        return table(spark, sf, t).select(
+            F.lit(label).alias("label"), F.col(key).cast("string").alias("key")
+        )
+
+    rows = (
+        keyed("part", "Part", "p_name")
+        .unionByName(keyed("lineitem", "Order", "l_orderkey"))
+        .unionByName(keyed("customer", "Customer", "c_name"))
+    )
+    return lg.duplicate_keys(rows)
+
+
+@query(
+    "edge_direction_audit",
+    """
+    SELECT l_returnflag AS f, l_linestatus AS s, l_orderkey, l_linenumber, l_partkey,
+           CASE WHEN l_linenumber IN (3, 6) THEN 'invalid' WHEN l_linenumber IN (2, 7) THEN 'flip'
+                ELSE 'ok' END AS verdict
+    FROM lineitem""",
+)
+def q_edge_direction(spark, sf):
+    """Lines as graph edges whose labels depend on the line number."""
+    forms = [
+        ("Table", "IN_SCHEMA", "Schema"),
+        ("Schema", "IN_SCHEMA", "Table"),
+        ("Script", "IN_SCHEMA", "Schema"),
+        ("", "READS_FROM", "Column"),
+        ("Column", "", "Column"),
+        ("Pipeline", "", "Column"),
+        ("Column", "GENERATES", ""),
+    ]
+    allowed = spark.createDataFrame(
+        [(a, t, b) for t, (a, b) in lg.EDGE_LABELS.items()],
+        "from_label string, edge_type string, to_label string",
+    )
+    pick = F.element_at(
+        F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(allowed.columns, f)]) for f in forms]),
+        F.col("l_linenumber"),
+    )
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("f"), F.col("l_linestatus").alias("s"), "l_orderkey",
+        "l_linenumber", "l_partkey", pick.alias("p"),
+    )
+    judged = edge_directions(rows.select("*", "p.*").drop("p"), allowed)
+    return judged.drop("from_label", "edge_type", "to_label")
+
+
+@query(
+    "lineage_taxonomy_rollup",
+    f"""
+    WITH {_DOCS_SQL}, {_MERGED_SQL},
+    c AS (SELECT regexp_replace(target_column, '\\.[^.]*$', '') AS table_full_name,
+                 CASE WHEN role = 'join key' THEN 'INDIRECT' ELSE 'DIRECT' END AS lineage_class,
+                 CASE WHEN role = 'join key' THEN 'Join' WHEN transformation_type = 'CAST'
+                      THEN 'Transformation' ELSE 'Identity' END AS lineage_subclass FROM mg)
+    SELECT *, count(*) AS n FROM c GROUP BY ALL""",
+)
+def q_taxonomy(spark, sf):
+    return class_counts(merged(spark, sf))
+
+
+@query(
+    "lineage_audit_extract",
+    f"""
+    WITH {_DOCS_SQL}, {_MERGED_SQL}
+    SELECT 'cust' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') || '.sql' AS script,
+           'SELECT ' || c_custkey AS sql_content, NULL AS source_column, NULL AS target_column,
+           NULL AS transformation_type, NULL AS transformation_logic
+    FROM customer WHERE c_acctbal > 0
+    UNION ALL
+    SELECT DISTINCT g.script, NULL, mg.source_column, mg.target_column, mg.transformation_type,
+           mg.transformation_logic
+    FROM mg JOIN ed g ON g.tgt = mg.target_column
+            JOIN ed r ON r.script = g.script AND r.src = mg.source_column
+    WHERE mg.transformation_type <> 'DIRECT INPUT'""",
+)
+def q_audit_extract(spark, sf):
+    texts = table(spark, sf, "customer").where("c_acctbal > 0").select(
+        F.concat(F.lit("cust"), padded("c_custkey"), F.lit(".sql")).alias("name"),
+        F.concat(F.lit("SELECT "), "c_custkey").alias("content"),
+    )
+    return script_extract(texts, io_columns(spark, sf), merged(spark, sf))
+
+
+@query(
+    "lineage_run_diff",
+    f"""
+    WITH {_DOCS_SQL}, {_MERGED_SQL},
+    b AS (SELECT target_column, source_column,
+                 CASE WHEN starts_with(target_column, 'main.') THEN lower(transformation_type)
+                      ELSE transformation_type END AS t
+          FROM mg WHERE source_column <> 'main.stage.total'
+          UNION ALL SELECT target_column, 'new.src.col', 'CAST' FROM mg WHERE role = 'join key'),
+    a AS (SELECT target_column, source_column, transformation_type AS t FROM mg)
+    SELECT coalesce(a.target_column, b.target_column) AS target_column,
+           coalesce(a.source_column, b.source_column) AS source_column,
+           CASE WHEN a.target_column IS NULL THEN 'added' WHEN b.target_column IS NULL THEN 'removed'
+                ELSE 'changed' END AS change
+    FROM a FULL JOIN b ON a.target_column = b.target_column AND a.source_column = b.source_column
+    WHERE a.target_column IS NULL OR b.target_column IS NULL OR a.t IS DISTINCT FROM b.t""",
+)
+def q_run_diff(spark, sf):
+    """A second run that renames one source and changes some types."""
+    before = merged(spark, sf)
+    kind = F.col("transformation_type")
+    after = before.withColumns(
+        {
+            "transformation_type": F.when(
+                F.col("target_column").startswith("main."), F.lower(kind)
+            ).otherwise(kind),
+        }
+    )
+    renamed = after.where(F.col("role") == "join key").withColumns(
+        {"source_column": F.lit("new.src.col"), "transformation_type": F.lit("CAST")}
+    )
+    after = after.where(F.col("role") != "join key").unionByName(renamed)
+    return run_difference(before, after, ["transformation_type"])
+
+
+_WALK_SQL = """
+    ed AS (
+        SELECT DISTINCT 'l' || l_orderkey || '.' || l_linenumber AS src, 'o' || l_orderkey AS dst
+        FROM lineitem
+        UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders
+        UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
+        UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation)"""
+
+
+def walk_edges(spark, sf) -> DataFrame:
+    """Lines derive from orders, orders from customers, and so on to regions."""
+
+    def step(t: str, src, dst):
+        return table(spark, sf, t).select(F.concat(*src).alias("src"), F.concat(*dst).alias("dst"))
+
+    p = F.lit
+    return (
+        step("lineitem", (p("l"), "l_orderkey", p("."), "l_linenumber"), (p("o"), "l_orderkey"))
+        .unionByName(step("orders", (p("o"), "o_orderkey"), (p("c"), "o_custkey")))
+        .unionByName(step("customer", (p("c"), "c_custkey"), (p("n"), "c_nationkey")))
+        .unionByName(step("nation", (p("n"), "n_nationkey"), (p("r"), "n_regionkey")))
+    )
+
+
+@query(
+    "lineage_upstream_paths",
+    f"""
+    WITH RECURSIVE {_WALK_SQL},
+    p AS (SELECT src AS start, src, dst, 1 AS depth, src || '>' || dst AS path FROM ed
+          WHERE starts_with(src, 'l')
+          UNION ALL
+          SELECT p.start, ed.src, ed.dst, p.depth + 1, p.path || '>' || ed.dst
+          FROM p JOIN ed ON ed.src = p.dst)
+    SELECT * FROM p""",
+)
+def q_upstream_paths(spark, sf):
+    edges = walk_edges(spark, sf)
+    starts = edges.where(F.col("src").startswith("l")).select(F.col("src").alias("node"))
+    paths = derivation_paths(edges, starts)
+    return paths.withColumn("path", F.array_join("path", ">"))
+
+
+@query(
+    "lineage_downstream_impact",
+    f"""
+    WITH RECURSIVE {_WALK_SQL},
+    p AS (SELECT dst AS start, src AS node, 1 AS depth FROM ed WHERE starts_with(dst, 'r')
+          UNION ALL
+          SELECT p.start, ed.src, p.depth + 1 FROM p JOIN ed ON ed.dst = p.node)
+    SELECT * FROM p""",
+)
+def q_downstream_impact(spark, sf):
+    """Everything that goes unfilled when a region is missing."""
+    flipped = walk_edges(spark, sf).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    regions = table(spark, sf, "region").select(
+        F.concat(F.lit("r"), "r_regionkey").alias("node")
+    )
+    return reachable(flipped, regions)
+
+
+@query(
+    "lineage_catalog_enrich",
+    """
+    SELECT 'tpch.' || table_name AS table_full_name,
+           'tpch.' || table_name || '.' || column_name AS column_full_name, column_name AS name,
+           CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+                WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+                WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
+                ELSE data_type END AS type,
+           CASE WHEN column_name = 'o_orderkey' THEN 'Primary Key: true' END AS description,
+           CAST(NULL AS VARCHAR) AS comment
+    FROM information_schema.columns
+    WHERE table_name IN ('customer', 'orders', 'lineitem', 'events')""",
+)
+def q_catalog_enrich(spark, sf):
+    """One document per order names the tables; the catalog covers all tables."""
+    picked = F.when(F.col("o_orderstatus") == "F", "tpch.orders").otherwise("tpch.customer")
+    doc = F.to_json(
+        F.struct(
+            picked.alias("target_table"),
+            F.array(
+                F.struct(F.lit("TABLE").alias("type"), F.lit("tpch.lineitem").alias("name")),
+                F.struct(F.lit("TABLE").alias("type"), F.lit("tpch.events").alias("name")),
+                F.struct(F.lit("TABLE").alias("type"), F.lit("gone").alias("name")),
+            ).alias("sources_summary"),
+        )
+    )
+    texts = table(spark, sf, "orders").select(
+        F.concat(padded("o_orderkey"), F.lit(".json")).alias("name"), doc.alias("content")
+    )
+    parsed, _ = parse_documents(texts)
+    catalog = catalog_of(
+        spark,
+        {f"tpch.{t}": table(spark, sf, t) for t in TABLES},
+        {"tpch.orders": ["o_orderkey"]},
+    )
+    return lg.enrich_columns(parsed, catalog)
+
+
+@query(
+    "vector_topk",
+    """
+    WITH q AS (SELECT embedding AS e FROM embeddings ORDER BY vec_id LIMIT 1),
+    s AS (SELECT vec_id, label, list_cosine_similarity(CAST(embedding AS DOUBLE[]),
+                 (SELECT CAST(e AS DOUBLE[]) FROM q)) AS score FROM embeddings)
+    SELECT vec_id, 'label ' || label AS neighbour, round(score, 6) AS score
+    FROM s ORDER BY s.score DESC, vec_id LIMIT 10""",
+)
+def q_vector_topk(spark, sf):
+    """The ten vectors nearest to the first one, with their label vertex."""
+    nodes = table(spark, sf, "embeddings")
+    question = nodes.orderBy("vec_id").select("embedding").first()["embedding"]
+    found = nearest(nodes, question, 10, "vec_id", "embedding")
+    edges = nodes.select(
+        F.col("vec_id").alias("src"), F.concat(F.lit("label "), "label").alias("dst")
+    )
+    return with_neighbours(found, edges, "vec_id").withColumn("score", F.round("score", 6))

@@ -92,17 +92,25 @@ def mapping_pairs(texts: DataFrame) -> DataFrame:
     )
 
 
-def resolve_scripts(stems: DataFrame, scripts: DataFrame, stem: str = "stem") -> DataFrame:
+def resolve_scripts(
+    stems: DataFrame, scripts: DataFrame, stem: str = "stem", spread: list[str] | None = None
+) -> DataFrame:
     """Add ``script`` and ``pipeline`` to the stems that belong to a script.
 
     A stem is its script's name, or else starts with the script's name without
     ``.sql``; the first such script in mapping order wins. Stems without script
     are left out. The prefix test is an equi join on the prefixes of the stem.
     """
-    known = scripts.select("script", "pipeline", "position")
+    names = scripts.select(
+        "script", "pipeline", "position",
+        F.explode(
+            F.array(
+                F.struct(F.col("script").alias("_prefix"), F.lit(0).alias("_rank")),
+                F.struct(F.regexp_replace("script", r"\.sql", "").alias("_prefix"), F.lit(1).alias("_rank")),
+            )
+        ).alias("n"),
+    ).select("n.*", "script", "pipeline", "position")
     candidates = stems.select(F.col(stem).alias("_stem")).distinct()
-    exact = known.select(F.col("script").alias("_prefix"), "script", "pipeline", "position")
-    short = known.withColumn("_prefix", F.regexp_replace("script", r"\.sql", ""))
     prefixes = candidates.select(
         "_stem",
         F.explode(
@@ -112,26 +120,25 @@ def resolve_scripts(stems: DataFrame, scripts: DataFrame, stem: str = "stem") ->
             )
         ).alias("_prefix"),
     )
-    hits = (
-        salted_join(candidates.withColumn("_prefix", F.col("_stem")), exact, ["_prefix"])
-        .withColumn("_rank", F.lit(0))
-        .unionByName(
-            salted_join(prefixes, short.select("_prefix", "script", "pipeline", "position"), ["_prefix"])
-            .withColumn("_rank", F.lit(1))
-        )
-    )
+    hits = salted_join(
+        prefixes, names, ["_prefix"],
+        extra=(F.col("_rank") == 1) | (F.col("_stem") == F.col("_prefix")),
+    )
     best = hits.groupBy("_stem").agg(
         F.min_by(F.struct("script", "pipeline"), F.struct("_rank", "position")).alias("s")
     )
     return salted_join(
-        stems, best.select(F.col("_stem").alias(stem), "s.script", "s.pipeline"), [stem]
+        stems,
+        best.select(F.col("_stem").alias(stem), "s.script", "s.pipeline"),
+        [stem],
+        spread=spread,
     )
 
 
 def attach_scripts(documents: DataFrame, scripts: DataFrame) -> DataFrame:
     """Documents with their script and pipeline; others are left out."""
     stems = documents.withColumn("stem", F.regexp_replace("file_name", r"\.json$", ""))
-    return resolve_scripts(stems, scripts).drop("stem")
+    return resolve_scripts(stems, scripts, spread=["file_name"]).drop("stem")
 
 
 def target_columns(documents: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,21 +16,17 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def nearest(
-    nodes: DataFrame, question: DataFrame, k: int, node: str = "node", vector: str = "vector"
+    nodes: DataFrame, question: list[float], k: int, node: str = "node", vector: str = "vector"
 ) -> DataFrame:
     """The ``k`` nodes most similar to one question vector, by cosine.
 
-    ``question`` is a frame of one row and one array column. Scores are
-    computed where the nodes are; each task keeps its best ``k``. Ties go to
-    the smaller node.
+    Scores are computed where the nodes are; each task keeps its best ``k``.
+    Ties go to the smaller node.
     """
-    q = F.col(question.columns[0])
-    asked = question.select(
-        F.struct(q.alias("vector"), F.sqrt(_dot(q, q)).alias("norm")).alias("q")
-    ).scalar()
+    asked = F.array(*[F.lit(float(x)) for x in question])
     v = F.col(vector)
-    norms = F.sqrt(_dot(v, v)) * asked["norm"]
-    scored = nodes.select(node, (_dot(v, asked["vector"]) / norms).alias("score"))
+    norms = F.sqrt(_dot(v, v)) * math.sqrt(sum(float(x) ** 2 for x in question))
+    scored = nodes.select(node, (_dot(v, asked) / norms).alias("score"))
     return scored.orderBy(F.desc("score"), node).limit(k)
 
 

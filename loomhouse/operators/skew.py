@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 2_000_000
 # Upper bound on the number of keys treated as hot, hence on the broadcast.
 MAX_HOT_KEYS = 10_000
+# A side below this size needs no balancing.
+ONE_TASK_BYTES = 64 * 1024 * 1024
 # Tasks that share rows whose key is null (they match nothing).
 NULL_KEY_SALTS = 256
 
@@ -24,16 +26,23 @@ def hot_keys(
     never has more than ``MAX_HOT_KEYS`` rows and is safe to broadcast.
     """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = df.agg(
-        F.greatest(
-            F.lit(rows_per_task), F.ceil(F.count(F.lit(1)) / F.lit(MAX_HOT_KEYS))
-        ).cast("long")
+    limit = counts.agg(
+        F.greatest(F.lit(rows_per_task), F.ceil(F.sum("_rows") / F.lit(MAX_HOT_KEYS))).cast("long")
     ).scalar()
     return counts.where(F.col("_rows") > limit).select(
         *on, F.ceil(F.col("_rows") / limit).cast("int").alias("_salts")
     )
 
 
+def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
+    """Whether the planner's size of ``df`` is below what one task reads.
+
+    Reads file sizes only, no data; derived frames tend to be overestimated.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -42,17 +51,25 @@ def salted_join(
     extra: Column | None = None,
     profile: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    spread: list[str] | None = None,
+    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Equi join whose left side may be dominated by a few keys.
 
-    Left rows of a hot key are spread by a hash of the whole row over as many
-    salts as the key needs; the matching right rows are repeated once per salt.
+    Left rows of a hot key are spread by a hash of the row (of the ``spread``
+    columns, if given) over as many salts as the key needs; the matching right
+    rows are repeated once per salt.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; ``extra``
     is a residual condition over the two sides. ``profile`` is a cheaper frame
-    with the key distribution of ``left`` (its base table, say).
+    with the key distribution of ``left`` (its base table, say). A left side
+    that one task can hold is joined as it is.
     """
-    hot = F.broadcast(hot_keys(profile if profile is not None else left, on, rows_per_task))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    sized = profile if profile is not None else left
+    if fits_one_task(sized, one_task_bytes):
+        return _join(left, right, on, how, extra)
+    hot = F.broadcast(hot_keys(sized, on, rows_per_task))
+    hashed = spread or [c for c, t in left.dtypes if "map<" not in t]
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     salted_left = (
         left.join(hot, on, "left")
@@ -73,14 +90,17 @@ def salted_join(
         )
         .drop("_salts")
     )
-    keys = [*on, "_salt"]
+    return _join(salted_left, salted_right, [*on, "_salt"], how, extra).drop("_salt")
+
+
+def _join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, extra: Column | None
+) -> DataFrame:
     if extra is None:
-        return salted_left.join(salted_right, keys, how).drop("_salt")
-    marked = salted_right.select(
+        return left.join(right, keys, how)
+    marked = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys],
-        *[c for c in salted_right.columns if c not in keys],
+        *[c for c in right.columns if c not in keys],
     )
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in keys])
-    return salted_left.join(marked, same & extra, how).drop(
-        "_salt", *[f"_r_{k}" for k in keys]
-    )
+    return left.join(marked, same & extra, how).drop(*[f"_r_{k}" for k in keys])

@@ -46,8 +46,7 @@ def compare(spark, con, sf: str, name: str, queries, oracles) -> str | None:
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     if len(got) != len(want):
-        extra = [g for g in got if g not in set(want)][:3]
-        lost = [w for w in want if w not in set(got)][:3]
+        extra, lost = list(set(got) - set(want))[:3], list(set(want) - set(got))[:3]
         return f"rows {len(got)} != {len(want)}; extra {extra}; lost {lost}"
     bad = [(g, w) for g, w in zip(got, want) if g != w]
     if bad:
