@@ -22,10 +22,16 @@ from loomhouse.lineage.documents import (
 )
 from loomhouse.lineage.identifiers import normalize_table, parse_column, rewrite_csv_call
 from loomhouse.lineage.retrieval import nearest, with_neighbours
+from loomhouse.session import spread_out
 from loomhouse.sources.catalog import catalog_of
 
 
 def document_texts(spark, sf) -> DataFrame:
+    """The document files, written once."""
+    return stored(spark, sf, "document-texts", lambda: _document_texts(spark, sf))
+
+
+def _document_texts(spark, sf) -> DataFrame:
     """One lineage document per order.
 
     The target is a table of the ordering customer, so the documents of a
@@ -89,7 +95,7 @@ def document_texts(spark, sf) -> DataFrame:
         )
     )
     cut = F.when(key % 10 == 9, doc.substr(F.lit(1), F.length(doc) - 5)).otherwise(doc)
-    return table(spark, sf, "orders").select(
+    return spread_out(table(spark, sf, "orders")).select(
         F.concat(F.lit("cust"), padded("o_custkey"), F.lit("_"), padded("o_orderkey"), F.lit(".json")).alias("name"),
         cut.alias("content"),
     )
@@ -116,7 +122,7 @@ def documents(spark, sf) -> DataFrame:
         parsed, _ = parse_documents(document_texts(spark, sf))
         return attach_scripts(parsed, script_map(spark, sf))
 
-    return stored(spark, sf, "documents", build)
+    return spread_out(stored(spark, sf, "documents", build))
 
 
 def derived(spark, sf) -> DataFrame:
@@ -526,7 +532,9 @@ def walk_edges(spark, sf) -> DataFrame:
     """Lines derive from orders, orders from customers, and so on to regions."""
 
     def step(t: str, src, dst):
-        return table(spark, sf, t).select(F.concat(*src).alias("src"), F.concat(*dst).alias("dst"))
+        return spread_out(table(spark, sf, t)).select(
+            F.concat(*src).alias("src"), F.concat(*dst).alias("dst")
+        )
 
     p = F.lit
     return (

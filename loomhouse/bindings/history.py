@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomhouse.bindings.registry import query, table, text
+from loomhouse.bindings.registry import query, stored, table, text
 from loomhouse.operators.aggregates import (
     daily_total,
     row_audit,
@@ -34,10 +34,15 @@ def _sql_versions(name: str, kind: str) -> str:
 
 
 def versions_of(spark, sf, kind: str) -> DataFrame:
-    changes = table(spark, sf, "events").where(F.col("event_type") == kind)
-    return scd2_build(changes, ["user_id"], "ts", ["event_id"], ["event_id", "value"]).drop(
-        "iscurrent"
-    )
+    """The versions of one event type, stored like a dimension."""
+
+    def build():
+        changes = table(spark, sf, "events").where(F.col("event_type") == kind)
+        return scd2_build(
+            changes, ["user_id"], "ts", ["event_id"], ["event_id", "value"]
+        ).drop("iscurrent")
+
+    return stored(spark, sf, f"versions-{kind}", build)
 
 
 def _filled(spark, sf, fill: str | None) -> DataFrame:

@@ -15,7 +15,7 @@ from loomhouse.lineage.reviews import (
     usage_rows,
 )
 from loomhouse.operators.aggregates import usage_stats
-from loomhouse.session import fresh_folder
+from loomhouse.session import fresh_folder, spread_out
 from loomhouse.sources.files import read_whole_texts
 
 
@@ -82,7 +82,7 @@ def q_script_pipeline_resolve(spark, sf):
 
 def dependency_texts(spark, sf):
     """Orders need their customer and its nation, customers their nation, and so on."""
-    orders = table(spark, sf, "orders").join(
+    orders = spread_out(table(spark, sf, "orders")).join(
         table(spark, sf, "customer").select("c_custkey", "c_nationkey"),
         F.col("o_custkey") == F.col("c_custkey"),
     )
@@ -232,7 +232,7 @@ def review_texts(spark, sf):
     second = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit('{\n "x": [oops\n}')).otherwise(
         F.lit('{\n "x": ["a.b.sql is fine"],\n "y": null\n}')
     )
-    return table(spark, sf, "orders").select(
+    return spread_out(table(spark, sf, "orders")).select(
         padded("o_orderkey").alias("name"),
         F.concat(
             cust, F.lit(":\n"), first,

@@ -10,7 +10,7 @@ from loomhouse.functions import fixed_width as fw
 from loomhouse.functions import labels
 from loomhouse.plans.warehouse import stage_customers, stage_prospects
 from loomhouse.schemas import CUSTOMER_EXTRACT, HR_FILE, PROSPECT_FILE, TRADE_FILE
-from loomhouse.session import fresh_folder
+from loomhouse.session import fresh_folder, spread_out
 from loomhouse.sources.files import (
     read_batch_dates,
     read_delimited,
@@ -243,7 +243,7 @@ def financial_source(spark, sf) -> DataFrame:
     suppliers = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("company"), "s_name"
     )
-    reported = table(spark, sf, "orders").withColumn("company", F.col("o_custkey") % 8)
+    reported = spread_out(table(spark, sf, "orders")).withColumn("company", F.col("o_custkey") % 8)
     at = F.to_date("o_orderdate")
     price = F.col("o_totalprice")
     return reported.join(suppliers, "company").select(
@@ -373,7 +373,8 @@ def action_log(spark, sf) -> DataFrame:
         F.min(F.struct("o_orderdate", "o_orderkey"))["o_orderkey"].alias("first_key")
     )
     rows = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        spread_out(orders)
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(firsts, "o_custkey")
         .withColumn("is_new", F.col("o_orderkey") == F.col("first_key"))
     )

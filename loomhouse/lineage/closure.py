@@ -24,7 +24,7 @@ def derivation_paths(edges: DataFrame, starts: DataFrame, node: str = "node") ->
     edge, so cycles end. Each level is written before the next is formed, so
     plans stay flat and a lost executor costs one level.
     """
-    step = edges.select("src", "dst").distinct()
+    step = materialize(edges.select("src", "dst").distinct(), "edges")
     first = salted_join(
         step, starts.select(F.col(node).alias("src")).distinct(), ["src"], "left_semi"
     ).select(
@@ -63,7 +63,7 @@ def reachable(edges: DataFrame, starts: DataFrame, node: str = "node") -> DataFr
     Keeps the set of reached pairs, so every pair is expanded once, also on
     cyclic graphs. The start itself is reported only if a cycle leads back.
     """
-    step = edges.select("src", "dst").distinct()
+    step = materialize(edges.select("src", "dst").distinct(), "edges")
     frontier = materialize(
         starts.select(F.col(node).alias("start"), F.col(node).alias("node")).distinct(),
         "frontier",

@@ -13,6 +13,7 @@ from loomhouse.lineage.identifiers import (
     split_table,
 )
 from loomhouse.operators.skew import salted_join
+from loomhouse.session import materialize
 
 # Document structure.
 _SIDE = "struct<identifier:string,path:array<string>>"
@@ -33,16 +34,19 @@ def parse_documents(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents and rejects from ``(name, content)`` rows.
 
     A document keeps its file name, and its ``read_csv`` source names are
-    rewritten to file names. Malformed JSON goes to the rejects.
+    rewritten to file names. Malformed JSON goes to the rejects. The parsed
+    rows are written once, so no text is parsed again by what follows.
     """
-    parsed = texts.select(
-        F.col("name").alias("file_name"),
-        "content",
-        F.from_json(
-            "content",
-            DOCUMENT_SCHEMA,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
-        ).alias("d"),
+    parsed = materialize(
+        texts.select(
+            F.col("name").alias("file_name"),
+            F.from_json(
+                "content",
+                DOCUMENT_SCHEMA,
+                {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
+            ).alias("d"),
+        ),
+        "parsed-documents",
     )
     broken = F.col("d").isNull() | F.col("d._corrupt").isNotNull()
     renamed = F.transform(
@@ -66,7 +70,8 @@ def parse_documents(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .withColumn("target", normalize_table(F.col("target_table")))
     )
-    return documents, parsed.where(broken).select("file_name", "content")
+    rejects = parsed.where(broken).select("file_name", F.col("d._corrupt").alias("content"))
+    return documents, rejects
 
 
 def script_pipelines(mapping_texts: DataFrame) -> DataFrame:
@@ -99,7 +104,8 @@ def resolve_scripts(
 
     A stem is its script's name, or else starts with the script's name without
     ``.sql``; the first such script in mapping order wins. Stems without script
-    are left out. The prefix test is an equi join on the prefixes of the stem.
+    are left out. The prefix test is an equi join on the prefixes of the stem
+    that are as long as some script name.
     """
     names = scripts.select(
         "script", "pipeline", "position",
@@ -111,14 +117,12 @@ def resolve_scripts(
         ).alias("n"),
     ).select("n.*", "script", "pipeline", "position")
     candidates = stems.select(F.col(stem).alias("_stem")).distinct()
-    prefixes = candidates.select(
-        "_stem",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.length("_stem")),
-                lambda n: F.substring(F.col("_stem"), F.lit(1), n),
-            )
-        ).alias("_prefix"),
+    # as many lengths as file names can have
+    lengths = names.agg(F.collect_set(F.length("_prefix"))).scalar()
+    prefixes = (
+        candidates.select("_stem", F.explode(lengths).alias("_n"))
+        .where(F.col("_n") <= F.length("_stem"))
+        .select("_stem", F.substring("_stem", F.lit(1), F.col("_n")).alias("_prefix"))
     )
     hits = salted_join(
         prefixes, names, ["_prefix"],

@@ -15,6 +15,7 @@ from loomhouse.lineage.documents import (
 )
 from loomhouse.lineage.identifiers import split_table
 from loomhouse.operators.skew import salted_join
+from loomhouse.session import materialize
 
 # Unique key of each vertex label and the labels an edge joins.
 VERTEX_KEYS = {
@@ -196,7 +197,7 @@ def dependency_edges(
     )
     if last_only:
         pairs = pairs.groupBy("src").agg(F.max_by("dst", "position").alias("dst"))
-    pairs = pairs.select("src", "dst").distinct()
+    pairs = materialize(pairs.select("src", "dst").distinct(), "dependencies")
     known = names.select(name).distinct()
     both = salted_join(pairs, known.select(F.col(name).alias("src")), ["src"], "left_semi")
     return salted_join(both, known.select(F.col(name).alias("dst")), ["dst"], "left_semi")

@@ -186,7 +186,7 @@ def build_customer(
         {"nat_tx_id": "national_", "lcl_tx_id": "local_"}, ["tx_name", "tx_rate"],
     )
     found = match_people(
-        taxed, prospects, ["lastname", "firstname", "addressline1", "postalcode"],
+        materialize(taxed, "customer-versions"), prospects, ["lastname", "firstname", "addressline1", "postalcode"],
         ["addressline2"], True, ["agencyid", "creditrating", "networth", "marketingnameplate"],
     )
     start = 2 if existing is None else next_dense_start(existing, "sk_customerid")
@@ -212,7 +212,10 @@ def build_security(wire: DataFrame, companies: DataFrame, batch: int = 1) -> Dat
         "status", labels.map_code(F.col("status"), labels.STATUS_LABELS)
     ).withColumn("key", F.coalesce(F.col("key").try_cast("bigint").cast("string"), "key"))
     attrs = [c for c in rows.columns if c not in ("symbol", "recdate")]
-    versions = scd2_build(rows, ["symbol"], "recdate", attrs, attrs).drop("iscurrent")
+    versions = materialize(
+        scd2_build(rows, ["symbol"], "recdate", attrs, attrs).drop("iscurrent"),
+        "security-versions",
+    )
     issuers = expand_names(
         companies.select("sk_companyid", "companyid", "name", "effectivedate", "enddate"),
         "companyid", "name", "key",
@@ -249,8 +252,12 @@ def build_account(
         fill=fill, filled=[a for a in attrs if a != "customerid"],
     ).drop("iscurrent")
     owners = customers.select("customerid", "sk_customerid", "effectivedate", "enddate")
-    cut = overlap_join(versions, owners, ["customerid"], how="left")
-    managed = salted_join(cut, brokers.select("brokerid", "sk_brokerid"), ["brokerid"])
+    cut = overlap_join(
+        materialize(versions, "account-versions"), owners, ["customerid"], how="left"
+    )
+    managed = salted_join(
+        cut, brokers.select("brokerid", "sk_brokerid"), ["brokerid"], profile=changes
+    )
     out = managed.select(
         composite_key("effectivedate", "accountid"), "accountid", "sk_brokerid",
         "sk_customerid", "accountdesc", "taxstatus", "status",
