@@ -200,7 +200,8 @@ def dependency_edges(
     pairs = materialize(pairs.select("src", "dst").distinct(), "dependencies")
     known = names.select(name).distinct()
     both = salted_join(pairs, known.select(F.col(name).alias("src")), ["src"], "left_semi")
-    return salted_join(both, known.select(F.col(name).alias("dst")), ["dst"], "left_semi")
+    found = salted_join(both, known.select(F.col(name).alias("dst")), ["dst"], "left_semi")
+    return found.select("src", "dst")
 
 
 def schema_triples(edge_rows: DataFrame, vertex_rows: DataFrame) -> DataFrame:

@@ -39,4 +39,5 @@ def session_catalog(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     return {
         f"{database}.{t.name}": spark.table(f"{database}.{t.name}")
         for t in spark.catalog.listTables(database)
+        if not t.isTemporary
     }
