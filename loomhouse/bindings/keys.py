@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomhouse.bindings.registry import query, table, text
+from loomhouse.bindings.registry import query, stamp, table, text
 from loomhouse.functions import labels
 from loomhouse.operators.joins import match_people, role_lookup
 from loomhouse.operators.keys import (
@@ -283,7 +283,7 @@ _OPENS = "(s = 'SBMT' AND t IN ('TMB', 'TMS') OR s = 'PNDG')"
 def q_trade_event_split(spark, sf):
     status = labels.map_code(F.col("event_type"), _EVENT_STATUS)
     kind = F.when(F.col("value") < 50, "TMB").when(F.col("value") < 100, "TMS").otherwise("TLB")
-    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    at = stamp("ts")
     return table(spark, sf, "events").select(
         "event_id",
         labels.created_at(status, kind, at).alias("created"),

@@ -34,6 +34,11 @@ def text(c: str) -> Column:
     return F.col(c).cast("string").alias(c)
 
 
+def stamp(c: str) -> Column:
+    """A zone-free timestamp as text up to the second."""
+    return F.substring(F.col(c).cast("string"), 1, 19).alias(c)
+
+
 # Tables already written by this application: a target is loaded once and read
 # by the targets behind it.
 _STORED: dict[tuple[str, str, str], DataFrame] = {}

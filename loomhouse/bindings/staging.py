@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomhouse.bindings.registry import query, table, text
+from loomhouse.bindings.registry import query, stamp, table, text
 from loomhouse.functions import fixed_width as fw
 from loomhouse.functions import labels
 from loomhouse.plans.warehouse import stage_customers, stage_prospects
@@ -116,7 +116,7 @@ def q_trade_stage(spark, sf):
         (F.col("o_custkey") % 1000).cast("string")
     )
     rows = table(spark, sf, "orders").select(
-        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "o_orderstatus",
+        "o_orderkey", stamp("o_orderdate"), "o_orderstatus",
         F.lit("TMB"), F.lit(1), F.lit("SYM"), bad, "o_totalprice", "o_custkey", F.lit("Jo"),
         "o_totalprice", F.lit(0.5), F.lit(0.25), F.lit(0.0),
     )
@@ -124,7 +124,7 @@ def q_trade_stage(spark, sf):
     trades = read_delimited(spark, write_delimited(positional, "Trade.txt"), TRADE_FILE)
     return trades.select(
         "tradeid",
-        F.date_format("t_dts", "yyyy-MM-dd HH:mm:ss").alias("t_dts"),
+        stamp("t_dts"),
         "status",
         "quantity",
         "bidprice",
@@ -390,9 +390,9 @@ def action_log(spark, sf) -> DataFrame:
 
     nested = rows.select(
         action.alias("_ActionType"),
-        F.date_format(
-            F.timestamp_add("SECOND", order % 86400, F.col("o_orderdate")),
-            "yyyy-MM-dd'T'HH:mm:ss",
+        F.replace(
+            (F.col("o_orderdate") + F.make_dt_interval(secs=(order % 86400).cast("decimal(18,6)"))).cast("string"),
+            F.lit(" "), F.lit("T"),
         ).alias("_ActionTS"),
         F.struct(
             key.cast("string").alias("_C_ID"),
@@ -510,12 +510,7 @@ def q_xml_action_flatten(spark, sf):
 )
 def q_customer_stage(spark, sf):
     staged = stage_customers(action_log(spark, sf))
-    return staged.withColumns(
-        {
-            "dob": F.col("dob").cast("string"),
-            "update_ts": F.date_format("update_ts", "yyyy-MM-dd HH:mm:ss"),
-        }
-    )
+    return staged.withColumns({"dob": text("dob"), "update_ts": stamp("update_ts")})
 
 
 @query(

@@ -67,7 +67,7 @@ def split_wire_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     ).otherwise(kind)
     return lines.select(
         rectype.alias("rectype"),
-        F.try_to_timestamp(F.substring(text, 1, 8), F.lit("yyyyMMdd")).cast("date").alias("recdate"),
+        F.try_to_date(F.substring(text, 1, 8), "yyyyMMdd").alias("recdate"),
         text.substr(F.lit(19), F.length(text)).alias("value"),
     )
 
