@@ -34,6 +34,10 @@ def text(c: str) -> Column:
     return F.col(c).cast("string").alias(c)
 
 
+def row_count(df: DataFrame) -> Column:
+    return df.agg(F.count(F.lit(1))).scalar()
+
+
 def stamp(c: str) -> Column:
     """A zone-free timestamp as text up to the second."""
     return F.substring(F.col(c).cast("string"), 1, 19).alias(c)

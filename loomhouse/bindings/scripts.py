@@ -45,13 +45,13 @@ _MAPPING_SQL = """
                  min(c_custkey * 2 + p) AS position FROM m GROUP BY script)"""
 
 
-@query("script_to_pipeline_map", f"WITH {_MAPPING_SQL} SELECT script, pipeline FROM s")
-def q_script_to_pipeline(spark, sf):
+@query("script_mapping_invert", f"WITH {_MAPPING_SQL} SELECT script, pipeline FROM s")
+def q_mapping_invert(spark, sf):
     return script_pipelines(mapping_texts(spark, sf)).select("script", "pipeline")
 
 
 @query(
-    "script_pipeline_resolve",
+    "script_name_resolve",
     f"""
     WITH {_MAPPING_SQL},
     st AS (SELECT o_orderkey,
@@ -67,7 +67,7 @@ def q_script_to_pipeline(spark, sf):
              FROM hit GROUP BY stem)
     SELECT o_orderkey, stem, script, pipeline FROM st JOIN best USING (stem)""",
 )
-def q_script_pipeline_resolve(spark, sf):
+def q_script_name_resolve(spark, sf):
     """Order-shaped file stems: exact names, prefixes, and unknown ones."""
     cust = F.concat(F.lit("cust"), "o_custkey")
     stem = (
@@ -148,14 +148,14 @@ def q_dependency_edges_last(spark, sf):
 
 
 @query(
-    "pipeline_load_order",
+    "load_order_levels",
     """
     SELECT 'o' || o_orderkey AS pipeline, 3 AS level FROM orders
     UNION ALL SELECT 'c' || c_custkey, 2 FROM customer
     UNION ALL SELECT 'n' || n_nationkey, 1 FROM nation
     UNION ALL SELECT 'r' || r_regionkey, 0 FROM region""",
 )
-def q_pipeline_load_order(spark, sf):
+def q_load_order_levels(spark, sf):
     names = pipeline_names(spark, sf)
     needs = dependency_edges(dependency_texts(spark, sf), names, "pipeline")
     return load_levels(needs, names, "pipeline").withColumnRenamed("node", "pipeline")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomhouse.bindings.registry import query, stamp, table, text
+from loomhouse.bindings.registry import query, row_count, stamp, table, text
 from loomhouse.functions import fixed_width as fw
 from loomhouse.functions import labels
 from loomhouse.plans.warehouse import stage_customers, stage_prospects
@@ -208,7 +208,7 @@ def security_source(spark, sf) -> DataFrame:
     suppliers = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("company"), "s_name"
     )
-    parts = table(spark, sf, "part").withColumn("company", key % 7)
+    parts = table(spark, sf, "part").withColumn("company", key % row_count(suppliers))
     issued = parts.join(suppliers, "company")
     return issued.select(
         F.date_add(F.lit("1994-03-01").cast("date"), (key % 700).cast("int")).alias("day"),
@@ -234,7 +234,7 @@ SECURITY_SQL = """
            DATE '1985-01-01' + p_size AS firsttradeonexchange, p_size / 4 AS dividend,
            CASE WHEN p_size % 2 = 0 THEN CAST(s_suppkey + 1 AS VARCHAR) ELSE s_name END AS k,
            s_suppkey
-    FROM part JOIN supplier ON p_partkey % 7 = s_suppkey"""
+    FROM part JOIN supplier ON p_partkey % (SELECT count(*) FROM supplier) = s_suppkey"""
 
 
 def financial_source(spark, sf) -> DataFrame:
@@ -243,7 +243,9 @@ def financial_source(spark, sf) -> DataFrame:
     suppliers = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("company"), "s_name"
     )
-    reported = spread_out(table(spark, sf, "orders")).withColumn("company", F.col("o_custkey") % 8)
+    reported = spread_out(table(spark, sf, "orders")).withColumn(
+        "company", F.col("o_custkey") % row_count(suppliers)
+    )
     at = F.to_date("o_orderdate")
     price = F.col("o_totalprice")
     return reported.join(suppliers, "company").select(
@@ -276,7 +278,7 @@ FINANCIAL_SQL = """
            CAST(o_orderkey + 0.25 AS DOUBLE) AS fi_liability,
            o_orderkey * 3 AS fi_out_basic, o_orderkey * 5 AS fi_out_dilut,
            s_suppkey, s_name, o_orderstatus, o_orderkey
-    FROM orders JOIN supplier ON o_custkey % 8 = s_suppkey"""
+    FROM orders JOIN supplier ON o_custkey % (SELECT count(*) FROM supplier) = s_suppkey"""
 
 
 def staged_wire(spark, sf) -> DataFrame:
