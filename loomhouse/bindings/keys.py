@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomhouse.bindings.registry import query, stamp, table, text
+from loomhouse.bindings.registry import query, sql_case, sql_list, stamp, table, text
 from loomhouse.functions import labels
 from loomhouse.operators.joins import match_people, role_lookup
 from loomhouse.operators.keys import (
@@ -19,15 +19,6 @@ from loomhouse.schemas import struct
 from loomhouse.sources.files import batch_number
 
 
-def _sql_case(column: str, codes: dict[str, str]) -> str:
-    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in codes.items())
-    return f"CASE {column} {arms} END"
-
-
-def _sql_list(values: list[str]) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
 @query(
     "company_key_normalize",
     """
@@ -217,11 +208,11 @@ _GRADES = labels.HIGH_GRADES + labels.LOW_GRADES
     "rating_classify",
     f"""
     WITH r AS (SELECT p_partkey,
-                      coalesce([{_sql_list(_GRADES)}][p_size], 'size ' || p_size) AS rating
+                      coalesce([{sql_list(_GRADES)}][p_size], 'size ' || p_size) AS rating
                FROM part)
-    SELECT p_partkey, CASE WHEN rating IN ({_sql_list(_GRADES)}) THEN rating END AS sprating,
-           CASE WHEN rating IN ({_sql_list(labels.HIGH_GRADES)}) THEN FALSE
-                WHEN rating IN ({_sql_list(labels.LOW_GRADES)}) THEN TRUE END AS islowgrade
+    SELECT p_partkey, CASE WHEN rating IN ({sql_list(_GRADES)}) THEN rating END AS sprating,
+           CASE WHEN rating IN ({sql_list(labels.HIGH_GRADES)}) THEN FALSE
+                WHEN rating IN ({sql_list(labels.LOW_GRADES)}) THEN TRUE END AS islowgrade
     FROM r""",
 )
 def q_rating_classify(spark, sf):
@@ -247,10 +238,10 @@ _ORDER_TYPES = {"1-URGENT": "TMB", "2-HIGH": "TMS", "3-MEDIUM": "TSL", "5-LOW":
 @query(
     "code_mapping",
     f"""
-    WITH o AS (SELECT o_orderkey, {_sql_case("o_orderstatus", _ORDER_CODES)} AS s,
-                      {_sql_case("o_orderpriority", _ORDER_TYPES)} AS t FROM orders)
-    SELECT o_orderkey, {_sql_case("s", labels.STATUS_LABELS)} AS status,
-           {_sql_case("t", labels.TRADE_TYPE_LABELS)} AS type FROM o""",
+    WITH o AS (SELECT o_orderkey, {sql_case("o_orderstatus", _ORDER_CODES)} AS s,
+                      {sql_case("o_orderpriority", _ORDER_TYPES)} AS t FROM orders)
+    SELECT o_orderkey, {sql_case("s", labels.STATUS_LABELS)} AS status,
+           {sql_case("t", labels.TRADE_TYPE_LABELS)} AS type FROM o""",
 )
 def q_code_mapping(spark, sf):
     status = labels.map_code(F.col("o_orderstatus"), _ORDER_CODES)
@@ -272,7 +263,7 @@ _OPENS = "(s = 'SBMT' AND t IN ('TMB', 'TMS') OR s = 'PNDG')"
     "trade_event_split",
     f"""
     WITH e AS (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS moment,
-                      {_sql_case("event_type", _EVENT_STATUS)} AS s,
+                      {sql_case("event_type", _EVENT_STATUS)} AS s,
                       CASE WHEN value < 50 THEN 'TMB' WHEN value < 100 THEN 'TMS'
                            ELSE 'TLB' END AS t FROM events)
     SELECT event_id,

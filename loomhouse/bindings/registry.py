@@ -43,6 +43,15 @@ def stamp(c: str) -> Column:
     return F.substring(F.col(c).cast("string"), 1, 19).alias(c)
 
 
+def sql_case(column: str, codes: dict[str, str]) -> str:
+    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in codes.items())
+    return f"CASE {column} {arms} END"
+
+
+def sql_list(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 # Tables already written by this application: a target is loaded once and read
 # by the targets behind it.
 _STORED: dict[tuple[str, str, str], DataFrame] = {}

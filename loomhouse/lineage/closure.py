@@ -40,7 +40,9 @@ def derivation_paths(edges: DataFrame, starts: DataFrame, node: str = "node") ->
             F.col("path").alias("_path"),
         )
         grown = salted_join(tips, step, ["src"])
-        walked = F.exists(
+        # an edge can only repeat where its start was passed before
+        passed = F.array_position("_path", F.col("src")) < F.size("_path")
+        walked = passed & F.exists(
             F.arrays_zip(
                 F.slice("_path", 1, F.size("_path") - 1).alias("a"),
                 F.slice("_path", 2, F.size("_path") - 1).alias("b"),

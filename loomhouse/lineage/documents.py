@@ -10,7 +10,6 @@ from loomhouse.lineage.identifiers import (
     normalize_table,
     parse_column,
     rewrite_csv_call,
-    split_table,
 )
 from loomhouse.operators.skew import salted_join
 from loomhouse.session import materialize
@@ -243,8 +242,3 @@ def script_tables(documents: DataFrame) -> DataFrame:
         .groupBy("script", "edge_type", "table_full_name")
         .agg(F.max_by(alias, F.when(alias.isNotNull(), F.col("seq"))).alias("alias_or_cte"))
     )
-
-
-def target_schema_table(documents: DataFrame) -> DataFrame:
-    schema, table = split_table(F.col("target"))
-    return documents.withColumns({"target_schema": schema, "target_name": table})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from loomhouse.operators import skew
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import compare, oracle_connection
 
@@ -21,6 +22,23 @@ def test_query_agrees_with_sql(spark, con, name):
     assert compare(spark, con, SF, name, QUERIES, ORACLES) is None
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "scd2_point_lookup", "account_customer_overlap", "security_company_overlap",
+        "financial_either_key", "cash_running_balance", "prospect_match",
+        "prospect_match_strict", "script_name_resolve", "script_registry",
+        "edge_direction_audit", "lineage_audit_extract", "lineage_upstream_paths",
+        "lineage_downstream_impact", "load_order_levels",
+    ],
+)
+def test_query_agrees_when_every_join_is_salted(spark, con, name, monkeypatch):
+    found = skew.hot_keys
+    monkeypatch.setattr(skew, "fits_one_task", lambda *_: False)
+    monkeypatch.setattr(skew, "hot_keys", lambda df, on, _: found(df, on, 20))
+    assert compare(spark, con, SF, name, QUERIES, ORACLES) is None
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
