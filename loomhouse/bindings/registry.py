@@ -57,8 +57,14 @@ def sql_list(values: list[str]) -> str:
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def stored(spark, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def stored(
+    spark,
+    sf: str,
+    name: str,
+    build: Callable[[], DataFrame],
+    partition_by: tuple[str, ...] = (),
+) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
-        _STORED[key] = materialize(build(), name)
+        _STORED[key] = materialize(build(), name, partition_by)
     return _STORED[key]

@@ -42,13 +42,16 @@ def spread_out(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(
+    df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()
+) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
     Cuts the lineage and pins values that would differ between two
-    evaluations of one plan (range-partition bounds, row positions).
+    evaluations of one plan (range-partition bounds, row positions). Filters
+    on the ``partition_by`` columns then skip whole folders.
     """
     spark = df.sparkSession
     folder = fresh_folder(spark, name)
-    df.write.parquet(folder)
+    df.write.parquet(folder, partitionBy=list(partition_by) or None)
     return spark.read.schema(df.schema).parquet(folder)
