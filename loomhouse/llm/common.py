@@ -25,7 +25,7 @@ _SHIFT = np.uint64(29)
 
 def mix(h: np.ndarray, value: np.ndarray | int) -> np.ndarray:
     """Fold ``value`` into the 64-bit hashes ``h``."""
-    out = (h ^ np.asarray(value, np.uint64)) * _MUL
+    out = np.multiply(h ^ np.asarray(value, np.uint64), _MUL)
     return out ^ (out >> _SHIFT)
 
 

@@ -19,7 +19,9 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +31,49 @@ from pyspark.sql import DataFrame
 from loomhouse.llm.common import mix, picked, small_batches
 
 MARK = "▁"
-VARIANTS = 8
+VARIANTS = 2
 _MASK = (1 << 64) - 1
+# A lone surrogate: no text holds one, so it can stand for a text's own space mark.
+_STAND_IN = "\ud800"
+_SHORT, _ROWS, _NONE = 40, 6_000, 1 << 30
+_TABLE, _SPREAD = 20, np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+def skipped(key, place, rank, limit: int):
+    """Whether the merge at ``place`` to the piece of ``rank`` is dropped."""
+    return (mix(mix(key, place), rank) >> np.uint64(32)) < np.uint64(limit)
+
+
+class _Parts(dict):
+    """Numbers of pieces and characters; those without a piece come behind."""
+
+    def __init__(self, ids: dict[str, int], size: int):
+        super().__init__(ids)
+        self.size, self.names = size, []
+
+    def __missing__(self, char: str) -> int:
+        number = self[char] = self.size + len(self.names)
+        self.names.append(char)
+        return number
+
+
+class _Written(dict):
+    """Ids of a final part: its piece, else its bytes.
+
+    A space mark of the text itself would decode to a space; it is written in
+    bytes.
+    """
+
+    def __init__(self, ids: dict[str, int], byte: dict[int, int]):
+        super().__init__((p, (i,)) for p, i in ids.items())
+        self.byte = byte
+
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        raw = MARK if part == _STAND_IN else part
+        return tuple(self.byte[b] for b in raw.encode())
+
+
 class Pieces:
     """Ids, scores and byte pieces of a model file."""
 
@@ -48,46 +88,68 @@ class Pieces:
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))
         ]
         self.id = {self.text[i]: i for i in plain}
-        self.score = {i: model.get_score(i) for i in plain}
         self.byte = {int(self.text[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.value = {i: b for b, i in self.byte.items()}
         if len(self.byte) != 256:
             raise ValueError("the model has no byte pieces, so it cannot encode every text")
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("the model has pieces across words")
-
-    def segment(self, chunk: str, key: int, limit: int) -> list[int]:
-        """Ids of one chunk; a merge whose hash is below ``limit`` is skipped.
-
-        A private-use stand-in marks a space mark of the text itself, which
-        would decode to a space: it is written in bytes.
-        """
+        best_first = sorted(plain, key=lambda i: -model.get_score(i))
+        self.rank = {self.text[i]: r for r, i in enumerate(best_first)}
+        self.by_rank = np.array(best_first)
+        self.size = size
+        self.part = _Parts(self.id, size)
+        self.written = _Written(self.id, self.byte)
+        self._hash_pairs()
+        self.raw = [
+            bytes([self.value[i]]) if i in self.value else t.replace(MARK, " ").encode()
+            for i, t in enumerate(self.text)
+        ]
+
+    def _hash_pairs(self) -> None:
+        """Open-addressed table of all pairs of parts that make a piece."""
+        made = {}
+        for piece, rank in self.rank.items():
+            for cut in range(1, len(piece)):
+                a, b = piece[:cut], piece[cut:]
+                if (a in self.id or cut == 1) and (b in self.id or cut == len(piece) - 1):
+                    made[(self.part[a] << 32) | self.part[b]] = rank
+        keys = np.array(list(made), np.int64)
+        slots = (keys.view(np.uint64) * _SPREAD) >> np.uint64(64 - _TABLE)
+        self.table_key = np.full((1 << _TABLE) + 64, -1, np.int64)
+        self.table_rank = np.full((1 << _TABLE) + 64, _NONE, np.int32)
+        self.steps = 1
+        for key, slot in zip(keys.tolist(), slots.tolist(), strict=True):
+            step = 0
+            while self.table_key[slot + step] != -1:
+                step += 1
+            self.table_key[slot + step], self.table_rank[slot + step] = key, made[key]
+            self.steps = max(self.steps, step + 1)
+
+    def segment(self, chunk: str, key: int, limit: int) -> bytes:
+        """Ids of one chunk, as 32-bit bytes; a merge whose hash is below ``limit`` is skipped."""
         parts = list(chunk)
         n = len(parts)
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        agenda: list[tuple[float, int, str]] = []
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        agenda: list[tuple[int, int, str]] = []
 
         def propose(left: int) -> None:
             right = after[left]
             if right < n:
                 joined = parts[left] + parts[right]
-                found = self.id.get(joined)
-                if found is not None:
-                    heapq.heappush(agenda, (-self.score[found], left, joined))
+                best = self.rank.get(joined)
+                if best is not None:
+                    heapq.heappush(agenda, (best, left, joined))
 
         for i in range(n - 1):
             propose(i)
         while agenda:
-            _, left, joined = heapq.heappop(agenda)
+            best, left, joined = heapq.heappop(agenda)
             right = after[left]
             if not parts[left] or right >= n or parts[left] + parts[right] != joined:
                 continue
-            if limit:
-                h = (key ^ (left * 0x9E3779B97F4A7C15) ^ (self.id[joined] * 0xC2B2AE3D27D4EB4F)) & _MASK
-                h = ((h ^ (h >> 31)) * 0xD6E8FEB86659FD93) & _MASK
-                if (h >> 32) < limit:
-                    continue
+            if limit and skipped(np.uint64(key), np.uint64(left), np.uint64(best), limit):
+                continue
             parts[left], parts[right] = joined, ""
             after[left] = after[right]
             if after[right] < n:
@@ -95,35 +157,91 @@ class Pieces:
             propose(left)
             if before[left] >= 0:
                 propose(before[left])
-        ids: list[int] = []
-        for p in parts:
-            if p:
-                found = self.id.get(p)
-                if found is not None:
-                    ids.append(found)
-                else:
-                    raw = MARK if p == _STAND_IN else p
-                    ids.extend(self.byte[b] for b in raw.encode())
-        return ids
-
-    def decode(self, ids: list[int]) -> str:
-        """The text of ``ids``: bytes joined, space marks to spaces, no first space."""
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.value:
-                raw.append(self.value[i])
-                continue
-            if raw:
-                out.append(raw.decode())
-                raw.clear()
-            out.append(self.text[i].replace(MARK, " "))
-        if raw:
-            out.append(raw.decode())
-        return "".join(out).removeprefix(" ") if ids else ""
+        ids = chain.from_iterable(map(self.written.__getitem__, filter(None, parts)))
+        return np.fromiter(ids, "<i4").tobytes()
+
+    def segment_all(self, chunks: list[str], keys: np.ndarray, limit: int) -> list[bytes]:
+        """``segment`` of many chunks, the agendas of equally long ones side by side."""
+        out = [b""] * len(chunks)
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        order = np.argsort(lengths, kind="stable")
+        short = int(np.searchsorted(lengths[order], _SHORT, "right"))
+        for lo in range(0, short, _ROWS):
+            rows = order[lo : min(lo + _ROWS, short)]
+            texts = [chunks[r] for r in rows]
+            for r, ids in zip(rows, self._merge(texts, lengths[rows], keys[rows], limit), strict=True):
+                out[r] = ids
+        for r in order[short:]:
+            out[r] = self.segment(chunks[r], int(keys[r]), limit)
+        return out
 
+    def _merge(self, texts, lengths, keys, limit) -> list[bytes]:
+        n, width = len(texts), int(lengths.max())
+        part = np.full((n, width + 1), -1, np.int32)
+        inside = np.arange(width + 1) < lengths[:, None]
+        part[inside] = np.fromiter(
+            map(self.part.__getitem__, "".join(texts)), np.int32, int(lengths.sum())
+        )
+        rank = np.full((n, width + 1), _NONE, np.int32)
+        rank[:, :-1] = self._pair(part[:, :-1], part[:, 1:])
+        after = np.tile(np.arange(1, width + 2), (n, 1))
+        before = np.tile(np.arange(-1, width), (n, 1))
+        rows = np.arange(n)
+        while len(rows):
+            at = rank[rows].argmin(1)
+            best = rank[rows, at]
+            going = best < _NONE
+            rows, at, best = rows[going], at[going], best[going]
+            take = np.ones(len(rows), bool)
+            if limit:
+                take = ~skipped(keys[rows], at.astype(np.uint64), best.astype(np.uint64), limit)
+                rank[rows[~take], at[~take]] = _NONE
+            r, i = rows[take], at[take]
+            j = after[r, i]
+            part[r, i] = self.by_rank[best[take]]
+            part[r, j] = -1
+            rank[r, j] = _NONE
+            k = after[r, j]
+            after[r, i] = k
+            in_row = k <= width
+            before[r[in_row], k[in_row]] = i[in_row]
+            k = np.minimum(k, width)
+            rank[r, i] = self._pair(part[r, i], part[r, k])
+            h = before[r, i]
+            has = h >= 0
+            rank[r[has], h[has]] = self._pair(part[r[has], h[has]], part[r[has], i[has]])
+        kept = part >= 0
+        flat = part[kept]
+        ends = np.cumsum(kept.sum(1)).tolist()
+        plain = (part < self.size).all(1).tolist()
+        raw, found, lo = flat.astype("<i4").tobytes(), [], 0
+        for hi, easy in zip(ends, plain, strict=True):
+            found.append(raw[4 * lo : 4 * hi] if easy else self._in_bytes(flat[lo:hi].tolist()))
+            lo = hi
+        return found
+
+    def _in_bytes(self, parts: list[int]) -> bytes:
+        """Ids of parts of which some are characters without a piece."""
+        size, names = self.size, self.part.names
+        ids = chain.from_iterable(
+            (p,) if p < size else self.written[names[p - size]] for p in parts
+        )
+        return np.fromiter(ids, "<i4").tobytes()
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece that two parts make, ``_NONE`` where there is none."""
+        key = (left.astype(np.int64) << 32) | right
+        slot = ((key.view(np.uint64) * _SPREAD) >> np.uint64(64 - _TABLE)).astype(np.int64)
+        out = np.full(key.shape, _NONE, np.int32)
+        for step in range(self.steps):
+            hit = self.table_key[slot + step] == key
+            out[hit] = self.table_rank[(slot + step)[hit]]
+        return out
 
-# Stands for a space mark of the text while it is cut; itself written in bytes.
-_STAND_IN = ""
+    def decode(self, ids: Iterable[int]) -> str:
+        """The text of ``ids``: space marks to spaces, without the first space."""
+        joined = b"".join(map(self.raw.__getitem__, ids))
+        return joined.decode(errors="replace").removeprefix(" ")
 
 
 @lru_cache(2)
@@ -131,70 +249,55 @@ def load(model_path: str) -> Pieces:
     return Pieces(model_path)
 
 
-def _guard(text: str) -> tuple[str, bool]:
-    """Text with its own space marks replaced; whether it held any stand-in."""
-    return text.replace(MARK, _STAND_IN), _STAND_IN in text
-
-
 class Encoder:
-    """Segments texts and remembers up to ``limit`` chunks."""
+    """Segments texts and remembers the last ``limit`` to ``2 * limit`` chunks."""
 
-    def __init__(self, pieces: Pieces, dropout: float, seed: int, limit: int = 300_000):
+    def __init__(self, pieces: Pieces, dropout: float, seed: int, limit: int = 400_000):
         self.pieces, self.seed, self.limit = pieces, seed, limit
         self.below = int(dropout * (1 << 32))
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _segment(self, slot: str, chunk: str) -> tuple[int, ...]:
-        if len(self.known) >= self.limit:
-            self.known.clear()
-        key = xxhash.xxh64_intdigest(slot.encode("utf-8"), self.seed)
-        ids = tuple(self.pieces.segment(chunk, key, self.below))
-        if len(chunk) <= 64:
-            self.known[slot] = ids
-        return ids
-
-    def encode(self, text: str, doc: int) -> list[int]:
-        if not text:
-            return []
-        clean, clash = _guard(text)
-        if clash:
-            return self._with_stand_ins(text, doc)
-        return self._clean(clean, doc)
-
-    def _clean(self, clean: str, doc: int) -> list[int]:
-        chunks = _CHUNK.findall(MARK + clean.replace(" ", MARK))
-        if self.below:
-            place = np.arange(len(chunks), dtype=np.uint64)
-            keyed = mix(mix(place, doc & _MASK), self.seed)
-            slots = (keyed >> np.uint64(32)) % np.uint64(VARIANTS)
-            marks = _SLOTS[slots].tolist()
-            named = list(map(str.__add__, marks, chunks))
-        else:
-            named = chunks
-        out: list[int] = []
-        known = self.known
-        for slot, chunk in zip(named, chunks, strict=True):
-            ids = known.get(slot)
-            out.extend(ids if ids is not None else self._segment(slot, chunk))
-        return out
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str | None], docs: list[int | None]) -> list[np.ndarray]:
+        """Ids of each text; ``docs`` key the variants."""
+        named = [self._named(t, d or 0) if t else [] for t, d in zip(texts, docs, strict=True)]
+        new = set(chain.from_iterable(named)) - self.known.keys()
+        if len(self.known) + len(new) > self.limit:
+            self.known, self.older = {}, self.known
+            new = set(chain.from_iterable(named))
+        for slot in list(new & self.older.keys()):
+            self.known[slot] = self.older[slot]
+            new.discard(slot)
+        slots = list(new)
+        keys = np.fromiter(
+            (xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), self.seed) for s in slots),
+            np.uint64,
+            len(slots),
+        )
+        ids = self.pieces.segment_all([s[1:] for s in slots], keys, self.below)
+        self.known.update(zip(slots, ids, strict=True))
+        found = [
+            np.frombuffer(b"".join(map(self.known.__getitem__, n)), "<i4") for n in named
+        ]
+        for slot in slots:
+            if len(slot) > 64:
+                del self.known[slot]
+        return found
+
+    def _named(self, text: str, doc: int) -> list[str]:
+        """The chunks of a text, each behind the mark of its variant."""
+        clean = text.replace(MARK, _STAND_IN).replace(" ", MARK)
+        chunks = _CHUNK.findall(MARK + clean)
+        place = np.arange(len(chunks), dtype=np.uint64)
+        keyed = mix(mix(place, doc & 0xFFFFFFFFFFFFFFFF), self.seed) >> np.uint64(32)
+        marks = _SLOTS[keyed % np.uint64(VARIANTS if self.below else 1)].tolist()
+        return list(map(str.__add__, marks, chunks))
 
-    def _with_stand_ins(self, text: str, doc: int) -> list[int]:
-        """A text that holds the stand-in itself: that character is cut out."""
-        out: list[int] = []
-        stand_in = [self.pieces.byte[b] for b in _STAND_IN.encode()]
-        for k, part in enumerate(text.split(_STAND_IN)):
-            out += stand_in if k else []
-            whole = self._clean(part.replace(MARK, _STAND_IN), doc + k) if part or not k else []
-            # only the first part has the space that stands before a text
-            out += whole if not k else self._headless(part, doc + k)
-        return out
 
-    def _headless(self, part: str, doc: int) -> list[int]:
-        clean = part.replace(MARK, _STAND_IN).replace(" ", MARK)
-        out: list[int] = []
-        for n, chunk in enumerate(_CHUNK.findall(clean)):
-            out.extend(self._segment(f"{(doc + n) % VARIANTS}{chunk}", chunk))
-        return out
+@lru_cache(2)
+def encoder_for(model_path: str, dropout: float, seed: int) -> Encoder:
+    """The encoder of a worker process, so that its tasks share what it remembers."""
+    return Encoder(load(model_path), dropout, seed)
 
 
 _SLOTS = np.array([str(v) for v in range(VARIANTS)], dtype=object)
@@ -216,13 +319,10 @@ def encode_pieces(
     """
 
     def run(batches):
-        encoder = Encoder(load(model_path), dropout, seed)
+        encoder = encoder_for(model_path, dropout, seed)
         for batch in small_batches(batches, "text", 2_000_000):
             texts, names = batch["text"].to_pylist(), batch["id"].to_pylist()
-            ids = [
-                np.asarray(encoder.encode(t or "", n or 0), np.int32)
-                for t, n in zip(texts, names, strict=True)
-            ]
+            ids = encoder.encode(texts, names)
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate([np.empty(0, np.int32), *ids])
             yield pa.RecordBatch.from_arrays(
@@ -255,36 +355,38 @@ def round_trip(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``id``, ``n_ids``, ``n_plain`` (without dropout), ``ids_crc32``, ``lossless``.
+    """``id``, ``n_ids``, ``n_merged``, ``ids_crc32``, ``lossless``.
+
+    ``n_merged`` is the number of ids of several characters.
 
     Encodes and decodes in one pass, so ids do not leave the task.
     """
 
     def run(batches):
         pieces = load(model_path)
-        varied, plain = Encoder(pieces, dropout, seed), Encoder(pieces, 0.0, seed)
+        encoder = encoder_for(model_path, dropout, seed)
+        long = np.array([len(p) > 1 and p in pieces.id for p in pieces.text])
         for batch in small_batches(batches, "text", 2_000_000):
-            rows = []
-            for text, name in zip(batch["text"].to_pylist(), batch["id"].to_pylist(), strict=True):
-                ids = varied.encode(text or "", name or 0)
-                rows.append(
-                    (
-                        len(ids),
-                        len(plain.encode(text or "", 0)),
-                        zlib.crc32(np.asarray(ids, "<u4").tobytes()),
-                        pieces.decode(ids) == (text or ""),
-                    )
-                )
-            columns = list(zip(*rows, strict=True))
+            texts = batch["text"].to_pylist()
+            found = encoder.encode(texts, batch["id"].to_pylist())
+            columns = [
+                [len(i) for i in found],
+                [int(long[i].sum()) for i in found],
+                [zlib.crc32(i.tobytes()) for i in found],
+                [
+                    pieces.decode(i.tolist()) == (t or "")
+                    for i, t in zip(found, texts, strict=True)
+                ],
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["id"],
                     *[pa.array(c, pa.int64()) for c in columns[:3]],
                     pa.array(columns[3], pa.bool_()),
                 ],
-                names=["id", "n_ids", "n_plain", "ids_crc32", "lossless"],
+                names=["id", "n_ids", "n_merged", "ids_crc32", "lossless"],
             )
 
     return picked(docs, id=id_col, text=text_col).mapInArrow(
-        run, "id long, n_ids long, n_plain long, ids_crc32 long, lossless boolean"
+        run, "id long, n_ids long, n_merged long, ids_crc32 long, lossless boolean"
     )

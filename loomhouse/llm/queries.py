@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomhouse.llm import chat, urls
+from loomhouse.llm import chat, ftrl, urls
+from loomhouse.llm.common import crc_fold
 from loomhouse.llm.exact import exact_classes
 from loomhouse.llm.mixing import mix_documents
 from loomhouse.llm.neardup import near_duplicates
+from loomhouse.llm.ngrams import score_documents
+from loomhouse.llm.pieces import round_trip
 from loomhouse.llm.quality import quality_report
+from loomhouse.llm.simple8b import token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -297,3 +301,62 @@ def exact_dedup(spark, sf):
     return exact_classes(table(spark, sf, "documents"), keep="largest").withColumnsRenamed(
         {"id": "doc_id", "sha256": "text_sha256"}
     )
+
+
+# --- language model ---------------------------------------------------------
+
+
+@query("op5_interpolated_lm")
+def interpolated_lm(spark, sf):
+    """Scores of all documents by a bigram model."""
+    held_out = crc_fold("id") == 1
+    return score_documents(table(spark, sf, "documents"), held_out, order=2).withColumnRenamed(
+        "id", "doc_id"
+    )
+
+
+# --- pieces -----------------------------------------------------------------
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op8_piece_dropout")
+def piece_dropout(spark, sf):
+    """All documents encoded with merge-dropout and decoded again."""
+    return round_trip(table(spark, sf, "documents"), piece_model()).withColumnRenamed(
+        "id", "doc_id"
+    )
+
+
+# --- token files ------------------------------------------------------------
+
+
+@query("op9_token_files")
+def token_file_rows(spark, sf):
+    """All documents written as token files and read back."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files(table(spark, sf, "documents"), path, end_id=2).withColumnsRenamed(
+        {"id": "doc_id", "n_ids": "n_tokens", "crc32": "ids_crc32"}
+    )
+
+
+# --- toxicity ---------------------------------------------------------------
+
+
+@query("op10_toxicity_ftrl")
+def toxicity_ftrl(spark, sf):
+    """Toxicity scores of all documents."""
+    docs = table(spark, sf, "documents")
+    model = ftrl.train(docs, table(spark, sf, "labels"), crc_fold("id") != 0)
+    return ftrl.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        (crc_fold("id") == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
