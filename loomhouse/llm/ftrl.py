@@ -6,9 +6,9 @@ FTRL-proximal keeps a sum of gradients and of their squares per feature, so
 each coordinate has its own learning rate, and its L1 term leaves most weights
 at zero: the model is the list of the others.
 
-Training reads a bounded sample of the labelled rows (``sample_rows``), in
-shards. Each epoch every shard goes through its rows from the shared weights,
-and the states of the shards are averaged by feature. Scoring reads all rows.
+FTRL is an online method: one learner goes through the rows one after another.
+It reads a bounded sample of the labelled rows (``sample_rows``), whose features
+are made in parallel. Scoring reads all rows.
 """
 
 from __future__ import annotations
@@ -40,13 +40,12 @@ BIAS = 0  # place of the constant feature
 class Ftrl:
     """Rates and penalties; ``l1`` sets how many weights stay zero."""
 
-    alpha: float = 0.2
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
-    epochs: int = 3
-    shards: int = 8
-    sample_rows: int = 16_000
+    l1: float = 3.0
+    l2: float = 0.1
+    epochs: int = 6
+    sample_rows: int = 12_000
 
 
 def features(
@@ -74,8 +73,8 @@ def _feature_rows(batches):
         ends = np.cumsum(sizes)
         places = [flat[e - s : e].tobytes() for s, e in zip(sizes, ends, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch["id"], batch["label"], batch["shard"], pa.array(places, pa.binary())],
-            names=["id", "label", "shard", "places"],
+            [batch["id"], batch["label"], pa.array(places, pa.binary())],
+            names=["id", "label", "places"],
         )
 
 
@@ -86,33 +85,28 @@ def _weights(z: np.ndarray, n: np.ndarray, p: Ftrl) -> np.ndarray:
     )
 
 
-def _value(size: int) -> float:
-    """All features of a text have one value, so that long texts weigh alike."""
-    return 1.0 / np.sqrt(max(size, 1))
+def _chance(margin):
+    return 1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35)))
 
 
-def _train_shard(p: Ftrl, state: dict[str, np.ndarray]):
-    """One epoch over the rows of a shard, from the shared state."""
+def _learn(p: Ftrl):
+    """All epochs over the sample, each in an order of its own."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-        z[state["place"]], n[state["place"]] = state["z"], state["n"]
         rows = rows.sort_values("id", kind="stable")
-        order = np.random.Generator(np.random.PCG64(int(rows["shard"].iloc[0]))).permutation(len(rows))
         labels, places = rows["label"].to_numpy(), rows["places"].tolist()
-        for k in order:
-            at = np.frombuffer(places[k], np.int32)
-            value = np.full(len(at) + 1, _value(len(at)))
-            value[-1] = 1.0
-            at = np.append(at, BIAS)
-            w = _weights(z[at], n[at], p)
-            score = 1.0 / (1.0 + np.exp(-np.clip(w @ value, -35, 35)))
-            g = (score - labels[k]) * value
-            step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / p.alpha
-            z[at] += g - step * w
-            n[at] += g * g
-        used = np.flatnonzero(n)
-        return pd.DataFrame({"place": used, "z": z[used], "n": n[used]})
+        for epoch in range(p.epochs):
+            for k in np.random.Generator(np.random.PCG64(epoch)).permutation(len(rows)):
+                at = np.append(np.frombuffer(places[k], np.int32), BIAS)
+                w = _weights(z[at], n[at], p)
+                g = _chance(w.sum()) - labels[k]
+                root = np.sqrt(n[at])
+                z[at] += g - (np.sqrt(n[at] + g * g) - root) / p.alpha * w
+                n[at] += g * g
+        w = _weights(z, n, p)
+        used = np.flatnonzero(w)
+        return pd.DataFrame({"place": used, "weight": w[used]})
 
     return run
 
@@ -149,29 +143,19 @@ def train(
     marks = materialize(marks, "toxic-labels")
     share = min(1.0, params.sample_rows / max(marks.count(), 1))
     drawn = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)
-    sample = marks.where(drawn).withColumn(
-        "shard", F.pmod(F.xxhash64("id"), F.lit(params.shards)).cast("int")
-    )
     # about sample_rows rows of 20 bytes
-    rows = picked(docs, id=id_col, text=text_col).join(F.broadcast(sample), "id")
+    rows = picked(docs, id=id_col, text=text_col).join(F.broadcast(marks.where(drawn)), "id")
     placed = materialize(
-        rows.mapInArrow(_feature_rows, "id long, label double, shard int, places binary"),
-        "toxic-sample",
+        rows.mapInArrow(_feature_rows, "id long, label double, places binary"), "toxic-sample"
     )
-    state = {c: np.empty(0, np.int64 if c == "place" else float) for c in ("place", "z", "n")}
-    for _ in range(params.epochs):
-        trained = placed.groupBy("shard").applyInPandas(
-            _train_shard(params, state), "place long, z double, n double"
-        )
-        # features are bounded by 2^20, so is what the driver gets
-        merged = trained.groupBy("place").agg(
-            (F.sum("z") / F.lit(params.shards)).alias("z"),
-            (F.sum("n") / F.lit(params.shards)).alias("n"),
-        )
-        state = {c: v.to_numpy() for c, v in merged.orderBy("place").toPandas().items()}
-    w = _weights(state["z"], state["n"], params)
-    full = np.flatnonzero(w)
-    return Model(state["place"][full], w[full])
+    # places are bounded by 2^20, so is what the driver gets
+    model = (
+        placed.withColumn("learner", F.lit(0))
+        .groupBy("learner")
+        .applyInPandas(_learn(params), "place long, weight double")
+        .toPandas()
+    )
+    return Model(model["place"].to_numpy(), model["weight"].to_numpy())
 
 
 def score(
@@ -193,9 +177,7 @@ def score(
             flat, sizes = features(as_bytes(batch["text"]), known)
             sums = np.append(0.0, np.cumsum(weights[flat]))
             ends = np.cumsum(sizes)
-            margin = (sums[ends] - sums[ends - sizes]) / np.sqrt(np.maximum(sizes, 1))
-            margin += weights[BIAS]
-            value = 1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35)))
+            value = _chance(sums[ends] - sums[ends - sizes] + weights[BIAS])
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], pa.array(value)], names=["id", "score"]
             )

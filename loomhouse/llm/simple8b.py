@@ -78,11 +78,11 @@ def pack(values: np.ndarray) -> np.ndarray:
         if not fits.any():
             break
         best[: len(fits)][fits] = s
-    jump = (np.arange(n) + COUNTS[best]).tolist()
+    jump = COUNTS[best].astype(np.uint8).tobytes()
     starts, at = [], 0
     while at < n:
         starts.append(at)
-        at = jump[at]
+        at += jump[at]
     starts = np.array(starts)
     chosen = best[starts].astype(np.int64)
     words = chosen.astype(np.uint64) << _FOUR
@@ -191,37 +191,50 @@ class BpeEncoder:
         self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = []
-        for t in texts:
-            parts = _CUT.split(t or "")
-            cut.append([parts[0], *map(" ".__add__, parts[1:])])
-        new = set(chain.from_iterable(cut)) - self.known.keys()
+        """Ids of each text. A text is its head and words that follow a space."""
+        cut = [_CUT.split(t or "") for t in texts]
+        heads = self._each([c[0] for c in cut])
+        words = list(chain.from_iterable(c[1:] for c in cut))
+        found = list(map(self.known.get, words))
+        missing = [i for i, f in enumerate(found) if f is None]
+        if missing:
+            self._look_up({words[i] for i in missing})
+            for i in missing:
+                found[i] = self.known[words[i]]
+            for word in {words[i] for i in missing}:
+                if len(word) > 64:
+                    del self.known[word]
+        out, at = [], 0
+        for head, c in zip(heads, cut, strict=True):
+            out.append(np.frombuffer(head + b"".join(found[at : at + len(c) - 1]), "<u4"))
+            at += len(c) - 1
+        return out
+
+    def _look_up(self, new: set[str]) -> None:
+        """Puts the ids of ``new`` among the known words."""
         if len(self.known) + len(new) > self.limit:
             self.known, self.older = {}, self.known
-            new = set(chain.from_iterable(cut))
-        for word in list(new & self.older.keys()):
+        for word in new & self.older.keys():
             self.known[word] = self.older[word]
-            new.discard(word)
-        words = [w for w in new if w.startswith(" ")]
+        words = list(new - self.known.keys())
         self.known.update(zip(words, self._apart(words), strict=True))
-        for word in new - set(words):
-            self.known[word] = self._ids([word]).tobytes()
-        out = [np.frombuffer(b"".join(map(self.known.__getitem__, c)), "<u4") for c in cut]
-        for word in new:
-            if len(word) > 64:
-                del self.known[word]
-        return out
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
 
     def _ids(self, texts: list[str]) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return np.fromiter(chain.from_iterable(f.ids for f in found), "<u4")
 
     def _apart(self, words: list[str], at_once: int = 2_000) -> list[bytes]:
-        """Ids of words that begin at a cut: encoded in a row, told apart by bytes."""
-        rows = ["".join(words[i : i + at_once]) for i in range(0, len(words), at_once)]
+        """Ids of words behind a space: encoded in a row, told apart by their bytes."""
+        rows = [
+            " " + " ".join(words[i : i + at_once]) for i in range(0, len(words), at_once)
+        ]
         ids = self._ids(rows)
         ends = np.cumsum(self.lengths[ids])
-        sizes = np.fromiter((len(w.encode()) for w in words), np.int64, len(words))
+        sizes = np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words))
         cuts = (np.searchsorted(ends, np.cumsum(sizes)) + 1) * 4
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist(), strict=False)]
