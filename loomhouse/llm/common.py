@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\f\r"
 NOT_WORD = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)

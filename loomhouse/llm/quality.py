@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomhouse.llm.common import NOT_WORD, SPACES, picked
+from loomhouse.llm.common import NOT_WORD, SPACES, WORD, picked
 from loomhouse.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -31,10 +31,7 @@ def words(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    """Words of a text, counted without keeping them."""
-    bare = F.trim(F.regexp_replace(text, NOT_WORD, " "))
-    gaps = F.length(bare) - F.length(F.translate(bare, " ", ""))
-    return F.when(bare == "", 0).otherwise(gaps + 1).cast("long")
+    return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
 def word_chars(text: Column) -> Column:
