@@ -302,7 +302,9 @@ def q_date_composite_key(spark, sf):
     return table(spark, sf, "orders").select(
         "o_orderkey",
         composite_key("o_orderdate", "o_custkey").alias("k2"),
-        composite_key("o_orderdate", "o_custkey", "o_orderkey", F.lit("0000")).alias("k4"),
+        composite_key(
+            "o_orderdate", "o_custkey", "o_orderkey", F.lit("0000"), overflow="null"
+        ).alias("k4"),
     )
 
 

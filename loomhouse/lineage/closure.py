@@ -76,7 +76,7 @@ def reachable(edges: DataFrame, starts: DataFrame, node: str = "node") -> DataFr
         depth += 1
         side = frontier.select("start", F.col("node").alias("src"))
         found = (
-            salted_join(step, side, ["src"])
+            salted_join(step, side, ["src"], spread_right=True)
             .select("start", F.col("dst").alias("node"))
             .distinct()
         )

@@ -9,38 +9,31 @@ from pyspark.sql import functions as F
 
 # A key above this many rows is spread over several tasks.
 ROWS_PER_TASK = 2_000_000
-# Upper bound on the number of keys treated as hot, hence on the broadcast.
-MAX_HOT_KEYS = 10_000
-# A side below this size needs no balancing.
-ONE_TASK_BYTES = 64 * 1024 * 1024
-# Tasks that share rows whose key is null (they match nothing).
-NULL_KEY_SALTS = 256
 
 
-def hot_keys(
-    df: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Keys with more rows than a task should hold, and their salt count.
-
-    The threshold is at least ``total / MAX_HOT_KEYS`` rows, so the result
-    never has more than ``MAX_HOT_KEYS`` rows and is safe to broadcast.
-    """
+def hot_keys(df: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more rows than a task should hold, and their salt count."""
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = counts.agg(
-        F.greatest(F.lit(rows_per_task), F.ceil(F.sum("_rows") / F.lit(MAX_HOT_KEYS))).cast("long")
-    ).scalar()
-    return counts.where(F.col("_rows") > limit).select(
-        *on, F.ceil(F.col("_rows") / limit).cast("int").alias("_salts")
+    return counts.where(F.col("_rows") > rows_per_task).select(
+        *on, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts")
     )
 
 
-def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
-    """Whether the planner's size of ``df`` is below what one task reads.
+def _salted(df: DataFrame, hot: DataFrame, on: list[str], name: str, spread: list[str] | None):
+    """Rows of hot keys dealt over the salts of their key, by a hash of the row.
 
-    Reads file sizes only, no data; derived frames tend to be overestimated.
+    A hash, not a row number: a task that runs again gives the same salts.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    hashed = spread or [c for c, t in df.dtypes if "map<" not in t]
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
+    salt = F.coalesce(F.pmod(row_hash, F.col("_salts")), F.lit(0)).cast("int")
+    return df.join(hot, on, "left").withColumn(name, salt).drop("_salts")
+
+
+def _repeated(df: DataFrame, hot: DataFrame, on: list[str], name: str) -> DataFrame:
+    """Rows of hot keys once for each salt of their key."""
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    return df.join(hot, on, "left").withColumn(name, salts).drop("_salts")
 
 
 def salted_join(
@@ -52,45 +45,37 @@ def salted_join(
     profile: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     spread: list[str] | None = None,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    spread_right: bool = False,
 ) -> DataFrame:
     """Equi join whose left side may be dominated by a few keys.
 
     Left rows of a hot key are spread by a hash of the row (of the ``spread``
     columns, if given) over as many salts as the key needs; the matching right
-    rows are repeated once per salt.
+    rows are repeated once per salt. ``spread_right`` does the same for hot
+    keys of the right side of an inner join.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; ``extra``
     is a residual condition over the two sides. ``profile`` is a cheaper frame
-    with the key distribution of ``left`` (its base table, say). A left side
-    that one task can hold is joined as it is.
+    with the key distribution of ``left`` (its base table, say). Rows with a
+    null key match nothing and do not take part in the join.
     """
-    sized = profile if profile is not None else left
-    if fits_one_task(sized, one_task_bytes):
-        return _join(left, right, on, how, extra)
-    hot = F.broadcast(hot_keys(sized, on, rows_per_task))
-    hashed = spread or [c for c, t in left.dtypes if "map<" not in t]
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    salted_left = (
-        left.join(hot, on, "left")
-        .withColumn(
-            "_salt",
-            F.when(no_key, F.pmod(row_hash, F.lit(NULL_KEY_SALTS)))
-            .when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        )
-        .drop("_salts")
-    )
-    salted_right = (
-        right.join(hot, on, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)),
-        )
-        .drop("_salts")
-    )
-    return _join(salted_left, salted_right, [*on, "_salt"], how, extra).drop("_salt")
+    keyed = left.where(~no_key)
+    sized = (profile if profile is not None else left).where(~no_key)
+    hot = hot_keys(sized, on, rows_per_task)
+    keys = [*on, "_salt"]
+    salted = _salted(keyed, hot, on, "_salt", spread)
+    other = _repeated(right.where(~no_key), hot, on, "_salt")
+    if spread_right:
+        if how != "inner":
+            raise ValueError("only an inner join can spread both sides")
+        hot_right = hot_keys(right.where(~no_key), on, rows_per_task)
+        salted = _repeated(salted, hot_right, on, "_right_salt")
+        other = _salted(other, hot_right, on, "_right_salt", right.columns)
+        keys.append("_right_salt")
+    joined = _join(salted, other, keys, how, extra).drop("_salt", "_right_salt")
+    if how in ("left", "left_anti"):
+        return joined.unionByName(left.where(no_key), allowMissingColumns=True)
+    return joined
 
 
 def _join(

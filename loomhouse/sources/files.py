@@ -43,12 +43,13 @@ def read_batch_dates(spark: SparkSession, path: str) -> DataFrame:
 def read_wire_lines(spark: SparkSession, path: str, case_sensitive: bool = True) -> DataFrame:
     """Lines of all quarterly wire files below ``path``, in one scan.
 
-    A file belongs when its stem has the quarterly name, or the folder it lies
-    in (a file set written in parts).
+    A file belongs when its stem has the quarterly name, or when it is a part
+    file in a folder of that name (a file written in parts).
     """
     pattern = FINWIRE_NAME if case_sensitive else "(?i)" + FINWIRE_NAME
     lines = spark.read.text(path, recursiveFileLookup=True)
-    quarterly = file_stem().rlike(pattern) | parent_folder().rlike(pattern)
+    part = parent_folder().rlike(pattern) & file_stem().startswith("part-")
+    quarterly = file_stem().rlike(pattern) | part
     return lines.where(quarterly).select(F.col("value").alias("line"))
 
 

@@ -41,12 +41,20 @@ def test_append_starts_two_above_the_highest(spark):
 def test_date_keys(spark):
     r = spark.sql("SELECT DATE'2020-03-04' AS d, 12L AS a, 9999999999999L AS b").select(
         date_key("d").alias("k"), composite_key("d", "a").alias("c"),
-        composite_key("d", "a", "b").alias("big"), composite_hash_key("d", "a", "b").alias("h"),
+        composite_key("d", "a", "b", overflow="null").alias("big"), composite_hash_key("d", "a", "b").alias("h"),
     ).first()
     assert (r["k"], r["c"], r["big"]) == (20200304, 2020030412, None)
     assert r["h"] is not None
 
 
+def test_composite_key_never_vanishes(spark):
+    ids = spark.sql("SELECT DATE'2020-03-04' AS d, 123456789L AS a, 1234L AS b, 99L AS c")
+    with pytest.raises(Exception, match="exceeds 64 bits"):
+        ids.select(composite_key("d", "a", "b")).collect()
+    assert ids.select(composite_key("d", "a", "c").alias("k")).first()["k"] == 2020030412345678999
+    assert ids.select(composite_key(F.lit(None).cast("date"), "a").alias("k")).first()["k"] is None
+
+
 def test_upsert_keeps_first_batch_and_is_idempotent(spark):
     cols = "k int, v string, recordbatchid int, batchid int"
     old = spark.createDataFrame([(1, "a", 1, 1), (2, "b", 1, 1)], cols)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from loomhouse.operators import skew
+from loomhouse.operators import intervals, skew
 from loomhouse.operators.intervals import overlap_join, point_lookup
 
-FORCE = {"rows_per_task": 20, "one_task_bytes": 0}
+FORCE = {"rows_per_task": 20}
 
 
 def _rows(df):
@@ -66,10 +66,25 @@ def test_hot_key_is_spread_over_tasks(spark, sides):
     assert sum(r["count"] for r in parts) == 312
 
 
-def test_small_side_is_not_salted(sides):
-    left, right = sides
-    plan = skew.salted_join(left, right, ["k"])._jdf.queryExecution().toString()
-    assert "_salt" not in plan
+def test_hot_keys_of_both_sides(spark, sides):
+    left, _ = sides
+    right = spark.range(200).select((F.col("id") % 2).alias("k"), F.col("id").alias("w"))
+    both = skew.salted_join(left, right, ["k"], spread_right=True, **FORCE)
+    assert _rows(both) == _rows(left.join(right, ["k"]))
+    with pytest.raises(ValueError):
+        skew.salted_join(left, right, ["k"], "left", spread_right=True)
+
+
+def test_stray_dates_and_empty_facts_do_not_multiply_the_dimension(spark):
+    dim = _intervals(spark, 40, 1, "d")
+    days = spark.sql("SELECT 0L AS k, DATE'9999-12-30' AS day UNION ALL SELECT 0L, DATE'2020-02-01'")
+    for fact in (days, days.where("k = 1")):
+        found = point_lookup(fact, dim, ["k"], "day")
+        plain = fact.join(dim, ["k"]).where("day >= effectivedate AND day < enddate")
+        assert found.count() == plain.count()
+        seen = intervals._slices(fact.select(intervals._slice(F.col("day"), 366).alias("s")))
+        sliced = intervals._with_slices(dim, "effectivedate", "enddate", seen, 366)
+        assert sliced.count() <= 2 * dim.count()
 
 
 def _intervals(spark, n, seed, name):

@@ -88,6 +88,7 @@ def test_wire_files_by_name(spark, tmp_path):
     folder = tmp_path / "FINWIRE1967Q4"
     folder.mkdir()
     (folder / "part-0").write_text(line + "\n")
+    (folder / "FINWIRE1967Q4_audit.csv").write_text(line + "\n")
     path = str(tmp_path)
     assert read_wire_lines(spark, path).count() == 2
     assert read_wire_lines(spark, path, case_sensitive=False).count() == 3
