@@ -146,7 +146,35 @@ def vertex_table(spark, sf) -> DataFrame:
 
 
 def edge_table(spark, sf) -> DataFrame:
-    return stored(spark, sf, "edges", lambda: lg.edges(documents(spark, sf)))
+    return stored(
+        spark,
+        sf,
+        "edges",
+        lambda: lg.edges(documents(spark, sf), pipeline_needs(spark, sf), script_needs(spark, sf)),
+    )
+
+
+def needs_of(spark, sf, rows: DataFrame, key: str, prefix: str, end: str, names: str) -> DataFrame:
+    """Each key needs the key before it and one that nobody knows."""
+
+    def node(k):
+        return F.concat(F.lit(prefix), k, F.lit(end))
+
+    before = F.lpad((F.col(key) - 1).cast("string"), 10, "0") if end else F.col(key) - 1
+    own = padded(key) if end else F.col(key)
+    texts = rows.select(
+        padded(key).alias("name"),
+        F.to_json(F.create_map(node(own), F.array(node(before), F.lit("absent")))).alias("content"),
+    )
+    return lg.dependency_edges(texts, documents(spark, sf), names)
+
+
+def pipeline_needs(spark, sf) -> DataFrame:
+    return needs_of(spark, sf, table(spark, sf, "nation"), "n_nationkey", "load_", "", "pipeline")
+
+
+def script_needs(spark, sf) -> DataFrame:
+    return needs_of(spark, sf, table(spark, sf, "customer"), "c_custkey", "cust", ".sql", "script")
 
 
 # The documents as rows: doc = parsed documents with a script, e = source entries.
@@ -180,6 +208,14 @@ _DOCS_SQL = """
         FROM doc),
     ed AS (SELECT *, sschema || '.' || stable || '.' || scol AS src FROM e)"""
 
+# Dependencies of pipelines and scripts that both occur in the documents.
+_NEEDS_SQL = """
+    known AS (SELECT DISTINCT c_nationkey AS n, o_custkey AS c, pipeline, script FROM doc),
+    needs AS (
+        SELECT DISTINCT 'Pipeline' AS label, a.pipeline AS src, b.pipeline AS dst
+        FROM known a JOIN known b ON b.n = a.n - 1
+        UNION SELECT 'Script', a.script, b.script FROM known a JOIN known b ON b.c = a.c - 1)"""
+
 _MERGED_SQL = """
     mg AS (
         SELECT tgt AS target_column, src AS source_column,
@@ -336,8 +372,11 @@ def q_edges_merge(spark, sf):
 @query(
     "lineage_graph_edges",
     f"""
-    WITH {_DOCS_SQL}
+    WITH {_DOCS_SQL}, {_NEEDS_SQL}
     SELECT 'CONTAINS_SCRIPT' AS edge_type, pipeline AS src, script AS dst FROM doc
+    UNION SELECT 'DEPENDS_ON', src, dst FROM needs
+    UNION SELECT 'PRODUCES_OUTPUT_TABLE', script, target FROM doc
+    UNION SELECT 'USES_INPUT_TABLE', script, 'wh.src_' || o_orderstatus FROM doc
     UNION SELECT 'IN_SCHEMA', target, split_part(target, '.', 1) FROM doc
     UNION SELECT 'IN_SCHEMA', fschema || '.' || ftable, fschema FROM doc WHERE ftable IS NOT NULL
     UNION SELECT 'IN_TABLE', tgt, target FROM ed
@@ -379,16 +418,32 @@ def q_script_io_tables(spark, sf):
 
 @query(
     "graph_schema_triples",
-    """
-    SELECT * FROM (VALUES ('Pipeline', 'CONTAINS_SCRIPT', 'Script'), ('Table', 'IN_SCHEMA', 'Schema'),
-        ('Column', 'IN_TABLE', 'Table'), ('Column', 'DERIVED_FROM', 'Column'),
-        ('Script', 'READS_FROM', 'Column'), ('Script', 'GENERATES', 'Column'))
-        t(from_label, edge_type, to_label)""",
+    f"""
+    WITH {_DOCS_SQL}, {_NEEDS_SQL}
+    SELECT 'Pipeline' AS from_label, 'CONTAINS_SCRIPT' AS edge_type, 'Script' AS to_label FROM doc
+    UNION SELECT 'Table', 'IN_SCHEMA', 'Schema' FROM doc
+    UNION SELECT 'Script', 'PRODUCES_OUTPUT_TABLE', 'Table' FROM doc
+    UNION SELECT 'Script', 'USES_INPUT_TABLE', 'Table' FROM doc
+    UNION SELECT 'Column', 'IN_TABLE', 'Table' FROM ed
+    UNION SELECT 'Column', 'DERIVED_FROM', 'Column' FROM ed
+    UNION SELECT 'Script', 'READS_FROM', 'Column' FROM ed
+    UNION SELECT 'Script', 'GENERATES', 'Column' FROM ed
+    UNION SELECT label, 'DEPENDS_ON', label FROM needs""",
 )
 def q_schema_triples(spark, sf):
     return lg.schema_triples(edge_table(spark, sf), vertex_table(spark, sf))
 
 
+@query(
+    "script_dependency_edges",
+    f"""
+    WITH {_DOCS_SQL}, {_NEEDS_SQL} SELECT src, dst FROM needs WHERE label = 'Script'""",
+)
+def q_script_dependency_edges(spark, sf):
+    """Scripts of customers need the script of the customer before."""
+    return script_needs(spark, sf)
+
+
 @query(
     "graph_key_check",
     """
@@ -432,7 +487,7 @@ def q_edge_direction(spark, sf):
         ("Column", "GENERATES", ""),
     ]
     allowed = spark.createDataFrame(
-        [(a, t, b) for t, (a, b) in lg.EDGE_LABELS.items()],
+        lg.EDGE_TRIPLES,
         "from_label string, edge_type string, to_label string",
     )
     pick = F.element_at(

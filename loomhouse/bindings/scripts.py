@@ -172,16 +172,15 @@ def script_files(spark, sf):
 
 @query(
     "script_registry",
-    """
-    SELECT 'cust' || c_custkey || '.sql' AS script, 'load_' || c_nationkey AS pipeline,
-           CASE WHEN c_acctbal >= 0
-                THEN 'sql/' || c_nationkey || '/cust' || c_custkey || '.sql' END AS path_to_sql,
-           CASE WHEN c_acctbal >= 0
-                THEN 'SELECT * FROM t' || chr(10) || 'WHERE k = ' || c_custkey END AS sql_content
-    FROM customer""",
+    f"""
+    WITH {_MAPPING_SQL}
+    SELECT script, pipeline,
+           'sql/' || c_nationkey || '/cust' || c_custkey || '.sql' AS path_to_sql,
+           'SELECT * FROM t' || chr(10) || 'WHERE k = ' || c_custkey AS sql_content
+    FROM s LEFT JOIN customer ON script = 'cust' || c_custkey || '.sql' AND c_acctbal >= 0""",
 )
 def q_script_registry(spark, sf):
-    scripts = script_pipelines(mapping_texts(spark, sf)).where("script LIKE 'cust%'")
+    scripts = script_pipelines(mapping_texts(spark, sf))
     return attach_texts(scripts.drop("position"), script_files(spark, sf))
 
 

@@ -10,6 +10,7 @@ from loomhouse.lineage.documents import (
     derivations,
     documented_tables,
     mapping_pairs,
+    script_tables,
     source_entries,
     target_columns,
 )
@@ -17,7 +18,7 @@ from loomhouse.lineage.identifiers import split_table
 from loomhouse.operators.skew import salted_join
 from loomhouse.session import materialize
 
-# Unique key of each vertex label and the labels an edge joins.
+# Unique key of each vertex label and the pairs of labels an edge joins.
 VERTEX_KEYS = {
     "Pipeline": "name",
     "Script": "name",
@@ -26,13 +27,17 @@ VERTEX_KEYS = {
     "Column": "full_name",
 }
 EDGE_LABELS = {
-    "CONTAINS_SCRIPT": ("Pipeline", "Script"),
-    "IN_SCHEMA": ("Table", "Schema"),
-    "IN_TABLE": ("Column", "Table"),
-    "DERIVED_FROM": ("Column", "Column"),
-    "READS_FROM": ("Script", "Column"),
-    "GENERATES": ("Script", "Column"),
+    "CONTAINS_SCRIPT": [("Pipeline", "Script")],
+    "IN_SCHEMA": [("Table", "Schema")],
+    "IN_TABLE": [("Column", "Table")],
+    "DERIVED_FROM": [("Column", "Column")],
+    "READS_FROM": [("Script", "Column")],
+    "GENERATES": [("Script", "Column")],
+    "PRODUCES_OUTPUT_TABLE": [("Script", "Table")],
+    "USES_INPUT_TABLE": [("Script", "Table")],
+    "DEPENDS_ON": [("Pipeline", "Pipeline"), ("Script", "Script")],
 }
+EDGE_TRIPLES = [(a, kind, b) for kind, pairs in EDGE_LABELS.items() for a, b in pairs]
 
 
 def _vertex(label: str, key: Column, name: Column, kind: Column, forced: bool, *seq) -> Column:
@@ -130,8 +135,13 @@ def script_columns(derived: DataFrame) -> DataFrame:
     return derived.select("script", pair.alias("e")).select("script", "e.*").distinct()
 
 
-def edges(documents: DataFrame) -> DataFrame:
-    """``(edge_type, src, dst)`` of all structural and derivation edges."""
+def edges(documents: DataFrame, *dependencies: DataFrame) -> DataFrame:
+    """``(edge_type, src, dst)`` of all edges.
+
+    Structure, derivations and the tables of a script come from the documents;
+    ``dependencies`` are frames ``(src, dst)`` of pipelines or scripts, as
+    ``dependency_edges`` gives them.
+    """
 
     def edge(kind: str, src: Column, dst: Column) -> Column:
         return F.struct(F.lit(kind).alias("edge_type"), src.alias("src"), dst.alias("dst"))
@@ -162,14 +172,15 @@ def edges(documents: DataFrame) -> DataFrame:
             )
         ).alias("e")
     )
-    present = (F.coalesce("src", F.lit("")) != "") & (F.coalesce("dst", F.lit("")) != "")
-    return (
-        per_document.unionByName(per_target)
-        .unionByName(per_source)
-        .select("e.*")
-        .where(present)
-        .distinct()
+    per_table = script_tables(documents).select(
+        "edge_type", F.col("script").alias("src"), F.col("table_full_name").alias("dst")
     )
+    present = (F.coalesce("src", F.lit("")) != "") & (F.coalesce("dst", F.lit("")) != "")
+    found = per_document.unionByName(per_target).unionByName(per_source).select("e.*")
+    found = found.unionByName(per_table)
+    for needs in dependencies:
+        found = found.unionByName(needs.select(F.lit("DEPENDS_ON").alias("edge_type"), "src", "dst"))
+    return found.where(present).distinct()
 
 
 def enrich_columns(documents: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -210,13 +221,13 @@ def schema_triples(edge_rows: DataFrame, vertex_rows: DataFrame) -> DataFrame:
     Edge ends are matched to vertices by key within the labels the edge type
     may join.
     """
-    cases_from = F.create_map(*[F.lit(x) for t, (a, _) in EDGE_LABELS.items() for x in (t, a)])
-    cases_to = F.create_map(*[F.lit(x) for t, (_, b) in EDGE_LABELS.items() for x in (t, b)])
-    labelled = edge_rows.select(
-        "edge_type", "src", "dst",
-        cases_from[F.col("edge_type")].alias("from_label"),
-        cases_to[F.col("edge_type")].alias("to_label"),
-    )
+    may_join = F
+    for kind, pairs in EDGE_LABELS.items():
+        ends = [F.struct(F.lit(a).alias("from_label"), F.lit(b).alias("to_label")) for a, b in pairs]
+        may_join = may_join.when(F.col("edge_type") == kind, F.array(*ends))
+    labelled = edge_rows.select("edge_type", "src", "dst", F.explode(may_join).alias("l")).select(
+        "edge_type", "src", "dst", "l.*"
+    )
     starts = vertex_rows.select(F.col("label").alias("from_label"), F.col("key").alias("src"))
     ends = vertex_rows.select(F.col("label").alias("to_label"), F.col("key").alias("dst"))
     with_start = salted_join(labelled, starts, ["from_label", "src"], "left_semi")

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEFAULT_SCHEMA = "main"
+# Endings of the data files that stand for a table.
+FILE_ENDINGS = ("csv", "txt", "dat")
 
 
 def _slashes(c: Column) -> Column:
@@ -18,7 +20,11 @@ def _join_parts(parts: Column, first: int, drop_last: int) -> Column:
 
 def rewrite_csv_call(name: Column) -> Column:
     """``read_csv('dir/file.csv'...)`` becomes ``"dir.file.csv"``; others stay."""
-    path = F.regexp_extract(name, r"read_csv\(['\"](.+?)\.csv['\"]", 1)
+    call = F.substring_index(name, "read_csv(", -1)
+    # The argument between its quotes, of either kind.
+    quoted = F.split_part(F.translate(call, '"', "'"), F.lit("'"), F.lit(2))
+    is_csv = name.contains("read_csv(") & F.left(call, F.lit(1)).isin("'", '"') & quoted.endswith(".csv")
+    path = F.when(is_csv, F.left(quoted, F.length(quoted) - 4)).otherwise("")
     dotted = F.replace(F.regexp_replace(_slashes(path), "^/+", ""), F.lit("/"), F.lit("."))
     return F.when(path != "", F.concat(F.lit('"'), dotted, F.lit('.csv"'))).otherwise(name)
 
@@ -29,7 +35,13 @@ def normalize_table(name: Column) -> Column:
     A quoted data file turns its folders into the schema and its name into the
     table; a dotted name stays; a bare name goes to the default schema.
     """
-    path = _slashes(F.regexp_extract(name, r'(?i)^"(.+)\.(csv|txt|dat)"$', 1))
+    low = F.lower(name)
+    stem = F.lit("")
+    for ending in FILE_ENDINGS:
+        close = f'.{ending}"'
+        bare = F.substr(name, F.lit(2), F.length(name) - (len(close) + 1))
+        stem = F.when(low.startswith('"') & low.endswith(close), bare).otherwise(stem)
+    path = _slashes(stem)
     parts = F.transform(F.split(path, "/"), lambda p: F.replace(p, F.lit("."), F.lit("_")))
     folder = F.when(F.size(parts) > 1, _join_parts(parts, 1, 1)).otherwise("file_sources")
     file = F.element_at(parts, -1)

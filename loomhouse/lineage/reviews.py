@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: a block runs from its script line to the next one or the end.
-_BLOCK = r"(?s)([^\n]+\.sql):\s*\{(.*?)\}(?=\s*[^\n]+\.sql:|\s*\z)"
+# Text is cut where a script's name ends and its object begins.
+_CUT = r"\.sql:(?=\s*\{)"
 _USAGE = """
     template_name string, execution_number int,
     individual_prompts_metadata array<struct<
@@ -19,22 +19,33 @@ def review_blocks(texts: DataFrame) -> DataFrame:
     """One row per block of every review text: ``script``, ``notes``, ``parsed``.
 
     ``notes`` maps a column to its issues; ``parsed`` is false for a block
-    whose body is not JSON.
+    whose body is not JSON or has no end. A name starts on its line, or after
+    the brace that ends the block before; a body ends with its last brace.
     """
-
-    def parts(group: int):
-        return F.regexp_extract_all("content", F.lit(_BLOCK), F.lit(group))
-
-    blocks = texts.select(
-        "name", F.posexplode(F.arrays_zip(parts(1).alias("s"), parts(2).alias("b"))).alias("pos", "x")
+    cuts = F.size("_parts") - 1
+    blocks = (
+        texts.select("name", F.split("content", _CUT).alias("_parts"))
+        .where(cuts > 0)
+        .select(
+            "name",
+            F.posexplode(
+                F.arrays_zip(
+                    F.slice("_parts", F.lit(1), cuts).alias("s"),
+                    F.slice("_parts", F.lit(2), cuts).alias("b"),
+                )
+            ).alias("pos", "x"),
+        )
     )
-    body = F.concat(F.lit("{"), F.trim("x.b"), F.lit("}"))
+    line = F.substring_index("x.s", "\n", -1)
+    script = F.concat(F.trim(F.substring_index(line, "}", -1)), F.lit(".sql"))
+    open_ = F.substr("x.b", F.instr("x.b", "{"))
+    body = F.left(open_, F.length(open_) - F.length(F.substring_index(open_, "}", -1)))
     wrapped = F.from_json(
         F.concat(F.lit('{"m":'), body, F.lit("}")),
         "m map<string,array<string>>, _corrupt string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
-    return blocks.select("name", "pos", F.col("x.s").alias("script"), wrapped.alias("w")).select(
+    return blocks.select("name", "pos", script.alias("script"), wrapped.alias("w")).select(
         "name", "pos", "script", F.col("w.m").alias("notes"),
         (F.col("w._corrupt").isNull() & F.col("w.m").isNotNull()).alias("parsed"),
     )

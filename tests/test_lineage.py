@@ -145,13 +145,18 @@ def test_merge_keeps_the_last_value_present(docs):
 
 
 def test_edges_and_schema_triples(docs):
-    edges = lg.edges(docs)
+    spark = docs.sparkSession
+    needs = spark.createDataFrame([("p1", "p1"), ("1_a.sql", "1_a.sql")], "src string, dst string")
+    edges = lg.edges(docs, needs)
     rows = {tuple(r) for r in edges.collect()}
+    assert ("DEPENDS_ON", "p1", "p1") in rows
+    assert ("USES_INPUT_TABLE", "1_a.sql", "main.S") in rows
+    assert ("PRODUCES_OUTPUT_TABLE", "1_a.sql", "wh.T") in rows
     assert ("IN_TABLE", "wh.T.c3", "wh.T") in rows
     assert ("READS_FROM", "1_a.sql", "main.S.k") in rows
     assert ("IN_SCHEMA", "src.data.Batch1.In.txt", "src.data.Batch1") in rows
     triples = {tuple(r) for r in lg.schema_triples(edges, lg.vertices(docs)).collect()}
-    assert triples == {(a, t, b) for t, (a, b) in lg.EDGE_LABELS.items()}
+    assert triples == set(lg.EDGE_TRIPLES)
 
 
 def test_script_tables_take_the_first_mention(docs):
@@ -179,7 +184,9 @@ def test_names(spark):
 
     assert norm("T") == "main.T" and norm("a.T") == "a.T" and norm(None) == ""
     assert norm('"d.x/e\\f.g.CSV"') == "d_x.e.f_g"
-    assert norm('"f.dat"') == "file_sources.f"
+    assert norm('"f.dat"') == "file_sources.f" and norm('"f.json"') == '"f.json"'
+    assert norm('".csv"') == '".csv"' and norm('"') == 'main."'
+    assert norm("read_csv(x)") == "main.read_csv(x)"
     assert norm("read_csv('/src/Batch1\\HR.csv', delim=',')") == "file_sources.src_Batch1_HR"
     assert tuple(one(file_table(F.lit("a\\b/c.txt")))) == ("a.b", "c.txt")
     assert tuple(one(file_table(F.lit("c.txt")))) == ("file_root", "c.txt")
@@ -297,6 +304,21 @@ REVIEW = """a.sql:
 """
 
 
+def test_review_text_may_name_a_script_inside_an_issue(spark):
+    text = 'a.sql: {"x": ["see b.sql: } wrong"]}\n\nc d.sql:{"y": []} '
+    texts = spark.createDataFrame(
+        [("r", text), ("s", None), ("t", "no block"), ("u", "e.sql: {")], "name string, content string"
+    )
+    rows = {
+        (r["name"], r["script"], r["parsed"], str(r["notes"])) for r in review_blocks(texts).collect()
+    }
+    assert rows == {
+        ("r", "a.sql", True, "{'x': ['see b.sql: } wrong']}"),
+        ("r", "c d.sql", True, "{'y': []}"),
+        ("u", "e.sql", False, "None"),
+    }
+
+
 def test_review_blocks(spark):
     texts = spark.createDataFrame([("r", REVIEW)], "name string, content string")
     blocks = review_blocks(texts)
