@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +30,19 @@ HIGH_GRADES = ["AAA", "AA+", "AA", "AA-", "A+", "A", "A-", "BBB+", "BBB", "BBB-"
 LOW_GRADES = [
     "BB+", "BB", "BB-", "B+", "B", "B-", "CCC+", "CCC", "CCC-", "CC", "C", "D",
 ]
+# Marketing tags, each with the thresholds of which any (all) must hold.
+NAMEPLATE_RULES = {
+    "HighValue": ("OR", [("networth", ">", 1000000), ("income", ">", 200000)]),
+    "Expenses": ("OR", [("numberchildren", ">", 3), ("numbercreditcards", ">", 5)]),
+    "Boomer": ("OR", [("age", ">", 45)]),
+    "MoneyAlert": (
+        "OR",
+        [("income", "<", 50000), ("creditrating", "<", 600), ("networth", "<", 100000)],
+    ),
+    "Spender": ("OR", [("numbercars", ">", 3), ("numbercreditcards", ">", 7)]),
+    "Inherited": ("AND", [("age", "<", 25), ("networth", ">", 1000000)]),
+}
+_SIGNS = {">": operator.gt, "<": operator.lt, "OR": operator.or_, "AND": operator.and_}
 # Customer actions by resulting status.
 ACTIVE_ACTIONS = ["NEW", "ADDACCT", "UPDACCT", "UPDCUST"]
 INACTIVE_ACTIONS = ["CLOSEACCT", "INACT"]
@@ -98,15 +114,15 @@ def marketing_nameplate(
     rating: Column,
     cars: Column,
 ) -> Column:
-    """Marketing tags of a prospect (thresholds are fixed values)."""
+    """Marketing tags of a prospect, by ``NAMEPLATE_RULES``."""
+    values = {
+        "networth": networth, "income": income, "numberchildren": children,
+        "numbercreditcards": cards, "age": age, "creditrating": rating, "numbercars": cars,
+    }
     return tag_list(
         {
-            "HighValue": (networth > 1000000) | (income > 200000),
-            "Expenses": (children > 3) | (cards > 5),
-            "Boomer": age > 45,
-            "MoneyAlert": (income < 50000) | (rating < 600) | (networth < 100000),
-            "Spender": (cars > 3) | (cards > 7),
-            "Inherited": (age < 25) & (networth > 1000000),
+            tag: reduce(_SIGNS[how], [_SIGNS[sign](values[f], limit) for f, sign, limit in tests])
+            for tag, (how, tests) in NAMEPLATE_RULES.items()
         }
     )
 
