@@ -46,6 +46,7 @@ def salted_join(
     rows_per_task: int = ROWS_PER_TASK,
     spread: list[str] | None = None,
     spread_right: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join whose left side may be dominated by a few keys.
 
@@ -55,13 +56,15 @@ def salted_join(
     keys of the right side of an inner join.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; ``extra``
     is a residual condition over the two sides. ``profile`` is a cheaper frame
-    with the key distribution of ``left`` (its base table, say). Rows with a
-    null key match nothing and do not take part in the join.
+    with the key distribution of ``left`` (its base table, say); ``hot`` are its
+    hot keys where they are known, as ``hot_keys`` gives them. Rows with a null
+    key match nothing and do not take part in the join.
     """
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     keyed = left.where(~no_key)
     sized = (profile if profile is not None else left).where(~no_key)
-    hot = hot_keys(sized, on, rows_per_task)
+    if hot is None:
+        hot = hot_keys(sized, on, rows_per_task)
     keys = [*on, "_salt"]
     salted = _salted(keyed, hot, on, "_salt", spread)
     other = _repeated(right.where(~no_key), hot, on, "_salt")
