@@ -3,7 +3,8 @@
 Texts are grouped by a 128-bit hash together with the text itself, so rows of
 one group are equal byte by byte and texts that only share a hash stay apart.
 The grouping combines rows before the shuffle: a text with any number of
-copies costs one row per task. Only ids and hashes are joined back.
+copies costs one row per task. Only ids and hashes are joined back, and the
+rows of a text with very many copies are spread over several tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomhouse.llm.common import picked
+from loomhouse.operators.skew import ROWS_PER_TASK, salted_join
+from loomhouse.session import materialize
 
 
 def _hash(text: Column) -> Column:
@@ -23,6 +26,7 @@ def exact_classes(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: str = "smallest",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``id``, ``keep_id``, ``group_size``, ``kept``, ``sha256`` of every row.
 
@@ -36,23 +40,26 @@ def exact_classes(
     rows = picked(docs, id=id_col, text=text_col).select(
         "id", F.coalesce("text", F.lit("")).alias("text")
     )
-    equal = (
+    equal = materialize(
         rows.select("id", "text", _hash(F.col("text")).alias("hash"))
         .groupBy("hash", "text")
         .agg(stays.alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("hash", "keep_id", "group_size", F.sha2("text", 256).alias("sha256"))
+        .select("hash", "keep_id", "group_size", F.sha2("text", 256).alias("sha256")),
+        "equal-texts",
+    )
+    hot = equal.where(F.col("group_size") > rows_per_task).select(
+        "hash", "sha256", F.ceil(F.col("group_size") / rows_per_task).cast("int").alias("_salts")
     )
     # Texts that share a hash are told apart by their SHA-256.
-    return (
-        rows.select("id", _hash(F.col("text")).alias("hash"), F.sha2("text", 256).alias("sha256"))
-        .join(equal, ["hash", "sha256"])
-        .select(
-            "id",
-            "keep_id",
-            "group_size",
-            F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
-            "sha256",
-        )
+    hashed = rows.select(
+        "id", _hash(F.col("text")).alias("hash"), F.sha2("text", 256).alias("sha256")
+    )
+    return salted_join(hashed, equal, ["hash", "sha256"], hot=hot, spread=["id"]).select(
+        "id",
+        "keep_id",
+        "group_size",
+        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        "sha256",
     )
 
 

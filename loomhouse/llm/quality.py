@@ -143,18 +143,27 @@ def cascade_order(
 ) -> list[Rule]:
     """Rules by rejected texts per second on about ``sample_rows`` texts.
 
-    The sample is taken by a seeded draw and used for the order alone.
+    The sample is taken by a seeded draw and used for the order alone. A rule's
+    cost is the shorter of two runs less the time it takes to read the sample.
     """
     total = texts.count()
     sample = texts.select(text_col).sample(min(1.0, sample_rows / max(total, 1)), seed)
     sample = materialize(sample.coalesce(8), "quality-sample")
+
+    def tried(fails: Column) -> tuple[float, float]:
+        rate = F.coalesce(F.avg(fails.cast("int")), F.lit(0.0)).alias("rate")
+        seconds = []
+        for _ in range(2):
+            start = time.perf_counter()
+            failed = sample.agg(rate).first()["rate"]
+            seconds.append(time.perf_counter() - start)
+        return failed, min(seconds)
+
+    _, reading = tried(F.octet_length(text_col) < 0)
     gain = {}
     for rule in rules:
-        start = time.perf_counter()
-        failed = sample.agg(
-            F.coalesce(F.avg(rule.fails.cast("int")), F.lit(0.0)).alias("rate")
-        ).first()["rate"]
-        gain[rule.name] = failed / (time.perf_counter() - start)
+        failed, seconds = tried(rule.fails)
+        gain[rule.name] = failed / max(seconds - reading, 1e-3)
     return sorted(rules, key=lambda r: -gain[r.name])
 
 

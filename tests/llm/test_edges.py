@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomhouse.llm import chat, ftrl, urls
 from loomhouse.llm.common import crc_fold
+from loomhouse.llm.components import components
 from loomhouse.llm.exact import drop_copies, exact_classes
 from loomhouse.llm.mixing import mix_documents
 from loomhouse.llm.neardup import near_duplicates
@@ -71,6 +72,9 @@ def test_exact_classes(docs, none):
         (3, 3, 2, True), (4, 3, 2, False), (5, 5, 1, True), (6, 6, 1, True), (7, 7, 1, True),
     }
     assert exact_classes(none).count() == 0
+    spread = exact_classes(docs, rows_per_task=1).collect()
+    assert {(r.id, r.keep_id, r.group_size, r.kept) for r in spread} == got
+    assert len(spread) == docs.count()
     last = {(r.id, r.keep_id) for r in exact_classes(docs, keep="largest").collect()}
     assert {(1, 2), (2, 2), (3, 4), (None, 2)} <= last
 
@@ -218,3 +222,16 @@ def test_chat(spark):
 def test_hash_of_texts_is_that_of_their_bytes(docs):
     got = {r.sha256 for r in exact_classes(docs).collect() if r.id == 6}
     assert got == {hashlib.sha256(LONG.encode()).hexdigest()}
+
+
+def test_components_with_a_hub_over_several_tasks(spark):
+    star = [(1000, i) for i in range(1, 300)]
+    chain = [(i, i + 1) for i in range(2000, 2040)]
+    links = spark.createDataFrame([*star, *chain, (7, 7), (3000, 3000)], "a long, b long")
+    found = components(links, rows_per_task=20)
+    assert {(r.id, r.label) for r in found.collect()} == {
+        *((i, 1) for i in [*range(1, 300), 1000]),
+        *((i, 2000) for i in range(2000, 2041)),
+    }
+    assert found.count() == 341
+    assert components(links.limit(0)).count() == 0
