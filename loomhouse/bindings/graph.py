@@ -10,7 +10,7 @@ from loomhouse.bindings.registry import query, stored, table
 from loomhouse.bindings.scripts import padded
 from loomhouse.lineage import graph as lg
 from loomhouse.lineage.audit import class_counts, edge_directions, run_difference, script_extract
-from loomhouse.lineage.closure import derivation_paths, reachable
+from loomhouse.lineage.closure import derivation_paths, reachable, relational_edges
 from loomhouse.lineage.documents import (
     attach_scripts,
     derivations,
@@ -21,9 +21,10 @@ from loomhouse.lineage.documents import (
     source_entries,
 )
 from loomhouse.lineage.identifiers import normalize_table, parse_column, rewrite_csv_call
-from loomhouse.lineage.retrieval import nearest, with_neighbours
-from loomhouse.session import spread_out
+from loomhouse.lineage.retrieval import nearest, nearest_many, with_neighbours
+from loomhouse.session import fresh_folder
 from loomhouse.sources.catalog import catalog_of
+from loomhouse.sources.files import read_whole_texts
 
 
 def document_texts(spark, sf) -> DataFrame:
@@ -95,7 +96,7 @@ def _document_texts(spark, sf) -> DataFrame:
         )
     )
     cut = F.when(key % 10 == 9, doc.substr(F.lit(1), F.length(doc) - 5)).otherwise(doc)
-    return spread_out(table(spark, sf, "orders")).select(
+    return table(spark, sf, "orders").repartition("o_orderkey").select(
         F.concat(F.lit("cust"), padded("o_custkey"), F.lit("_"), padded("o_orderkey"), F.lit(".json")).alias("name"),
         cut.alias("content"),
     )
@@ -122,7 +123,7 @@ def documents(spark, sf) -> DataFrame:
         parsed, _ = parse_documents(document_texts(spark, sf))
         return attach_scripts(parsed, script_map(spark, sf))
 
-    return spread_out(stored(spark, sf, "documents", build))
+    return stored(spark, sf, "documents", build)
 
 
 def derived(spark, sf) -> DataFrame:
@@ -142,7 +143,9 @@ def io_columns(spark, sf) -> DataFrame:
 
 
 def vertex_table(spark, sf) -> DataFrame:
-    return stored(spark, sf, "vertices", lambda: lg.vertices(documents(spark, sf)))
+    return stored(
+        spark, sf, "vertices", lambda: lg.vertices(documents(spark, sf), derived(spark, sf))
+    )
 
 
 def edge_table(spark, sf) -> DataFrame:
@@ -150,7 +153,12 @@ def edge_table(spark, sf) -> DataFrame:
         spark,
         sf,
         "edges",
-        lambda: lg.edges(documents(spark, sf), pipeline_needs(spark, sf), script_needs(spark, sf)),
+        lambda: lg.edges(
+            documents(spark, sf),
+            pipeline_needs(spark, sf),
+            script_needs(spark, sf),
+            derived=derived(spark, sf),
+        ),
     )
 
 
@@ -226,28 +234,83 @@ _MERGED_SQL = """
         FROM ed GROUP BY ALL)"""
 
 
+# A join as the documents write it.
+_JOIN_SQL = """'{"type":"INNER JOIN","left_source":{"identifier":"a.k","path":["k"]},'
+    || '"right_source":{"identifier":"b.k","path":["k"]}}'"""
+
+
 @query(
     "lineage_docs_parse",
-    """
+    rf"""
     SELECT 'cust' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '_'
                || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.json' AS file_name,
            CASE WHEN o_orderkey % 10 = 9 THEN NULL WHEN o_orderstatus = 'P' THEN 'main.c' || o_custkey
                 ELSE 'wh.c' || o_custkey END AS target,
-           CASE WHEN o_orderkey % 10 <> 9 THEN 2 END AS n_columns,
-           CASE WHEN o_orderkey % 10 <> 9 THEN 2 END AS n_sources,
+           CASE WHEN o_orderkey % 10 <> 9 THEN '[{{"type":"TABLE","name":"wh.src_' || o_orderstatus || '"'
+               || CASE WHEN o_orderkey % 3 = 0 THEN ',"alias_or_cte":"a' || o_orderkey || '"' ELSE '' END
+               || '}},{{"type":"' || CASE WHEN o_orderstatus = 'O' THEN 'CTE' ELSE 'FILE' END
+               || '","name":"data\\in' || substr(o_orderpriority, 1, 1) || '/p'
+               || substr(o_orderpriority, 1, 1) || '.csv"}}]' END AS summary,
+           CASE WHEN o_orderkey % 10 <> 9 THEN '{{"price":{{"sources":[{{"source_identifier":"wh.src_'
+               || o_orderstatus || '.price","path":["s.price"],"role":"direct input"'
+               || CASE WHEN o_orderkey % 2 = 0 THEN ',"notes":"n' || o_orderkey || '"' ELSE '' END
+               || '}},{{"source_identifier":"stage.total","role":"join key","join_info":' || {_JOIN_SQL}
+               || ',"transformation_type":"JOIN_LOOKUP"}}],"transformation_type":"CAST",'
+               || '"transformation_logic":"cast ' || o_orderkey
+               || '"}},"prio":{{"sources":[{{"source_identifier":"file.c' || substr(o_orderpriority, 1, 1)
+               || '","role":"direct input"}},{{"source_identifier":"1","role":"constant"}}],'
+               || '"transformation_type":"DIRECT INPUT"'
+               || CASE WHEN starts_with(o_orderpriority, '1')
+                  THEN ',"transformation_logic":"COPY from file"' ELSE '' END || '}}}}' END AS lineage,
            o_orderkey % 10 = 9 AS rejected
     FROM orders""",
 )
 def q_docs_parse(spark, sf):
     parsed, rejects = parse_documents(document_texts(spark, sf))
     good = parsed.select(
-        "file_name", "target", F.size("lineage").alias("n_columns"),
-        F.size("sources_summary").alias("n_sources"), F.lit(False).alias("rejected"),
+        "file_name", "target", F.to_json("sources_summary").alias("summary"),
+        F.to_json("lineage").alias("lineage"), F.lit(False).alias("rejected"),
     )
     bad = rejects.select("file_name", F.lit(True).alias("rejected"))
     return good.unionByName(bad, allowMissingColumns=True)
 
 
+@query(
+    "lineage_docs_read",
+    """
+    SELECT 'd' || s_suppkey || '.json' AS file_name, 'wh.s' || s_nationkey AS target,
+           unnest(['balance', 'name']) AS target_column,
+           unnest(['stage.' || s_suppkey, 'src.people.name']) AS source_identifier,
+           unnest(['wh', 'copied']) AS role
+    FROM supplier""",
+)
+def q_docs_read(spark, sf):
+    """One JSON file per supplier, in a folder each, read whole and parsed."""
+
+    def column(identifier, role: str):
+        source = F.struct(identifier.alias("source_identifier"), F.lit(role).alias("role"))
+        return F.struct(F.array(source).alias("sources"))
+
+    doc = F.struct(
+        F.concat(F.lit("wh.s"), "s_nationkey").alias("target_table"),
+        F.create_map(
+            F.lit("balance"), column(F.concat(F.lit("stage."), "s_suppkey"), "wh"),
+            F.lit("name"), column(F.lit("src.people.name"), "copied"),
+        ).alias("lineage"),
+    )
+    folder = fresh_folder(spark, "documents")
+    table(spark, sf, "supplier").select(
+        F.to_json(doc).alias("value"), F.col("s_suppkey").alias("k")
+    ).write.partitionBy("k").text(folder)
+    number = F.regexp_extract("path", r"k=(\d+)/", 1)
+    texts = read_whole_texts(spark, folder, "*.txt").select(
+        F.concat(F.lit("d"), number, F.lit(".json")).alias("name"), "content"
+    )
+    parsed, _ = parse_documents(texts)
+    entries = source_entries(parsed.withColumn("script", F.lit(None).cast("string")))
+    return entries.select("file_name", "target", "target_column", "source_identifier", "role")
+
+
 @query(
     "lineage_identifier_parse",
     """
@@ -314,14 +377,14 @@ def q_table_normalize(spark, sf):
     f"""
     WITH {_DOCS_SQL}
     SELECT file_name, script, tgt AS target_full, src AS source_full, col_pos, src_pos,
-           transformation_type, transformation_logic, path, role, has_join, notes FROM ed""",
+           transformation_type, transformation_logic, path, role,
+           CASE WHEN has_join THEN {_JOIN_SQL} END AS join_info, notes FROM ed""",
 )
 def q_edges_extract(spark, sf):
     return derived(spark, sf).select(
         "file_name", "script", "target_full", "source_full", "col_pos", "src_pos",
         "transformation_type", "transformation_logic", F.array_join("path", ",").alias("path"),
-        "role", F.contains("join_info", F.lit('"identifier":"a.k"')).isNotNull().alias("has_join"),
-        "notes",
+        "role", "join_info", "notes",
     )
 
 
@@ -336,10 +399,7 @@ def q_lineage_rejects(spark, sf):
     return rejected_entries(source_entries(documents(spark, sf)))
 
 
-@query(
-    "lineage_vertices",
-    f"""
-    WITH {_DOCS_SQL},
+_VERTEX_SQL = """
     m AS (
         SELECT 'Pipeline' AS label, pipeline AS key, pipeline AS name, NULL AS type FROM doc
         UNION SELECT 'Script', script, script, 'SQL' FROM doc
@@ -349,23 +409,73 @@ def q_lineage_rejects(spark, sf):
         UNION SELECT 'Schema', sschema, sschema, NULL FROM ed
         UNION SELECT 'Table', sschema || '.' || stable, stable,
                      CASE WHEN ftable = stable THEN 'FILE' ELSE 'TABLE' END FROM ed
-        UNION SELECT 'Column', src, scol, NULL FROM ed)
-    SELECT * FROM m""",
+        UNION SELECT 'Column', src, scol, NULL FROM ed)"""
+
+
+@query(
+    "lineage_vertices",
+    f"""
+    WITH {_DOCS_SQL}, {_VERTEX_SQL} SELECT * FROM m""",
 )
 def q_vertices(spark, sf):
     return vertex_table(spark, sf)
 
 
+@query(
+    "lineage_vertex_properties",
+    f"""
+    WITH {_DOCS_SQL}, {_VERTEX_SQL},
+    cat AS (
+        SELECT 'Column' AS label, 'wh.c' || c_custkey || '.' || col AS key, col AS name,
+               CASE col WHEN 'price' THEN 'double' ELSE 'timestamp' END AS type,
+               CASE col WHEN 'price' THEN 'Primary Key: true' END AS description,
+               'of ' || c_name AS comment
+        FROM customer, (VALUES ('price'), ('loaded')) v(col)
+        WHERE 'wh.c' || c_custkey IN (SELECT target FROM doc)),
+    t AS (SELECT 'cust' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') || '.sql' AS key, c_custkey
+          FROM customer)
+    SELECT coalesce(m.label, cat.label) AS label, coalesce(m.key, cat.key) AS key,
+           coalesce(m.name, cat.name) AS name, coalesce(cat.type, m.type) AS type,
+           cat.description, cat.comment, 'sql/' || t.key AS path_to_sql,
+           'SELECT ' || t.c_custkey AS sql_content
+    FROM m FULL JOIN cat ON m.label = cat.label AND m.key = cat.key
+         LEFT JOIN t ON m.label = 'Script' AND m.key = t.key""",
+)
+def q_vertex_properties(spark, sf):
+    """A catalog of two columns per customer table and the text of every script."""
+    customers = table(spark, sf, "customer")
+    own = F.concat(F.lit("wh.c"), "c_custkey").alias("table_full_name")
+    note = F.concat(F.lit("of "), "c_name").alias("comment")
+
+    def column(name: str, kind: str, description):
+        return customers.select(
+            own, F.lit(name).alias("column"), F.lit(kind).alias("type"),
+            F.lit(description).cast("string").alias("description"), note,
+        )
+
+    catalog = column("price", "double", "Primary Key: true").unionByName(
+        column("loaded", "timestamp", None)
+    )
+    name = F.concat(F.lit("cust"), padded("c_custkey"), F.lit(".sql"))
+    texts = customers.select(
+        name.alias("name"), F.concat(F.lit("sql/"), name).alias("path"),
+        F.concat(F.lit("SELECT "), "c_custkey").alias("content"),
+    )
+    columns = lg.enrich_columns(documents(spark, sf), catalog)
+    return lg.vertex_properties(vertex_table(spark, sf), columns, texts)
+
+
 @query(
     "lineage_edges_merge",
     f"""
-    WITH {_DOCS_SQL}, {_MERGED_SQL} SELECT * FROM mg""",
+    WITH {_DOCS_SQL}, {_MERGED_SQL}
+    SELECT * EXCLUDE (has_join), CASE WHEN has_join THEN {_JOIN_SQL} END AS join_info FROM mg""",
 )
 def q_edges_merge(spark, sf):
     return merged(spark, sf).select(
         "target_column", "source_column", "transformation_type", "transformation_logic",
         F.array_join("path", ",").alias("path"), "role",
-        F.col("join_info").isNotNull().alias("has_join"), "notes",
+        "join_info", "notes",
     )
 
 
@@ -587,7 +697,7 @@ def walk_edges(spark, sf) -> DataFrame:
     """Lines derive from orders, orders from customers, and so on to regions."""
 
     def step(t: str, src, dst):
-        return spread_out(table(spark, sf, t)).select(
+        return table(spark, sf, t).select(
             F.concat(*src).alias("src"), F.concat(*dst).alias("dst")
         )
 
@@ -636,6 +746,55 @@ def q_downstream_impact(spark, sf):
     return reachable(flipped, regions)
 
 
+@query(
+    "relational_paths",
+    f"""
+    WITH RECURSIVE
+    named AS (SELECT c_custkey AS id, c_nationkey AS n,
+                     r_name || '.' || n_name || '.' || c_name AS full_name
+              FROM customer JOIN nation ON c_nationkey = n_nationkey
+                   JOIN region ON n_regionkey = r_regionkey),
+    ed AS (SELECT DISTINCT t.full_name AS src, s.full_name AS dst, t.n
+           FROM orders JOIN named t ON t.id = o_custkey JOIN named s ON s.id = o_custkey // 2
+           WHERE o_custkey <> o_custkey // 2),
+    p AS (SELECT src AS start, src, dst, 1 AS depth, src || '>' || dst AS path FROM ed WHERE n = 7
+          UNION ALL
+          SELECT p.start, ed.src, ed.dst, p.depth + 1, p.path || '>' || ed.dst
+          FROM p JOIN ed ON ed.src = p.dst)
+    SELECT * FROM p""",
+)
+def q_relational_paths(spark, sf):
+    """Regions as schemas, nations as tables, customers as columns.
+
+    The column of an ordering customer derives from that of half its number;
+    paths start at the columns of one table.
+    """
+    columns = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("column_id"), F.col("c_nationkey").alias("table_id"),
+        F.col("c_name").alias("name"),
+    )
+    tables = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("table_id"), F.col("n_regionkey").alias("schema_id"),
+        F.col("n_name").alias("name"),
+    )
+    schemas = table(spark, sf, "region").select(
+        F.col("r_regionkey").alias("schema_id"), F.col("r_name").alias("name")
+    )
+    links = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("to_column_id"),
+        F.floor(F.col("o_custkey") / 2).alias("from_column_id"),
+    ).where("to_column_id <> from_column_id").distinct()
+    edges = relational_edges(links, columns, tables, schemas)
+    starts = (
+        columns.where("table_id = 7").withColumnRenamed("name", "_column")
+        .join(tables.withColumnRenamed("name", "_table"), "table_id")
+        .join(schemas, "schema_id")
+        .select(F.concat_ws(".", "name", "_table", "_column").alias("node"))
+    )
+    paths = derivation_paths(edges, starts)
+    return paths.withColumn("path", F.array_join("path", ">"))
+
+
 @query(
     "lineage_catalog_enrich",
     """
@@ -693,3 +852,22 @@ def q_vector_topk(spark, sf):
         F.col("vec_id").alias("src"), F.concat(F.lit("label "), "label").alias("dst")
     )
     return with_neighbours(found, edges, "vec_id").withColumn("score", F.round("score", 6))
+
+
+@query(
+    "vector_topk_many",
+    """
+    WITH s AS (
+        SELECT q.vec_id AS question, v.vec_id AS node,
+               round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]),
+                     CAST(v.embedding AS DOUBLE[])), 6) AS score
+        FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0)
+    SELECT question, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, node) AS INT) AS rank,
+           node, score
+    FROM s QUALIFY rank <= 10""",
+)
+def q_vector_topk_many(spark, sf):
+    """The ten vectors nearest to each vector whose id is divisible by 50."""
+    nodes = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    questions = nodes.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "question")
+    return nearest_many(nodes, questions, 10, "vec_id", "embedding")

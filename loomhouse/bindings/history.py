@@ -15,6 +15,7 @@ from loomhouse.operators.aggregates import (
 from loomhouse.operators.intervals import overlap_join, point_lookup
 from loomhouse.operators.joins import either_key_lookup, expand_names
 from loomhouse.operators.versions import scd2_build
+from loomhouse.session import materialize
 
 
 def span() -> list:
@@ -250,13 +251,12 @@ def q_daily_cash_total(spark, sf):
 def q_cash_running_balance(spark, sf):
     """Daily totals, the account version of the day, and the running balance."""
     cash = table(spark, sf, "events")
-    daily = daily_total(cash, ["user_id"], "ts", "value", "total")
+    daily = materialize(daily_total(cash, ["user_id"], "ts", "value", "total"), "daily-cash")
     owned = point_lookup(
         daily,
         versions_of(spark, sf, "purchase").drop("value"),
         ["user_id"],
         "datevalue",
-        profile=cash.select("user_id", F.to_date("ts").alias("datevalue")),
     )
     return owned.select(
         "user_id",

@@ -15,8 +15,9 @@ from loomhouse.operators.keys import (
     date_key,
     next_dense_start,
 )
-from loomhouse.operators.sinks import conform, upsert
+from loomhouse.operators.sinks import conform, save, upsert
 from loomhouse.schemas import struct
+from loomhouse.session import fresh_folder
 from loomhouse.sources.files import batch_number
 
 
@@ -388,3 +389,27 @@ def q_dense_key_append(spark, sf):
     start = next_dense_start(table(spark, sf, "part"), "p_partkey")
     suppliers = table(spark, sf, "supplier").select("s_suppkey")
     return assign_dense_ids(suppliers, ["s_suppkey"], "sk", start)
+
+
+@query(
+    "table_append",
+    """
+    SELECT o_orderkey AS tradeid, CAST(o_custkey AS VARCHAR) AS account, o_totalprice AS price,
+           CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS batchid
+    FROM orders""",
+)
+def q_table_append(spark, sf):
+    """A table replaced by a first batch of orders, then a second one appended."""
+    orders = table(spark, sf, "orders")
+    target = struct("tradeid bigint not null, account string, price double, batchid int")
+    folder = fresh_folder(spark, "appended")
+
+    def batch(rows, number: int):
+        return conform(
+            rows.select("o_orderkey", "o_custkey", "o_totalprice", F.lit(number)), target
+        )
+
+    save(batch(orders, 0), folder, "overwrite")
+    save(batch(orders.where("o_orderstatus <> 'P'"), 1), folder, "overwrite")
+    save(batch(orders.where("o_orderstatus = 'P'"), 2), folder)
+    return spark.read.schema(target).parquet(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,12 @@ def query(name: str, sql: str | None = None):
     """Register a query and the SQL that gives the same rows."""
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            _STORED.clear()
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return fn
@@ -52,9 +58,9 @@ def sql_list(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-# Tables already written by this application: a target is loaded once and read
-# by the targets behind it.
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+# Tables written by the query that runs: a table is built once and read by all
+# that stand on it. The next query starts anew.
+_STORED: dict[tuple[str, str], DataFrame] = {}
 
 
 def stored(
@@ -64,7 +70,7 @@ def stored(
     build: Callable[[], DataFrame],
     partition_by: tuple[str, ...] = (),
 ) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf, name)
+    key = (sf, name)
     if key not in _STORED:
         _STORED[key] = materialize(build(), name, partition_by)
     return _STORED[key]

@@ -15,7 +15,7 @@ from loomhouse.lineage.reviews import (
     usage_rows,
 )
 from loomhouse.operators.aggregates import usage_stats
-from loomhouse.session import fresh_folder, spread_out
+from loomhouse.session import fresh_folder
 from loomhouse.sources.files import read_whole_texts
 
 
@@ -82,7 +82,7 @@ def q_script_name_resolve(spark, sf):
 
 def dependency_texts(spark, sf):
     """Orders need their customer and its nation, customers their nation, and so on."""
-    orders = spread_out(table(spark, sf, "orders")).join(
+    orders = table(spark, sf, "orders").repartition("o_orderkey").join(
         table(spark, sf, "customer").select("c_custkey", "c_nationkey"),
         F.col("o_custkey") == F.col("c_custkey"),
     )
@@ -201,20 +201,20 @@ def q_script_text_counts(spark, sf):
 @query(
     "script_files_read",
     """
-    SELECT n_nationkey, 'SELECT * FROM t' || chr(10) || 'WHERE k = ' || n_nationkey AS content
-    FROM nation""",
+    SELECT s_suppkey, 'SELECT * FROM t' || chr(10) || 'WHERE k = ' || s_suppkey AS content
+    FROM supplier""",
 )
 def q_script_files_read(spark, sf):
-    """Script files of the nations, a folder each, read back whole."""
+    """Script files of the suppliers, a folder each, read back whole."""
     folder = fresh_folder(spark, "scripts")
-    table(spark, sf, "nation").select(
-        F.concat(F.lit("SELECT * FROM t\nWHERE k = "), "n_nationkey").alias("value"),
-        F.col("n_nationkey").alias("k"),
+    table(spark, sf, "supplier").select(
+        F.concat(F.lit("SELECT * FROM t\nWHERE k = "), "s_suppkey").alias("value"),
+        F.col("s_suppkey").alias("k"),
     ).write.partitionBy("k").text(folder)
     texts = read_whole_texts(spark, folder, "*.txt")
-    number = F.regexp_extract("path", r"k=(\d+)/", 1).cast("int")
+    number = F.regexp_extract("path", r"k=(\d+)/", 1).cast("long")
     return texts.select(
-        number.alias("n_nationkey"), F.regexp_replace("content", "\n$", "").alias("content")
+        number.alias("s_suppkey"), F.regexp_replace("content", "\n$", "").alias("content")
     )
 
 
@@ -231,7 +231,7 @@ def review_texts(spark, sf):
     second = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit('{\n "x": [oops\n}')).otherwise(
         F.lit('{\n "x": ["a.b.sql is fine"],\n "y": null\n}')
     )
-    return spread_out(table(spark, sf, "orders")).select(
+    return table(spark, sf, "orders").repartition("o_orderkey").select(
         padded("o_orderkey").alias("name"),
         F.concat(
             cust, F.lit(":\n"), first,

@@ -10,7 +10,7 @@ from loomhouse.functions import fixed_width as fw
 from loomhouse.functions import labels
 from loomhouse.plans.warehouse import stage_customers, stage_prospects
 from loomhouse.schemas import CUSTOMER_EXTRACT, HR_FILE, PROSPECT_FILE, TRADE_FILE
-from loomhouse.session import fresh_folder, spread_out
+from loomhouse.session import fresh_folder
 from loomhouse.sources.files import (
     read_batch_dates,
     read_delimited,
@@ -107,8 +107,11 @@ def q_prospect_stage(spark, sf):
     """
     SELECT o_orderkey AS tradeid, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS t_dts,
            o_orderstatus AS status,
+           'TMB' AS t_tt_id, CAST(1 AS TINYINT) AS cashflag, 'SYM' AS t_s_symb,
            CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey % 1000 END AS quantity,
-           o_totalprice AS bidprice, o_custkey AS t_ca_id
+           o_totalprice AS bidprice, o_custkey AS t_ca_id, 'Jo' AS executedby,
+           o_totalprice AS tradeprice, CAST(0.5 AS DOUBLE) AS fee,
+           CAST(0.25 AS DOUBLE) AS commission, CAST(0 AS DOUBLE) AS tax
     FROM orders""",
 )
 def q_trade_stage(spark, sf):
@@ -123,14 +126,7 @@ def q_trade_stage(spark, sf):
     )
     positional = rows.toDF(*[f"c{i}" for i in range(14)])
     trades = read_delimited(spark, write_delimited(positional, "Trade.txt"), TRADE_FILE)
-    return trades.select(
-        "tradeid",
-        stamp("t_dts"),
-        "status",
-        "quantity",
-        "bidprice",
-        "t_ca_id",
-    )
+    return trades.withColumn("t_dts", stamp("t_dts"))
 
 
 def wire_lines(spark, sf) -> DataFrame:
@@ -244,7 +240,7 @@ def financial_source(spark, sf) -> DataFrame:
     suppliers = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("company"), "s_name"
     )
-    reported = spread_out(table(spark, sf, "orders")).withColumn(
+    reported = table(spark, sf, "orders").repartition("o_orderkey").withColumn(
         "company", F.col("o_custkey") % row_count(suppliers)
     )
     at = F.to_date("o_orderdate")
@@ -376,7 +372,7 @@ def action_log(spark, sf) -> DataFrame:
         F.min(F.struct("o_orderdate", "o_orderkey"))["o_orderkey"].alias("first_key")
     )
     rows = (
-        spread_out(orders)
+        orders.repartition("o_orderkey")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(firsts, "o_custkey")
         .withColumn("is_new", F.col("o_orderkey") == F.col("first_key"))
@@ -485,21 +481,28 @@ ACTIONS_CTE = """
     f"WITH {ACTIONS_CTE}"
     + """
     SELECT actiontype AS "ActionType", strftime(update_ts, '%Y-%m-%dT%H:%M:%S') AS "ActionTS",
-           CAST(customerid AS VARCHAR) AS "C_ID", CAST(accountid AS VARCHAR) AS "CA_ID",
-           lastname AS "C_L_NAME", city AS "C_CITY", accountdesc AS "CA_NAME",
-           CAST(o_orderkey AS VARCHAR) AS "C_LOCAL",
+           CAST(customerid AS VARCHAR) AS "C_ID", taxid AS "C_TAX_ID", lower(gender) AS "C_GNDR",
+           CAST(tier AS VARCHAR) AS "C_TIER", CAST(dob AS VARCHAR) AS "C_DOB",
+           lastname AS "C_L_NAME", firstname AS "C_F_NAME", middleinitial AS "C_M_NAME",
+           addressline1 AS "C_ADLINE1", addressline2 AS "C_ADLINE2", postalcode AS "C_ZIPCODE",
+           city AS "C_CITY", stateprov AS "C_STATE_PROV", country AS "C_CTRY",
+           email1 AS "C_PRIM_EMAIL", email2 AS "C_ALT_EMAIL",
+           lcl_tx_id AS "C_LCL_TX_ID", nat_tx_id AS "C_NAT_TX_ID",
+           '1' AS "C_CTRY_CODE", CASE WHEN o_orderkey % 2 = 0 THEN '716' END AS "C_AREA_CODE",
+           CAST(o_orderkey AS VARCHAR) AS "C_LOCAL", '99' AS "C_EXT",
+           CAST(NULL AS VARCHAR) AS "C_CTRY_CODE_1", '716' AS "C_AREA_CODE_1",
            CASE WHEN phone2 IS NOT NULL THEN o_orderkey || '-2' END AS "C_LOCAL_1",
-           CASE WHEN phone3 IS NOT NULL THEN '777' END AS "C_LOCAL_2", '99' AS "C_EXT",
-           '44' AS "C_CTRY_CODE_2", nat_tx_id AS "C_NAT_TX_ID"
+           CAST(NULL AS VARCHAR) AS "C_EXT_1",
+           '44' AS "C_CTRY_CODE_2", CAST(NULL AS VARCHAR) AS "C_AREA_CODE_2",
+           CASE WHEN phone3 IS NOT NULL THEN '777' END AS "C_LOCAL_2",
+           CAST(NULL AS VARCHAR) AS "C_EXT_2",
+           CAST(accountid AS VARCHAR) AS "CA_ID", CAST(taxstatus AS VARCHAR) AS "CA_TAX_ST",
+           CAST(brokerid AS VARCHAR) AS "CA_B_ID", accountdesc AS "CA_NAME"
     FROM act""",
 )
 def q_xml_action_flatten(spark, sf):
     flat = action_log(spark, sf)
-    names = [
-        "ActionType", "ActionTS", "C_ID", "CA_ID", "C_L_NAME", "C_CITY", "CA_NAME", "C_LOCAL",
-        "C_LOCAL_1", "C_LOCAL_2", "C_EXT", "C_CTRY_CODE_2", "C_NAT_TX_ID",
-    ]
-    return flat.select(*[labels.blank_to_null(F.col(n)).alias(n) for n in names])
+    return flat.select(*[labels.blank_to_null(F.col(n)).alias(n) for n in flat.columns])
 
 
 @query(
@@ -566,14 +569,20 @@ def batch_dates(spark, sf) -> DataFrame:
     return read_batch_dates(spark, folder)
 
 
+# Columns of the change extract that get a value of their own.
+_EXTRACT_OWN = ["cdc_flag", "cdc_dsn", "customerid", "lastname", "tier", "dob", "city"]
+_EXTRACT_NAMES = [c.split()[0] for c in CUSTOMER_EXTRACT.split(",")]
+_EXTRACT_REST = [n for n in _EXTRACT_NAMES if n not in _EXTRACT_OWN]
+
+
 @query(
     "cdc_extract_read",
-    """
+    f"""
     SELECT CASE WHEN c_acctbal < 0 THEN 'U' ELSE 'I' END AS cdc_flag, c_custkey + 1 AS cdc_dsn,
            c_custkey AS customerid, c_name AS lastname,
            CAST(c_nationkey % 3 + 1 AS TINYINT) AS tier, '1980-05-06' AS dob,
            CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS city,
-           '555' AS c_local_n3, 'N1' AS nat_tx_id
+           {", ".join(f"'{n} ' || c_custkey AS {n}" for n in _EXTRACT_REST)}
     FROM customer""",
 )
 def q_cdc_extract_read(spark, sf):
@@ -586,11 +595,8 @@ def q_cdc_extract_read(spark, sf):
         "tier": F.col("c_nationkey") % 3 + 1,
         "dob": F.lit("1980-05-06"),
         "city": F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")),
-        "c_local_n3": F.lit("555"),
-        "nat_tx_id": F.lit("N1"),
+        **{n: F.concat(F.lit(f"{n} "), "c_custkey") for n in _EXTRACT_REST},
     }
-    names = [c.split()[0] for c in CUSTOMER_EXTRACT.split(",")]
-    none = F.lit(None).cast("string")
-    rows = table(spark, sf, "customer").select(*[known.get(n, none).alias(n) for n in names])
+    rows = table(spark, sf, "customer").select(*[known[n].alias(n) for n in _EXTRACT_NAMES])
     read = read_delimited(spark, write_delimited(rows, "Batch2-Customer.txt"), CUSTOMER_EXTRACT)
-    return read.select(*[text(n) if n == "dob" else F.col(n) for n in known])
+    return read.select(*[text(n) if n == "dob" else F.col(n) for n in _EXTRACT_NAMES])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomhouse.operators.skew import salted_join
+from loomhouse.operators.skew import hot_keys, salted_join
 from loomhouse.session import materialize
 
 
@@ -66,6 +66,7 @@ def reachable(edges: DataFrame, starts: DataFrame, node: str = "node") -> DataFr
     cyclic graphs. The start itself is reported only if a cycle leads back.
     """
     step = materialize(edges.select("src", "dst").distinct(), "edges")
+    hot = materialize(hot_keys(step, ["src"]), "hot-nodes")
     frontier = materialize(
         starts.select(F.col(node).alias("start"), F.col(node).alias("node")).distinct(),
         "frontier",
@@ -76,7 +77,7 @@ def reachable(edges: DataFrame, starts: DataFrame, node: str = "node") -> DataFr
         depth += 1
         side = frontier.select("start", F.col("node").alias("src"))
         found = (
-            salted_join(step, side, ["src"], spread_right=True)
+            salted_join(step, side, ["src"], spread_right=True, hot=hot)
             .select("start", F.col("dst").alias("node"))
             .distinct()
         )
@@ -93,24 +94,35 @@ def load_levels(edges: DataFrame, nodes: DataFrame, node: str = "node") -> DataF
     """``(node, level)``: level 0 has no prerequisite, else longest path to one.
 
     ``edges`` point from a node to its prerequisite. Nodes on or behind a cycle
-    can never load and get a null level.
+    can never load and get a null level. The edges are written once; each level
+    lowers the number of missing prerequisites of the nodes still waiting.
     """
-    waiting = materialize(nodes.select(F.col(node).alias("node")).distinct(), "waiting")
-    open_edges = materialize(edges.select("src", "dst").distinct(), "open-edges")
+    needs = materialize(edges.select("src", "dst").distinct(), "needs")
+    hot = materialize(hot_keys(needs, ["dst"]), "hot-prerequisites")
+    counts = needs.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("missing"))
+    waiting = materialize(
+        nodes.select(F.col(node).alias("node")).distinct()
+        .join(counts, "node", "left")
+        .select("node", F.coalesce("missing", F.lit(0)).alias("missing")),
+        "waiting",
+    )
     levels: list[DataFrame] = []
     while True:
-        blocked = open_edges.select(F.col("src").alias("node")).distinct()
-        ready = materialize(waiting.join(blocked, ["node"], "left_anti"), "ready")
+        ready = materialize(waiting.where("missing = 0").select("node"), "ready")
         if ready.isEmpty():
-            stuck = waiting.withColumn("level", F.lit(None).cast("int"))
+            stuck = waiting.select("node", F.lit(None).cast("int").alias("level"))
             return _union_all([*levels, stuck])
         levels.append(ready.withColumn("level", F.lit(len(levels))))
-        waiting = materialize(waiting.join(ready, ["node"], "left_anti"), "waiting")
-        open_edges = materialize(
-            salted_join(
-                open_edges, ready.select(F.col("node").alias("dst")), ["dst"], "left_anti"
-            ),
-            "open-edges",
+        met = (
+            salted_join(needs, ready.select(F.col("node").alias("dst")), ["dst"], hot=hot)
+            .groupBy(F.col("src").alias("node"))
+            .agg(F.count(F.lit(1)).alias("met"))
+        )
+        waiting = materialize(
+            waiting.where("missing > 0")
+            .join(met, "node", "left")
+            .select("node", (F.col("missing") - F.coalesce("met", F.lit(0))).alias("missing")),
+            "waiting",
         )
 
 

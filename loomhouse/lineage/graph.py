@@ -56,13 +56,16 @@ def _file_parts() -> tuple[Column, Column, Column]:
     return schema, table, F.when(F.col("file").isNotNull(), F.concat_ws(".", schema, table))
 
 
-def vertices(documents: DataFrame) -> DataFrame:
+def vertices(documents: DataFrame, derived: DataFrame | None = None) -> DataFrame:
     """``(label, key, name, type)``: every vertex the documents mention.
 
     The first mention in document order sets name and type; a file source
     makes its table a FILE whatever came first. Each mention becomes one small
-    row and the merge is a plain aggregate.
+    row and the merge is a plain aggregate. ``derived`` are the derivation rows
+    of the documents, where they are stored already.
     """
+    if derived is None:
+        derived = derivations(source_entries(documents))
     none = F.lit(None)
     place = F.col("file_name")
     zero = F.lit(0)
@@ -87,7 +90,7 @@ def vertices(documents: DataFrame) -> DataFrame:
         ).alias("v")
     )
     at = (place, F.lit(3), F.col("col_pos"), F.col("src_pos"))
-    per_source = derivations(source_entries(documents)).select(
+    per_source = derived.select(
         F.explode(
             F.array(
                 _vertex("Schema", F.col("source_schema"), F.col("source_schema"), none, False, *at),
@@ -135,13 +138,17 @@ def script_columns(derived: DataFrame) -> DataFrame:
     return derived.select("script", pair.alias("e")).select("script", "e.*").distinct()
 
 
-def edges(documents: DataFrame, *dependencies: DataFrame) -> DataFrame:
+def edges(
+    documents: DataFrame, *dependencies: DataFrame, derived: DataFrame | None = None
+) -> DataFrame:
     """``(edge_type, src, dst)`` of all edges.
 
     Structure, derivations and the tables of a script come from the documents;
     ``dependencies`` are frames ``(src, dst)`` of pipelines or scripts, as
-    ``dependency_edges`` gives them.
+    ``dependency_edges`` gives them; ``derived`` as for ``vertices``.
     """
+    if derived is None:
+        derived = derivations(source_entries(documents))
 
     def edge(kind: str, src: Column, dst: Column) -> Column:
         return F.struct(F.lit(kind).alias("edge_type"), src.alias("src"), dst.alias("dst"))
@@ -160,7 +167,6 @@ def edges(documents: DataFrame, *dependencies: DataFrame) -> DataFrame:
     per_target = target_columns(documents).select(
         edge("IN_TABLE", F.concat_ws(".", "target", "target_column"), F.col("target")).alias("e")
     )
-    derived = derivations(source_entries(documents))
     per_source = derived.select(
         F.explode(
             F.array(
@@ -195,6 +201,41 @@ def enrich_columns(documents: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
+def vertex_properties(vertex_rows: DataFrame, columns: DataFrame, texts: DataFrame) -> DataFrame:
+    """Vertices with what the catalog and the script files know of them.
+
+    ``columns`` are catalog columns as ``enrich_columns`` gives them; a column
+    no document mentions becomes a vertex. ``texts`` has ``name``, ``path`` and
+    ``content`` of script files, at most one row per name; files without vertex
+    are left out. One aggregate over all rows, one row per vertex and origin.
+    """
+    known = vertex_rows.select("label", "key", "name", "type", F.lit(0).alias("origin"))
+    described = columns.select(
+        F.lit("Column").alias("label"), F.col("column_full_name").alias("key"), "name", "type",
+        "description", "comment", F.lit(1).alias("origin"),
+    )
+    written = texts.select(
+        F.lit("Script").alias("label"), F.col("name").alias("key"),
+        F.col("path").alias("path_to_sql"), F.col("content").alias("sql_content"),
+        F.lit(2).alias("origin"),
+    )
+    rows = known.unionByName(described, allowMissingColumns=True).unionByName(
+        written, allowMissingColumns=True
+    )
+    typed = F.when(F.col("type").isNotNull(), F.col("origin"))
+    return (
+        rows.groupBy("label", "key")
+        .agg(
+            F.min("origin").alias("_origin"),
+            F.min_by("name", "origin").alias("name"),
+            F.max_by("type", typed).alias("type"),
+            *[F.max(c).alias(c) for c in ("description", "comment", "path_to_sql", "sql_content")],
+        )
+        .where("_origin < 2")
+        .drop("_origin")
+    )
+
+
 def dependency_edges(
     texts: DataFrame, names: DataFrame, name: str, last_only: bool = False
 ) -> DataFrame:

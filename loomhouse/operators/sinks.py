@@ -7,20 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def conform(df: DataFrame, schema: T.StructType, by_name: bool = False) -> DataFrame:
+def conform(
+    df: DataFrame, schema: T.StructType, by_name: bool = False, enforce: bool = True
+) -> DataFrame:
     """Rename (by position, unless ``by_name``) and cast to a target schema.
 
-    Column comments of the schema are carried as metadata.
+    Column comments of the schema are carried as metadata. A null in a column
+    that the schema declares NOT NULL raises an error; ``enforce=False`` lets it
+    pass.
     """
     if not by_name and len(df.columns) != len(schema):
         raise ValueError(f"{len(df.columns)} columns for a target of {len(schema)}")
     sources = schema.names if by_name else df.columns
-    return df.select(
-        *[
-            F.col(f"`{s}`").cast(f.dataType).alias(f.name, metadata=f.metadata)
-            for s, f in zip(sources, schema)
-        ]
-    )
+
+    def value(source: str, f: T.StructField):
+        cast = F.col(f"`{source}`").cast(f.dataType)
+        if enforce and not f.nullable:
+            missing = F.raise_error(F.lit(f"{f.name} must not be null")).cast(f.dataType)
+            cast = F.coalesce(cast, missing)
+        return cast.alias(f.name, metadata=f.metadata)
+
+    return df.select(*[value(s, f) for s, f in zip(sources, schema)])
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -28,10 +28,10 @@ from loomhouse.schemas import STAGING, WAREHOUSE, struct
 from loomhouse.session import materialize
 
 
-def conform_to(df: DataFrame, table: str) -> DataFrame:
+def conform_to(df: DataFrame, table: str, enforce: bool = True) -> DataFrame:
     """Positional conform to a warehouse table; source names need not be unique."""
     positional = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return conform(positional, struct(WAREHOUSE[table]))
+    return conform(positional, struct(WAREHOUSE[table]), enforce=enforce)
 
 
 def stage_customers(flat: DataFrame) -> DataFrame:
@@ -335,21 +335,27 @@ def build_trade(
     return conform_to(out, "DimTrade")
 
 
-def build_cash_balances(cash: DataFrame, accounts: DataFrame, batch: int = 1) -> DataFrame:
-    """Running cash balance per account and day with a transaction."""
-    daily = daily_total(cash, ["accountid"], "ct_dts", "ct_amt", "total")
+def build_cash_balances(
+    cash: DataFrame, accounts: DataFrame, batch: int = 1, enforce: bool = True
+) -> DataFrame:
+    """Running cash balance per account and day with a transaction.
+
+    An account version without customer breaks the table's NOT NULL and raises
+    an error; ``enforce=False`` keeps such rows.
+    """
+    # written once: the join reads it for the day ranges, the counts and the rows
+    daily = materialize(daily_total(cash, ["accountid"], "ct_dts", "ct_amt", "total"), "daily-cash")
     owned = point_lookup(
         daily,
         accounts.select("accountid", "sk_customerid", "sk_accountid", "effectivedate", "enddate"),
         ["accountid"],
         "datevalue",
-        profile=cash.select("accountid", F.to_date("ct_dts").alias("datevalue")),
     )
     out = owned.select(
         "sk_customerid", "sk_accountid", date_key("datevalue"),
         running_total(["accountid"], "datevalue", "total"), F.lit(batch),
     )
-    return conform_to(out, "FactCashBalances")
+    return conform_to(out, "FactCashBalances", enforce)
 
 
 def build_holdings(holdings: DataFrame, trades: DataFrame, batch: int = 1) -> DataFrame:

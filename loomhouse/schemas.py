@@ -9,21 +9,21 @@ from pyspark.sql import types as T
 WAREHOUSE = {
     "BatchDate": "batchdate date not null, batchid int",
     "DimAccount": """
-        sk_accountid bigint, accountid bigint, sk_brokerid bigint, sk_customerid bigint,
+        sk_accountid bigint not null, accountid bigint, sk_brokerid bigint, sk_customerid bigint,
         accountdesc string, taxstatus tinyint, status string, iscurrent boolean, batchid int,
         effectivedate date, enddate date""",
     "DimBroker": """
-        sk_brokerid bigint, brokerid bigint, managerid bigint, firstname string,
+        sk_brokerid bigint not null, brokerid bigint, managerid bigint, firstname string,
         lastname string, middleinitial string, branch string, office string, phone string,
         iscurrent boolean, batchid int, effectivedate date, enddate date""",
     "DimCompany": """
-        sk_companyid bigint, companyid bigint, status string, name string, industry string,
+        sk_companyid bigint not null, companyid bigint, status string, name string, industry string,
         sprating string, islowgrade boolean, ceo string, addressline1 string,
         addressline2 string, postalcode string, city string, stateprov string, country string,
         description string, foundingdate date, iscurrent boolean, batchid int,
         effectivedate date, enddate date""",
     "DimCustomer": """
-        sk_customerid bigint, customerid bigint, taxid string, status string, lastname string,
+        sk_customerid bigint not null, customerid bigint, taxid string, status string, lastname string,
         firstname string, middleinitial string, gender string, tier tinyint, dob date,
         addressline1 string, addressline2 string, postalcode string, city string,
         stateprov string, country string, phone1 string, phone2 string, phone3 string,
@@ -32,58 +32,58 @@ WAREHOUSE = {
         networth int, marketingnameplate string, iscurrent boolean, batchid int,
         effectivedate date, enddate date""",
     "DimDate": """
-        sk_dateid bigint, datevalue date, datedesc string, calendaryearid int,
+        sk_dateid bigint not null, datevalue date, datedesc string, calendaryearid int,
         calendaryeardesc string, calendarqtrid int, calendarqtrdesc string,
         calendarmonthid int, calendarmonthdesc string, calendarweekid int,
         calendarweekdesc string, dayofweeknum int, dayofweekdesc string, fiscalyearid int,
         fiscalyeardesc string, fiscalqtrid int, fiscalqtrdesc string, holidayflag boolean""",
     "DimSecurity": """
-        sk_securityid bigint, symbol string, issue string, status string, name string,
+        sk_securityid bigint not null, symbol string, issue string, status string, name string,
         exchangeid string, sk_companyid bigint, sharesoutstanding bigint, firsttrade date,
         firsttradeonexchange date, dividend double, iscurrent boolean, batchid int,
         effectivedate date, enddate date""",
     "DimTime": """
-        sk_timeid bigint, timevalue string, hourid int, hourdesc string, minuteid int,
+        sk_timeid bigint not null, timevalue string, hourid int, hourdesc string, minuteid int,
         minutedesc string, secondid int, seconddesc string, markethoursflag boolean,
         officehoursflag boolean""",
     "DimTrade": """
-        tradeid int, sk_brokerid bigint, sk_createdateid bigint, sk_createtimeid bigint,
+        tradeid int not null, sk_brokerid bigint, sk_createdateid bigint, sk_createtimeid bigint,
         sk_closedateid bigint, sk_closetimeid bigint, status string, type string,
         cashflag boolean, sk_securityid bigint, sk_companyid bigint, quantity int,
         bidprice double, sk_customerid bigint, sk_accountid bigint, executedby string,
         tradeprice double, fee double, commission double, tax double, batchid int""",
     "FactCashBalances": """
-        sk_customerid bigint, sk_accountid bigint, sk_dateid bigint, cash double,
+        sk_customerid bigint not null, sk_accountid bigint not null, sk_dateid bigint not null, cash double,
         batchid int""",
     "FactHoldings": """
-        tradeid int, currenttradeid int, sk_customerid bigint, sk_accountid bigint,
+        tradeid int, currenttradeid int not null, sk_customerid bigint, sk_accountid bigint,
         sk_securityid bigint, sk_companyid bigint, sk_dateid bigint, sk_timeid bigint,
         currentprice double, currentholding int, batchid int""",
     "FactMarketHistory": """
-        sk_securityid bigint, sk_companyid bigint, sk_dateid bigint, peratio double,
+        sk_securityid bigint not null, sk_companyid bigint, sk_dateid bigint not null, peratio double,
         yield double, fiftytwoweekhigh double, sk_fiftytwoweekhighdate bigint,
         fiftytwoweeklow double, sk_fiftytwoweeklowdate bigint, closeprice double,
         dayhigh double, daylow double, volume int, batchid int""",
     "FactWatches": """
-        sk_customerid bigint, sk_securityid bigint, sk_dateid_dateplaced bigint,
+        sk_customerid bigint not null, sk_securityid bigint not null, sk_dateid_dateplaced bigint,
         sk_dateid_dateremoved bigint, batchid int""",
     "Financial": """
-        sk_companyid bigint, fi_year int, fi_qtr int, fi_qtr_start_date date,
+        sk_companyid bigint not null, fi_year int not null, fi_qtr int not null, fi_qtr_start_date date,
         fi_revenue double, fi_net_earn double, fi_basic_eps double, fi_dilut_eps double,
         fi_margin double, fi_inventory double, fi_assets double, fi_liability double,
         fi_out_basic bigint, fi_out_dilut bigint""",
     "Prospect": """
-        agencyid string, sk_recorddateid bigint, sk_updatedateid bigint, batchid int,
+        agencyid string not null, sk_recorddateid bigint, sk_updatedateid bigint, batchid int,
         iscustomer boolean, lastname string, firstname string, middleinitial string,
         gender string, addressline1 string, addressline2 string, postalcode string,
         city string, state string, country string, phone string, income string,
         numbercars int, numberchildren int, maritalstatus string, age int, creditrating int,
         ownorrentflag string, employer string, numbercreditcards int, networth int,
         marketingnameplate string""",
-    "StatusType": "st_id string, st_name string",
-    "TaxRate": "tx_id string, tx_name string, tx_rate float",
-    "TradeType": "tt_id string, tt_name string, tt_is_sell int, tt_is_mrkt int",
-    "industry": "in_id string, in_name string, in_sc_id string",
+    "StatusType": "st_id string, st_name string not null",
+    "TaxRate": "tx_id string not null, tx_name string, tx_rate float",
+    "TradeType": "tt_id string not null, tt_name string, tt_is_sell int, tt_is_mrkt int",
+    "industry": "in_id string, in_name string not null, in_sc_id string",
 }
 
 # Columns of the header-less source files.

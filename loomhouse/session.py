@@ -32,16 +32,6 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread_out(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row work on a table of few file splits.
-
-    A table with at least as many splits as cores is left alone, so this only
-    shuffles inputs small enough to lie in a few files. ``df`` is a scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialize(
     df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -78,6 +78,16 @@ def test_conform_is_positional_with_comments(spark):
         conform(df.drop("a"), target)
 
 
+def test_conform_checks_not_null(spark):
+    target = struct("a bigint not null, b string")
+    rows = spark.createDataFrame([(1, "x"), (None, None)], "a int, b string")
+    with pytest.raises(Exception, match="a must not be null"):
+        conform(rows, target).collect()
+    kept = conform(rows, target, enforce=False).collect()
+    assert {tuple(r) for r in kept} == {(1, "x"), (None, None)}
+    assert conform(rows.where("a = 1"), target).count() == 1
+
+
 def test_all_schemas_parse():
     for ddl in (*WAREHOUSE.values(), *STAGING.values()):
         assert len(struct(ddl)) > 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -34,7 +35,8 @@ from loomhouse.lineage.identifiers import (
     parse_column,
     rewrite_csv_call,
 )
-from loomhouse.lineage.retrieval import nearest, with_neighbours
+from loomhouse.lineage import retrieval
+from loomhouse.lineage.retrieval import nearest, nearest_many, with_neighbours
 from loomhouse.lineage.reviews import issues, review_blocks, script_summary, usage_rows
 from loomhouse.operators.aggregates import row_audit, usage_stats
 
@@ -366,3 +368,49 @@ def test_script_texts_are_attached(spark):
     rows = {r["script"]: r["sql_content"] for r in lg.attach_texts(scripts, texts).collect()}
     assert rows == {"a.sql": "x", "b.sql": None}
     assert tuple(lg.text_counts(scripts, texts).first()) == (1, 1)
+
+
+@pytest.mark.parametrize("block", [50_000, 7])
+def test_nearest_to_many_questions(spark, monkeypatch, block):
+    monkeypatch.setattr(retrieval, "NODE_BLOCK", block)
+    monkeypatch.setattr(retrieval, "QUESTION_BLOCK", block)
+    vectors = [(i, [float(i % 5), float(i % 7), 1.0 - i % 2]) for i in range(40)]
+    vectors += [(40, None), (41, [0.0, 0.0, 0.0])]
+    nodes = spark.createDataFrame(vectors, "node int, vector array<float>")
+    asked = nodes.withColumnRenamed("node", "question")
+    got = {}
+    for r in nearest_many(nodes, asked, 3).collect():
+        got.setdefault(r["question"], {})[r["rank"]] = (r["node"], r["score"])
+
+    def cosine(a, b):
+        norms = math.sqrt(sum(x * x for x in a)) * math.sqrt(sum(x * x for x in b))
+        return round(sum(x * y for x, y in zip(a, b)) / norms, 6) if norms else 0.0
+
+    known = [(i, v) for i, v in vectors if v]
+    assert set(got) == {i for i, _ in known}
+    for q, v in known:
+        best = sorted(((-cosine(v, w), i) for i, w in known))[:3]
+        assert got[q] == {k + 1: (i, -s + 0.0) for k, (s, i) in enumerate(best)}
+
+
+def test_properties_of_vertices(spark):
+    vertex_rows = spark.createDataFrame(
+        [("Column", "a.t.c", "c", None), ("Script", "s.sql", "s.sql", "SQL")],
+        "label string, key string, name string, type string",
+    )
+    columns = spark.createDataFrame(
+        [("a.t", "a.t.c", "c", "int", "key", None), ("a.t", "a.t.d", "d", "date", None, "day")],
+        "table_full_name string, column_full_name string, name string, type string, "
+        "description string, comment string",
+    )
+    texts = spark.createDataFrame(
+        [("s.sql", "x/s.sql", "SELECT 1"), ("lost.sql", "x/lost.sql", "SELECT 2")],
+        "name string, path string, content string",
+    )
+    found = lg.vertex_properties(vertex_rows, columns, texts)
+    assert {tuple(r) for r in found.collect()} == {
+        ("Column", "a.t.c", "c", "int", "key", None, None, None),
+        ("Column", "a.t.d", "d", "date", None, "day", None, None),
+        ("Script", "s.sql", "s.sql", "SQL", None, None, "x/s.sql", "SELECT 1"),
+    }
+    assert lg.vertex_properties(vertex_rows.limit(0), columns.limit(0), texts).isEmpty()
