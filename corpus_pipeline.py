@@ -57,8 +57,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id`` and the ids of its text, with seeded merge-dropout."""
-    return encode_pieces(docs, piece_model()).select(F.col("id").alias("doc_id"), "ids")
+    """``doc_id`` and the ids of its text, with seeded merge-dropout of each epoch's own."""
+    encoded = encode_pieces(docs, piece_model(), copies=True)
+    return encoded.select(F.col("id").alias("doc_id"), "ids")
 
 
 STAGES = [

@@ -3,15 +3,16 @@
 The vocabulary and its merge order come from a model file; the merging is done
 here, because each candidate merge has to be skipped or taken by a keyed hash.
 Candidates wait in an agenda, best piece first and leftmost among equals. A
-candidate that comes up is skipped when the hash of (seed, variant, chunk,
-place, piece) falls below the dropout rate. Without dropout the ids are those
-of the library.
+candidate that comes up is skipped when the hash of (seed, document, epoch,
+chunk's place in the document, place, piece) falls below the dropout rate.
+Without dropout the ids are those of the library.
 
 Merges never cross the start of a word, because no piece of the vocabulary has
-a space mark behind another character; chunks are therefore segmented alone
-and remembered. The place of a chunk in its document picks one of ``VARIANTS``
-segmentations, keyed by seed and document, so one word is cut in different
-ways within a text and every run gives the same ids.
+a space mark behind another character; chunks are therefore segmented alone.
+Remembered is only how a chunk merges without dropout. As long as none of these
+merges is skipped, an occurrence merges in the same way; all other occurrences
+are segmented one by one. Every occurrence draws for itself, and every run
+gives the same ids.
 """
 
 from __future__ import annotations
@@ -25,17 +26,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loomhouse.llm.common import mix, picked, small_batches
 
 MARK = "▁"
-VARIANTS = 2
 _MASK = (1 << 64) - 1
 # A lone surrogate: no text holds one, so it can stand for a text's own space mark.
 _STAND_IN = "\ud800"
 _SHORT, _ROWS, _NONE = 40, 6_000, 1 << 30
+# Occurrences whose merges are drawn at once.
+_DRAWS = 200_000
 _TABLE, _SPREAD = 20, np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -160,7 +162,22 @@ class Pieces:
         ids = chain.from_iterable(map(self.written.__getitem__, filter(None, parts)))
         return np.fromiter(ids, "<i4").tobytes()
 
-    def segment_all(self, chunks: list[str], keys: np.ndarray, limit: int) -> list[bytes]:
+    def plain_all(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of chunks without dropout, and their merges as 64-bit place and rank.
+
+        The merges are in no order; those of a chunk above ``_SHORT`` are not listed.
+        """
+        steps = [b""] * len(chunks)
+        ids = self.segment_all(chunks, np.zeros(len(chunks), np.uint64), 0, steps)
+        return list(zip(ids, steps, strict=True))
+
+    def segment_all(
+        self,
+        chunks: list[str],
+        keys: np.ndarray,
+        limit: int,
+        steps: list[bytes] | None = None,
+    ) -> list[bytes]:
         """``segment`` of many chunks, the agendas of equally long ones side by side."""
         out = [b""] * len(chunks)
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
@@ -169,13 +186,18 @@ class Pieces:
         for lo in range(0, short, _ROWS):
             rows = order[lo : min(lo + _ROWS, short)]
             texts = [chunks[r] for r in rows]
-            for r, ids in zip(rows, self._merge(texts, lengths[rows], keys[rows], limit), strict=True):
+            merges = None if steps is None else []
+            found = self._merge(texts, lengths[rows], keys[rows], limit, merges)
+            for r, ids in zip(rows.tolist(), found, strict=True):
                 out[r] = ids
+            if steps is not None:
+                for r, done in zip(rows.tolist(), _by_row(merges, len(rows)), strict=True):
+                    steps[r] = done
         for r in order[short:]:
             out[r] = self.segment(chunks[r], int(keys[r]), limit)
         return out
 
-    def _merge(self, texts, lengths, keys, limit) -> list[bytes]:
+    def _merge(self, texts, lengths, keys, limit, merges=None) -> list[bytes]:
         n, width = len(texts), int(lengths.max())
         part = np.full((n, width + 1), -1, np.int32)
         inside = np.arange(width + 1) < lengths[:, None]
@@ -197,6 +219,8 @@ class Pieces:
                 take = ~skipped(keys[rows], at.astype(np.uint64), best.astype(np.uint64), limit)
                 rank[rows[~take], at[~take]] = _NONE
             r, i = rows[take], at[take]
+            if merges is not None:
+                merges.append((r, (i << 32) | best[take]))
             j = after[r, i]
             part[r, i] = self.by_rank[best[take]]
             part[r, j] = -1
@@ -249,49 +273,100 @@ def load(model_path: str) -> Pieces:
     return Pieces(model_path)
 
 
+def _by_row(merges: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[bytes]:
+    """The merges of each of ``n`` rows, as bytes."""
+    rows = np.concatenate([np.empty(0, np.int64), *[r for r, _ in merges]])
+    done = np.concatenate([np.empty(0, np.int64), *[m for _, m in merges]])
+    raw = done[np.argsort(rows, kind="stable")].astype("<u8").tobytes()
+    ends = (8 * np.cumsum(np.bincount(rows, minlength=n))).tolist()
+    return [raw[lo:hi] for lo, hi in zip([0, *ends], ends, strict=False)]
+
+
+def _chunks(text: str) -> list[str]:
+    return _CHUNK.findall(MARK + text.replace(MARK, _STAND_IN).replace(" ", MARK))
+
+
 class Encoder:
-    """Segments texts and remembers the last ``limit`` to ``2 * limit`` chunks."""
+    """Segments texts; the dropout-free merges of ``limit`` to ``2 * limit`` chunks are remembered."""
 
     def __init__(self, pieces: Pieces, dropout: float, seed: int, limit: int = 400_000):
         self.pieces, self.seed, self.limit = pieces, seed, limit
         self.below = int(dropout * (1 << 32))
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None], docs: list[int | None]) -> list[np.ndarray]:
-        """Ids of each text; ``docs`` key the variants."""
-        named = [self._named(t, d or 0) if t else [] for t, d in zip(texts, docs, strict=True)]
-        new = set(chain.from_iterable(named)) - self.known.keys()
-        if len(self.known) + len(new) > self.limit:
-            self.known, self.older = {}, self.known
-            new = set(chain.from_iterable(named))
-        for slot in list(new & self.older.keys()):
-            self.known[slot] = self.older[slot]
-            new.discard(slot)
-        slots = list(new)
-        keys = np.fromiter(
-            (xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), self.seed) for s in slots),
-            np.uint64,
-            len(slots),
+        self.plain: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+
+    @property
+    def known(self) -> dict[str, bytes]:
+        """Chunks whose ids hold wherever they occur; with dropout there are none."""
+        return {} if self.below else {c: ids for c, (ids, _) in self.plain.items()}
+
+    def encode(
+        self,
+        texts: list[str | None],
+        docs: list[int | None],
+        epochs: list[int | None] | None = None,
+    ) -> list[np.ndarray]:
+        """Ids of each text; ``docs``, ``epochs`` and the places of chunks key the dropout."""
+        named = [_chunks(t) if t else [] for t in texts]
+        sizes = np.fromiter(map(len, named), np.int64, len(named))
+        place = {c: k for k, c in enumerate(dict.fromkeys(chain.from_iterable(named)))}
+        chunks = list(place)
+        ids, steps = self._plain(chunks)
+        which = np.fromiter(
+            map(place.__getitem__, chain.from_iterable(named)), np.int64, int(sizes.sum())
         )
-        ids = self.pieces.segment_all([s[1:] for s in slots], keys, self.below)
-        self.known.update(zip(slots, ids, strict=True))
-        found = [
-            np.frombuffer(b"".join(map(self.known.__getitem__, n)), "<i4") for n in named
+        out = list(map(ids.__getitem__, which.tolist()))
+        if self.below:
+            keys = self._keys(docs, epochs or [0] * len(docs), sizes)
+            other = np.flatnonzero(self._differs(chunks, steps, which, keys))
+            cut = self.pieces.segment_all(
+                [chunks[k] for k in which[other].tolist()], keys[other], self.below
+            )
+            for at, i in zip(other.tolist(), cut, strict=True):
+                out[at] = i
+        ends = np.cumsum(sizes).tolist()
+        return [
+            np.frombuffer(b"".join(out[lo:hi]), "<i4")
+            for lo, hi in zip([0, *ends], ends, strict=False)
         ]
-        for slot in slots:
-            if len(slot) > 64:
-                del self.known[slot]
-        return found
 
-    def _named(self, text: str, doc: int) -> list[str]:
-        """The chunks of a text, each behind the mark of its variant."""
-        clean = text.replace(MARK, _STAND_IN).replace(" ", MARK)
-        chunks = _CHUNK.findall(MARK + clean)
-        place = np.arange(len(chunks), dtype=np.uint64)
-        keyed = mix(mix(place, doc & 0xFFFFFFFFFFFFFFFF), self.seed) >> np.uint64(32)
-        marks = _SLOTS[keyed % np.uint64(VARIANTS if self.below else 1)].tolist()
-        return list(map(str.__add__, marks, chunks))
+    def _plain(self, chunks: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids and merges of distinct chunks without dropout."""
+        new = [c for c in chunks if c not in self.plain]
+        if len(self.plain) + len(new) > self.limit:
+            self.plain, self.older, new = {}, self.plain, chunks
+        fresh = [c for c in new if c not in self.older]
+        self.plain.update((c, self.older[c]) for c in new if c in self.older)
+        self.plain.update(zip(fresh, self.pieces.plain_all(fresh), strict=True))
+        found = list(map(self.plain.__getitem__, chunks))
+        for c in fresh:
+            if len(c) > 64:
+                del self.plain[c]
+        return [i for i, _ in found], [m for _, m in found]
+
+    def _keys(self, docs, epochs, sizes: np.ndarray) -> np.ndarray:
+        """Key of each occurrence from seed, document, epoch and place in the document."""
+        doc = np.array([(d or 0) & _MASK for d in docs], np.uint64)
+        epoch = np.array([(e or 0) & _MASK for e in epochs], np.uint64)
+        text = mix(mix(mix(np.zeros(len(doc), np.uint64), self.seed & _MASK), doc), epoch)
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return mix(np.repeat(text, sizes), place)
+
+    def _differs(self, chunks, steps, which: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether an occurrence skips any of the merges its chunk has without dropout."""
+        merges = np.frombuffer(b"".join(steps), "<u8")
+        counts = np.fromiter(map(len, steps), np.int64, len(steps)) // 8
+        starts = np.cumsum(counts) - counts
+        out = (np.fromiter(map(len, chunks), np.int64, len(chunks)) > _SHORT)[which]
+        for lo in range(0, len(which), _DRAWS):
+            part = which[lo : lo + _DRAWS]
+            n = counts[part]
+            row = np.repeat(np.arange(lo, lo + len(part)), n)
+            first = np.repeat(starts[part] - (np.cumsum(n) - n), n)
+            merge = merges[first + np.arange(len(row))]
+            drop = skipped(keys[row], merge >> np.uint64(32), merge & np.uint64(0xFFFFFFFF), self.below)
+            out[row[drop]] = True
+        return out
 
 
 @lru_cache(2)
@@ -300,9 +375,6 @@ def encoder_for(model_path: str, dropout: float, seed: int) -> Encoder:
     return Encoder(load(model_path), dropout, seed)
 
 
-_SLOTS = np.array([str(v) for v in range(VARIANTS)], dtype=object)
-
-
 def encode_pieces(
     docs: DataFrame,
     model_path: str,
@@ -310,19 +382,29 @@ def encode_pieces(
     seed: int = 17,
     id_col: str = "doc_id",
     text_col: str = "text",
+    copies: bool = False,
 ) -> DataFrame:
     """``id`` and ``ids`` of every row of ``docs``.
 
     ``model_path`` has to exist on every executor. Null and empty texts have no
-    ids; a null id counts as 0 for the variants; repeated rows are encoded
-    alike. Other columns of ``docs`` are not read.
+    ids; a null id counts as 0 for the dropout; repeated rows are encoded
+    alike, or with ``copies`` under an epoch of their own, from 0 on. Other
+    columns of ``docs`` are not read.
     """
+    rows = picked(docs, id=id_col, text=text_col)
+    if copies:
+        counted = rows.groupBy("id", "text").agg(F.count(F.lit(1)).alias("n"))
+        rows = counted.select(
+            "id", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("epoch")
+        )
+    else:
+        rows = rows.withColumn("epoch", F.lit(0).cast("long"))
 
     def run(batches):
         encoder = encoder_for(model_path, dropout, seed)
         for batch in small_batches(batches, "text", 2_000_000):
             texts, names = batch["text"].to_pylist(), batch["id"].to_pylist()
-            ids = encoder.encode(texts, names)
+            ids = encoder.encode(texts, names, batch["epoch"].to_pylist())
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate([np.empty(0, np.int32), *ids])
             yield pa.RecordBatch.from_arrays(
@@ -330,7 +412,7 @@ def encode_pieces(
                 names=["id", "ids"],
             )
 
-    return picked(docs, id=id_col, text=text_col).mapInArrow(run, "id long, ids array<int>")
+    return rows.mapInArrow(run, "id long, ids array<int>")
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
