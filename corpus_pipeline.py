@@ -28,6 +28,8 @@ from loomhouse.llm.queries import (
 )
 from loomhouse.session import materialize
 
+SHINGLE = 5
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass all quality rules."""
@@ -42,9 +44,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, the one with the smallest id.
 
-    Only the ids of documents that go are joined back.
+    Shingles are ``SHINGLE`` words long. Only the ids of documents that go are
+    joined back.
     """
-    gone = materialize(near_duplicates(docs).where("not kept").select("id"), "near-copies")
+    found = near_duplicates(docs, shingle=SHINGLE)
+    gone = materialize(found.where("not kept").select("id"), "near-copies")
     return docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
 
 

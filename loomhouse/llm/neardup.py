@@ -91,10 +91,10 @@ def min_max(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signatures(batches):
+def _signatures(batches, size: int):
     known = WordHash()
     for batch in small_batches(batches, "text"):
-        flat, sizes = shingles(as_bytes(batch["text"]), known)
+        flat, sizes = shingles(as_bytes(batch["text"]), known, size)
         full = sizes > 0
         starts = (np.cumsum(sizes) - sizes)[full]
         if len(starts):
@@ -287,8 +287,8 @@ def _layout(sets, sizes, rest):
     return lengths, np.cumsum(lengths) - lengths, joined
 
 
-def _group_links(table: pa.Table) -> pa.Table:
-    flat, sizes = shingles(as_bytes(table["text"].combine_chunks()), WordHash())
+def _group_links(table: pa.Table, size: int) -> pa.Table:
+    flat, sizes = shingles(as_bytes(table["text"].combine_chunks()), WordHash(), size)
     ids = table["id"].to_numpy()
     found = np.array(confirmed_links(flat, sizes), np.int64).reshape(-1, 2)
     return pa.table({"a": ids[found[:, 0]], "b": ids[found[:, 1]]})
@@ -305,9 +305,12 @@ def _chunks(weights: DataFrame, group: str, most: int) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
     """``id``, ``n_shingles``, ``component``, ``kept`` of every row of ``docs``.
 
+    ``shingle`` is the number of words of a shingle.
     ``component`` is the smallest id reachable over links of similarity 0.8 or
     more; the row whose id it is, is kept. Null and empty texts and texts of
     white space have no shingles and are linked with nothing. Rows with a null
@@ -316,8 +319,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row, each with the texts equal to its own. Other columns of ``docs`` are
     not read. Shingles are compared by 64-bit hashes.
     """
+
+    def sign(batches):
+        return _signatures(batches, shingle)
+
+    def link(table: pa.Table) -> pa.Table:
+        return _group_links(table, shingle)
+
     rows = picked(docs, id=id_col, text=text_col)
-    signed = materialize(rows.mapInArrow(_signatures, _SIGNATURE), "minmax")
+    signed = materialize(rows.mapInArrow(sign, _SIGNATURE), "minmax")
     judged = F.col("id").isNotNull() & (F.col("n") > 0)
     classes = materialize(
         signed.where(judged)
@@ -335,7 +345,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         meet(groups, "label", _chunks(weights, "label", GROUP_SHINGLES))
         .join(rows, "id")
         .groupBy("label", "i", "j")
-        .applyInArrow(_group_links, "a long, b long")
+        .applyInArrow(link, "a long, b long")
     )
     named = (
         classes.select("h1", "h2", "id")

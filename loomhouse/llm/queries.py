@@ -70,7 +70,7 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least_id USING (doc_id)
 @query("op1_minmax_near_dedup", MINMAX_SQL)
 def minmax_near_dedup(spark, sf):
     """Near-duplicate components of all documents."""
-    return near_duplicates(table(spark, sf, "documents")).select(
+    return near_duplicates(table(spark, sf, "documents"), shingle=4).select(
         F.col("id").alias("doc_id"),
         "n_shingles",
         F.col("component").alias("component_id"),
