@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomhouse.llm import chat, ftrl, urls
 from loomhouse.llm.common import crc_fold
 from loomhouse.llm.exact import exact_classes
+from loomhouse.llm.merkle import document_manifest
 from loomhouse.llm.mixing import mix_documents
 from loomhouse.llm.neardup import near_duplicates
 from loomhouse.llm.ngrams import score_documents
+from loomhouse.llm.periodic import periodic_runs
 from loomhouse.llm.pieces import round_trip
 from loomhouse.llm.quality import quality_report
 from loomhouse.llm.simple8b import token_files
+from loomhouse.llm.warc import LEAST_BYTES, archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -360,3 +365,192 @@ def toxicity_ftrl(spark, sf):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+# --- Merkle manifest --------------------------------------------------------
+
+# crc32 of a number's decimal text: each byte is folded in and shifted out bit by bit.
+CRC_SQL = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}::VARCHAR, ''),"
+    " lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, e: CASE WHEN e >= 0"
+    " THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+)
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(_field_sql(f) for f in fields) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All nodes over ``leaves(tree, pos, n, hash)``."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS lvl, pos, n, hash FROM {leaves}
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY tree, lvl, n, pos // 3)"""
+
+
+def _siblings_sql(nodes: str, leaves: str, key: str) -> str:
+    """Siblings of each leaf by level."""
+    return f"""
+  SELECT {key}, v.lvl, string_agg(s.hash, '' ORDER BY s.pos) FILTER (WHERE s.pos < o.own) AS b,
+    string_agg(s.hash, '' ORDER BY s.pos) FILTER (WHERE s.pos > o.own) AS a
+  FROM {leaves} l
+  JOIN (SELECT DISTINCT tree, lvl, n FROM {nodes} WHERE n > 1) v ON v.tree = l.tree
+  CROSS JOIN LATERAL (SELECT (l.pos // (3 ** v.lvl)::BIGINT)::BIGINT AS own) o
+  JOIN {nodes} s ON s.tree = l.tree AND s.lvl = v.lvl AND s.pos // 3 = o.own // 3
+  GROUP BY {key}, v.lvl"""
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('+' || source, '') AS tree, {_leaf_sql("text")} AS hash,
+    CASE WHEN {CRC_SQL.format("doc_id")} % 2 = 0
+      THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS other
+  FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM d),
+{_tree_sql("nodes", "leaves")},
+subroots AS (SELECT '' AS tree, tree AS name, hash, row_number() OVER (ORDER BY tree) - 1 AS pos,
+    count(*) OVER () AS n FROM nodes WHERE n = 1),
+{_tree_sql("top_nodes", "subroots")},
+low AS ({_siblings_sql("nodes", "leaves", "doc_id")}),
+high AS ({_siblings_sql("top_nodes", "subroots", "name")}),
+both_ AS (SELECT doc_id, lvl, b, a FROM low
+  UNION ALL SELECT doc_id, 100 + lvl, b, a FROM leaves JOIN high ON name = tree),
+steps AS (SELECT doc_id, coalesce(b, '') AS b, coalesce(a, '') AS a,
+    row_number() OVER (PARTITION BY doc_id ORDER BY lvl) AS k FROM both_),
+fold AS (
+  SELECT doc_id, 0::BIGINT AS k, other AS h FROM leaves
+  UNION ALL SELECT f.doc_id, s.k, sha256(s.b || f.h || s.a)
+  FROM fold f JOIN steps s ON s.doc_id = f.doc_id AND s.k = f.k + 1),
+ends AS (SELECT doc_id, max_by(h, k) AS folded_root FROM fold GROUP BY doc_id),
+proof AS (SELECT doc_id, string_agg(b || a, '' ORDER BY k) AS p FROM steps GROUP BY doc_id)
+SELECT l.doc_id, l.hash AS leaf, s.hash AS subroot, r.hash AS root,
+  sha256(coalesce(p, '')) AS proof_sha256, folded_root, folded_root = r.hash AS verified
+FROM leaves l JOIN subroots s ON s.name = l.tree JOIN ends USING (doc_id)
+LEFT JOIN proof USING (doc_id) CROSS JOIN (SELECT hash FROM top_nodes WHERE n = 1) r
+"""
+
+
+def crc_of(number: Column) -> Column:
+    """crc32 of a number as text, unsigned."""
+    return F.crc32(number.cast("string").cast("binary"))
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark, sf):
+    """Proofs of all documents, verified against texts of which half are tampered with."""
+    tampered = F.when(crc_of(F.col("id")) % 2 == 0, F.translate("text", "\n", "")).otherwise(
+        F.col("text")
+    )
+    return document_manifest(table(spark, sf, "documents"), tampered).withColumnRenamed(
+        "id", "doc_id"
+    )
+
+
+# --- periodic runs ----------------------------------------------------------
+
+RUNS_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws,
+    {CRC_SQL.format("doc_id")} AS h FROM documents),
+g AS (SELECT doc_id, ws, len(ws) AS n, h, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM g),
+t AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n),
+    lambda i: ws[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE ws END AS ws FROM p),
+w AS (SELECT doc_id, n, ws, unnest(range(0, n - 7)) AS i FROM t WHERE n >= 24),
+k AS (SELECT doc_id, n, i, array_to_string(ws[i + 1:i + 8], ' ') AS gram FROM w),
+e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM k x JOIN k y
+  ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i AND 3 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, min(i) AS b, max(i) + q + 8 AS e FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e)
+  GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, b AS start_, e - b AS len_, min(q) AS per FROM s
+  WHERE e - b >= greatest(24, 3 * q) GROUP BY ALL),
+best AS (SELECT DISTINCT ON (doc_id) doc_id, start_, len_, per FROM r
+  ORDER BY doc_id, len_::DECIMAL(38, 18) / per DESC, start_, per),
+listed AS (SELECT doc_id, count(*) AS n_runs,
+    string_agg(start_ || ',' || len_ || ',' || per || chr(10), '' ORDER BY start_, per) AS l FROM r GROUP BY doc_id),
+gone AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (
+    SELECT doc_id, unnest(range(start_ + per, start_ + len_)) AS i FROM r) GROUP BY doc_id),
+places AS (SELECT doc_id, ws, unnest(range(0, n)) AS i FROM t JOIN gone USING (doc_id)),
+short AS (SELECT doc_id, string_agg(ws[i + 1], ' ' ORDER BY i) AS c
+  FROM places p ANTI JOIN (SELECT doc_id, unnest(gone) AS i FROM gone) USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start_::BIGINT AS start, len_::BIGINT AS length,
+  per::BIGINT AS period, (1000 * len_ // per)::BIGINT AS exponent_milli,
+  sha256(coalesce(l, '')) AS runs_sha256,
+  sha256(coalesce(CASE WHEN gone IS NOT NULL THEN c ELSE array_to_string(ws, ' ') END, '')) AS collapsed_sha256
+FROM t LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id)
+LEFT JOIN gone USING (doc_id) LEFT JOIN short USING (doc_id)
+"""
+
+
+def repeating_words(doc_id: int, n: int) -> np.ndarray | None:
+    """The words of one document in ten, made periodic from some place on."""
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    take = np.arange(n)
+    take[a:] = a + (take[a:] - a) % p
+    return take
+
+
+@query("op12_periodic_runs", RUNS_SQL)
+def periodic_run_rows(spark, sf):
+    """Periodic runs of all documents and the texts without the repetitions."""
+    found = periodic_runs(table(spark, sf, "documents"), reordered=repeating_words)
+
+    def more_often(a: Column, b: Column) -> Column:
+        left, right = a["length"] * b["period"], b["length"] * a["period"]
+        earlier = F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(
+            a["period"] - b["period"]
+        )
+        order = F.when(left > right, -1).when(left < right, 1).otherwise(F.signum(earlier))
+        return order.cast("int")
+
+    best = F.get(F.array_sort("runs", more_often), F.lit(0))
+    lines = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias(
+            "runs_sha256"
+        ),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+# --- WARC -------------------------------------------------------------------
+
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= {LEAST_BYTES}
+    THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_ FROM h)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first_ = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first_ <> page_id THEN first_ END AS refers_to
+FROM f
+"""
+
+
+@query("op13_warc_archive", WARC_SQL)
+def warc_archive(spark, sf):
+    """All pages written as WARC records and read back by byte ranges."""
+    return archive_pages(table(spark, sf, "pages")).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
