@@ -69,24 +69,25 @@ def drop_copies(
     """One whole row of ``docs`` for each text, its columns unchanged.
 
     The row with the smallest (largest) id stays. Null ids stay only where a
-    text has no other; rows that agree in the id are reduced to one, the
-    smallest (largest) by their other columns. Null and empty text are equal;
-    the row that stays keeps its own.
+    text has no other; of rows that agree in the id, the one whose other columns
+    have the smaller hash. Other columns may have any type. Null and empty text
+    are equal; the row that stays keeps its own.
     """
-    whole = F.struct(
-        F.col(f"`{id_col}`").isNull().alias("_no_id")
-        if keep == "smallest"
-        else F.col(f"`{id_col}`").isNotNull().alias("_has_id"),
-        F.col(f"`{id_col}`").alias("_id"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_row"),
-        F.col(f"`{text_col}`").isNull().alias("_null"),
+    id_ = F.col(f"`{id_col}`")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    row = F.struct(
+        F.struct(*rest).alias("_row"), F.col(f"`{text_col}`").isNull().alias("_null")
     )
-    best = {"smallest": F.min, "largest": F.max}[keep]
+    # maps have no order; written as JSON they have a hash
+    plain = [F.col(f"`{c}`") for c, t in docs.dtypes if c != text_col and "map<" not in t]
+    maps = [F.to_json(F.col(f"`{c}`")) for c, t in docs.dtypes if "map<" in t]
+    tie = F.xxhash64(*plain, *maps, F.col(f"`{text_col}`").isNull())
+    if keep == "smallest":
+        best = F.min_by(row, F.struct(id_.isNull(), id_, tie))
+    else:
+        best = F.max_by(row, F.struct(id_.isNotNull(), id_, tie))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    kept = (
-        docs.groupBy(_hash(text).alias("_hash"), text.alias("_text"))
-        .agg(best(whole).alias("_best"))
-    )
+    kept = docs.groupBy(_hash(text).alias("_hash"), text.alias("_text")).agg(best.alias("_best"))
     return kept.select(
         *[
             F.when(~F.col("_best._null"), F.col("_text")).alias(c)

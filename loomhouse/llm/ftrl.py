@@ -142,7 +142,8 @@ def train(
     )
     marks = materialize(marks, "toxic-labels")
     share = min(1.0, params.sample_rows / max(marks.count(), 1))
-    drawn = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)
+    # drawn among 2^40, so that a small share of very many rows is not none
+    drawn = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 40)) < int(share * (1 << 40))
     # about sample_rows rows of 20 bytes
     rows = picked(docs, id=id_col, text=text_col).join(F.broadcast(marks.where(drawn)), "id")
     placed = materialize(

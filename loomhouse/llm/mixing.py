@@ -202,40 +202,43 @@ def mixed(
     tokens: Column,
     seed: int = 11,
 ) -> DataFrame:
-    """Rows of ``docs`` once per epoch that takes them, with a struct ``_mix``.
+    """Rows of ``docs`` once per epoch that takes them, as structs ``row`` and ``mix``.
 
-    ``_mix`` holds ``epoch``, ``tokens``, ``budget`` and the levels. A document
-    is taken whole; the one at the end of the budget is the last.
+    ``row`` has the columns of ``docs``, whatever their names; ``mix`` holds
+    ``epoch``, ``tokens``, ``budget`` and the levels. A document is taken whole;
+    the one at the end of the budget is the last.
     """
     names = list(levels)
-    side = plan.select(*[F.col(n).alias(f"_mix_{n}") for n in names], "budget", "full", "cut_key", "cut_id")
-    side = side.withColumnsRenamed({c: f"_mix_{c}" for c in ("budget", "full", "cut_key", "cut_id")})
-    # nodes without weight have no budget and no row in the plan
-    rows = docs.withColumns({f"_mix_at_{n}": _named(c) for n, c in levels.items()}).withColumn(
-        "_mix_tokens", tokens
+    side = plan.select(
+        *[F.col(n).alias(f"_in_{n}") for n in names], "budget", "full", "cut_key", "cut_id"
     )
-    same = reduce(
-        lambda a, b: a & b, [F.col(f"_mix_at_{n}") == F.col(f"_mix_{n}") for n in names]
+    # nodes without weight have no budget and no row in the plan
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{id_col}`").alias("_id"),
+        tokens.alias("_tokens"),
+        *[_named(c).alias(f"_at_{n}") for n, c in levels.items()],
     )
-    key = order_key(seed, F.col("_mix_full"), F.col(f"`{id_col}`"))
-    place = F.struct(key.alias("key"), F.col(f"`{id_col}`").cast("long").alias("id"))
-    cut = F.struct(F.col("_mix_cut_key").alias("key"), F.col("_mix_cut_id").cast("long").alias("id"))
-    within = F.col("_mix_cut_key").isNotNull() & (place <= cut)
-    last = F.col("_mix_full") + F.when(within, 1).otherwise(0)
+    same = reduce(lambda a, b: a & b, [F.col(f"_at_{n}") == F.col(f"_in_{n}") for n in names])
+    key = order_key(seed, F.col("full"), F.col("_id"))
+    place = F.struct(key.alias("key"), F.col("_id").cast("long").alias("id"))
+    cut = F.struct(F.col("cut_key").alias("key"), F.col("cut_id").cast("long").alias("id"))
+    within = F.col("cut_key").isNotNull() & (place <= cut)
+    last = F.col("full") + F.when(within, 1).otherwise(0)
     return (
-        rows.where("_mix_tokens > 0")
+        rows.where("_tokens > 0")
         .join(side, same)
-        .withColumn("_mix_last", last)
-        .where("_mix_last > 0")
-        .withColumn("_mix_epoch", F.explode(F.sequence(F.lit(0), F.col("_mix_last") - 1)))
+        .withColumn("_last", last)
+        .where("_last > 0")
+        .withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_last") - 1)))
         .select(
-            *[F.col(f"`{c}`") for c in docs.columns],
+            "row",
             F.struct(
-                F.col("_mix_epoch").alias("epoch"),
-                F.col("_mix_tokens").alias("tokens"),
-                F.col("_mix_budget").alias("budget"),
-                *[F.col(f"_mix_{n}").alias(n) for n in names],
-            ).alias("_mix"),
+                F.col("_epoch").alias("epoch"),
+                F.col("_tokens").alias("tokens"),
+                "budget",
+                *[F.col(f"_in_{n}").alias(n) for n in names],
+            ).alias("mix"),
         )
     )
 

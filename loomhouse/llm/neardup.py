@@ -8,7 +8,7 @@ seven. Two documents of similarity 0.8 share no band with probability 3e-7.
 From bands to components, without ever listing the pairs of a group:
 
 1. Equal shingle sets are one class, found by a 128-bit hash of the set; only
-   its smallest id goes on.
+   its number and the text of its smallest id go on.
 2. Members of a band bucket are compared by a sketch (low bytes of 128
    signature values). A bucket gives a spanning forest of the pairs whose
    sketches agree in 76 places or more (six deviations below 0.8), so at most
@@ -39,6 +39,7 @@ from loomhouse.llm.common import (
     small_batches,
 )
 from loomhouse.llm.components import components
+from loomhouse.operators.skew import ROWS_PER_TASK, salted_join
 from loomhouse.session import materialize
 
 SHINGLE = 4
@@ -112,6 +113,14 @@ def _signatures(batches, size: int):
             )
 
 
+def _set_hashes(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each set; no set is empty."""
+    return (
+        np.add.reduceat(mix(flat, 1), starts).view(np.int64),
+        np.bitwise_xor.reduceat(mix(flat, 2), starts).view(np.int64),
+    )
+
+
 def _signed(ids, flat, starts, sizes) -> pa.RecordBatch:
     values = min_max(flat, starts)
     keys = np.empty((len(ids), BANDS), np.uint64)
@@ -128,8 +137,7 @@ def _signed(ids, flat, starts, sizes) -> pa.RecordBatch:
         [
             ids,
             pa.array(sizes),
-            pa.array(np.add.reduceat(mix(flat, 1), starts).view(np.int64)),
-            pa.array(np.bitwise_xor.reduceat(mix(flat, 2), starts).view(np.int64)),
+            *map(pa.array, _set_hashes(flat, starts)),
             pa.ListArray.from_arrays(
                 np.arange(0, keys.size + 1, BANDS, dtype=np.int32),
                 keys.view(np.int64).ravel(),
@@ -288,8 +296,17 @@ def _layout(sets, sizes, rest):
 
 
 def _group_links(table: pa.Table, size: int) -> pa.Table:
+    """Links between the classes of a task; a text that is not its class's is left out."""
     flat, sizes = shingles(as_bytes(table["text"].combine_chunks()), WordHash(), size)
+    starts = np.cumsum(sizes) - sizes
     ids = table["id"].to_numpy()
+    h1, h2 = _set_hashes(flat, starts)
+    own = (h1 == table["h1"].to_numpy()) & (h2 == table["h2"].to_numpy())
+    _, first = np.unique(np.where(own, ids, -1), return_index=True)
+    rows = first[own[first]]
+    if len(rows) < len(ids):
+        parts = [flat[starts[r] : starts[r] + sizes[r]] for r in rows.tolist()]
+        flat, sizes, ids = np.concatenate([flat[:0], *parts]), sizes[rows], ids[rows]
     found = np.array(confirmed_links(flat, sizes), np.int64).reshape(-1, 2)
     return pa.table({"a": ids[found[:, 0]], "b": ids[found[:, 1]]})
 
@@ -315,9 +332,10 @@ def near_duplicates(
     more; the row whose id it is, is kept. Null and empty texts and texts of
     white space have no shingles and are linked with nothing. Rows with a null
     id are linked with nothing either; they are kept and their component is
-    null. Ids are meant to be unique: rows that repeat an id are judged row by
-    row, each with the texts equal to its own. Other columns of ``docs`` are
-    not read. Shingles are compared by 64-bit hashes.
+    null. What is linked are shingle sets, not ids: rows that repeat an id are
+    judged one by one, each by its own text; those that repeat the smallest id
+    of their component are all kept. Other columns of ``docs`` are not read.
+    Shingles are compared by 64-bit hashes.
     """
 
     def sign(batches):
@@ -329,30 +347,39 @@ def near_duplicates(
     rows = picked(docs, id=id_col, text=text_col)
     signed = materialize(rows.mapInArrow(sign, _SIGNATURE), "minmax")
     judged = F.col("id").isNotNull() & (F.col("n") > 0)
+    # a class is known by a number of its own; stored, so it keeps it
     classes = materialize(
         signed.where(judged)
         .groupBy("h1", "h2")
-        .agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "bands", "sketch")]),
+        .agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("n", "bands", "sketch")])
+        .withColumn("id", F.monotonically_increasing_id()),
         "minmax-classes",
     )
-    groups = components(_similar(classes))
-    weights = (
-        groups.join(classes.select("id", "n"), "id")
-        .groupBy("label")
-        .agg(F.sum("n").alias("weight"))
-    )
+    groups = components(_similar(classes)).join(classes.select("id", "n", "h1", "h2", "least"), "id")
+    groups = materialize(groups, "minmax-groups")
+    weights = groups.groupBy("label").agg(F.sum("n").alias("weight"))
+    texts = rows.withColumnRenamed("id", "least")
     links = (
         meet(groups, "label", _chunks(weights, "label", GROUP_SHINGLES))
-        .join(rows, "id")
+        .join(texts, "least")
         .groupBy("label", "i", "j")
         .applyInArrow(link, "a long, b long")
     )
-    named = (
-        classes.select("h1", "h2", "id")
-        .join(components(links), "id", "left")
-        .select("h1", "h2", F.coalesce("label", "id").alias("component"))
+    linked = materialize(
+        components(links).join(classes.select("id", "least"), "id"), "minmax-linked"
     )
-    found = signed.where(judged).select("id", "n", "h1", "h2").join(named, ["h1", "h2"])
+    named = linked.groupBy("label").agg(F.min("least").alias("component"))
+    hubs = linked.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).where(
+        F.col("rows") > ROWS_PER_TASK
+    )
+    hubs = hubs.select("label", F.ceil(F.col("rows") / ROWS_PER_TASK).cast("int").alias("_salts"))
+    of_class = salted_join(linked, named, ["label"], hot=hubs).select("id", "component")
+    by_set = (
+        classes.select("h1", "h2", "id", "least")
+        .join(of_class, "id", "left")
+        .select("h1", "h2", F.coalesce("component", "least").alias("component"))
+    )
+    found = signed.where(judged).select("id", "n", "h1", "h2").join(by_set, ["h1", "h2"])
     alone = signed.where(~judged).select("id", "n", F.col("id").alias("component"))
     return (
         found.select("id", "n", "component")
@@ -380,3 +407,43 @@ def _similar(classes: DataFrame) -> DataFrame:
         .sortWithinPartitions("key", "i", "j", "id")
         .mapInArrow(_bucket_links, "a long, b long")
     )
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
+    """One whole row of ``docs`` for each near-duplicate component.
+
+    The row with the smallest id stays; null ids stay only where the component
+    has no other, and of rows that agree in the id the first stored one. Rows are told apart by a
+    number of their own, so rows that repeat an id are judged one by one. Texts
+    without words are near no other and stay. Columns may have any name.
+    """
+    row = "row_number"
+    while row in docs.columns:
+        row += "_"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
+    ids = picked(numbered, id=row, given=id_col)
+    found = near_duplicates(numbered, row, text_col, shingle).select("id", "component")
+    named = materialize(found.join(ids, "id"), "near-named")
+    several = materialize(
+        named.groupBy("component")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min(F.struct(F.col("given").isNull().alias("none"), "given", "id")).alias("best"),
+        )
+        .where("rows > 1")
+        .select("component", "rows", F.col("best.id").alias("stays")),
+        "near-several",
+    )
+    hot = several.where(F.col("rows") > ROWS_PER_TASK).select(
+        "component", F.ceil(F.col("rows") / ROWS_PER_TASK).cast("int").alias("_salts")
+    )
+    gone = (
+        salted_join(named, several.drop("rows"), ["component"], hot=hot, spread=["id"])
+        .where("id <> stays")
+        .select(F.col("id").alias(row))
+    )
+    return numbered.join(materialize(gone, "near-gone"), row, "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns]
+    )

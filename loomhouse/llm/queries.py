@@ -161,13 +161,13 @@ def source_mix(spark, sf):
         docs, mix_levels(), MIX_WEIGHTS, share=MIX_SHARE, epochs=MIX_EPOCHS, seed=MIX_SEED
     )
     return taken.select(
-        "doc_id",
-        "_mix.domain",
-        "_mix.lang",
-        "_mix.source",
-        F.col("_mix.tokens").alias("n_tokens"),
-        F.col("_mix.budget").alias("leaf_budget"),
-        "_mix.epoch",
+        "row.doc_id",
+        "mix.domain",
+        "mix.lang",
+        "mix.source",
+        F.col("mix.tokens").alias("n_tokens"),
+        F.col("mix.budget").alias("leaf_budget"),
+        "mix.epoch",
     )
 
 

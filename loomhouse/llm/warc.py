@@ -11,7 +11,9 @@ gzip magic in its range. A candidate counts only if it inflates to the first
 line of a WARC record; chance hits inside compressed data do not. A task owns
 the records that start inside its range and reads the last one beyond the end
 of it. After a record the next one is expected at once, so the scan resumes
-only at the begin of a range or behind a damaged member.
+only at the begin of a range or behind a damaged member. (Payloads that hold whole
+WARC members in stored, uncompressed blocks could be taken for records there;
+text that is compressed, as here, cannot.)
 """
 
 from __future__ import annotations
@@ -51,7 +53,8 @@ def record_roles(
     Only those with several rows are joined back, copies of a very frequent
     payload over several tasks.
     """
-    hashed = pages.withColumn("digest", F.sha2(F.col("payload"), 256))
+    # never null, so the join has no rows without a key to set apart
+    hashed = pages.withColumn("digest", F.coalesce(F.sha2(F.col("payload"), 256), F.lit("")))
     sized = hashed.where(F.octet_length("payload") >= least_bytes)
     equal = materialize(
         sized.groupBy("digest")

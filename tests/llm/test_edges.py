@@ -12,7 +12,7 @@ from loomhouse.llm.common import crc_fold
 from loomhouse.llm.components import components
 from loomhouse.llm.exact import drop_copies, exact_classes
 from loomhouse.llm.mixing import mix_documents
-from loomhouse.llm.neardup import near_duplicates
+from loomhouse.llm.neardup import drop_near_copies, near_duplicates
 from loomhouse.llm.ngrams import score_documents
 from loomhouse.llm.pieces import decode_pieces, encode_pieces, round_trip
 from loomhouse.llm.quality import quality_filter, quality_report
@@ -108,10 +108,46 @@ def test_quality(docs, none):
 def test_mixing(docs, none):
     levels = {"lang": F.col("lang"), "source": F.col("source")}
     got = mix_documents(docs, levels, {}, share=(1, 1), epochs=1)
-    assert got.columns == [*docs.columns, "_mix"]
-    taken = [r.doc_id for r in got.collect()]
+    assert got.columns == ["row", "mix"] and got.select("row.*").columns == docs.columns
+    taken = [r.row.doc_id for r in got.collect()]
     assert sorted(map(str, taken)) == ["1", "2", "2", "6", "7", "None", "None"]
     assert mix_documents(none, levels, {}).count() == 0
+    mine = docs
+    for name in ("_mix", "_mix_full", "_mix_tokens", "_tokens", "_id", "_last", "full", "budget", "mix", "row", "cut_key"):
+        mine = mine.withColumn(name, F.lit("mine"))
+    rows = mix_documents(mine, levels, {}, share=(1, 1), epochs=1).select("row.*").collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(map(str, taken))
+    assert all(r._mix_tokens == r.budget == r.mix == "mine" for r in rows)
+
+
+def test_maps_are_carried_along(docs):
+    mapped = docs.withColumn("m", F.create_map(F.lit("a"), F.col("doc_id")))
+    rows = drop_copies(mapped).collect()
+    assert len(rows) == len({t or "" for _, t, _, _ in ROWS})
+    assert all(r.m == {"a": r.doc_id} for r in rows)
+    assert near_copy_ids(mapped) == near_copy_ids(docs)
+
+
+def near_copy_ids(df):
+    return sorted(str(r.doc_id) for r in drop_near_copies(df).collect())
+
+
+def test_rows_that_repeat_an_id_are_judged_one_by_one(spark):
+    a = [f"a{k}" for k in range(60)]
+    b = [f"b{k}" for k in range(60)]
+    near = lambda w: " ".join([*w[:-1], "end"])
+    rows = [
+        (1, near(a)), (5, " ".join(a)), (5, " ".join(b)), (2, near(b)),
+        (5, "text that nobody shares at all"), (None, near(a)), (7, near(a) + " x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_number", F.lit(1))
+    got = {(r.id, r.component, r.kept) for r in near_duplicates(df).collect()}
+    assert got == {
+        (1, 1, True), (5, 1, False), (5, 2, False), (2, 2, True), (5, 5, True),
+        (None, None, True), (7, 1, False),
+    }
+    kept = [(r.doc_id, r.text) for r in drop_near_copies(df).collect()]
+    assert sorted(kept, key=repr) == sorted([rows[0], rows[3], rows[4]], key=repr)
 
 
 def test_pieces(docs, none):

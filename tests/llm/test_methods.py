@@ -19,6 +19,7 @@ from loomhouse.llm.quality import (
     failed_rule,
     n_repeat_words,
     text_rules,
+    words,
 )
 from loomhouse.llm.simple8b import (
     BpeEncoder,
@@ -105,10 +106,10 @@ def test_repeated_words_and_order_of_rules(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(0, 60))) for _ in range(60)]
     df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
-    got = {r.doc_id: r.n for r in df.select("doc_id", n_repeat_words(F.col("text")).alias("n")).collect()}
+    got = {r.doc_id: r.n for r in df.select("doc_id", n_repeat_words(words(F.col("text"))).alias("n")).collect()}
     assert got == {i: brute_repeat(t.split()) for i, t in enumerate(texts)}
     rules = text_rules(F.col("text"))
-    ordered = cascade_order(df, "text", rules)
+    ordered = cascade_order(df, rules)
     assert sorted(r.name for r in ordered) == sorted(r.name for r in rules)
     both = df.select(failed_rule(ordered).isNotNull().alias("a"), any_failed(rules).alias("b"))
     assert both.where("a <> b").count() == 0
@@ -164,12 +165,12 @@ def test_budgets_and_epochs(spark):
     want = brute_budgets(tree, 528)
     taken = {}
     for r in got:
-        key = (r.lang, r.source)
-        taken[key] = taken.get(key, 0) + r._mix.tokens
-        assert abs(r._mix.budget - want[key]) < 1
+        key = (r.row.lang, r.row.source)
+        taken[key] = taken.get(key, 0) + r.mix.tokens
+        assert abs(r.mix.budget - want[key]) < 1
     # a prefix ends with the document that fills the budget
     assert all(0 <= taken[k] - b < 10 for k, b in want.items())
-    epochs = {(r.doc_id, r._mix.epoch) for r in got}
+    epochs = {(r.row.doc_id, r.mix.epoch) for r in got}
     assert len(epochs) == len(got) and {e for _, e in epochs} == {0, 1}
     again = mix_documents(docs, levels, weights, share=(4, 5), epochs=2).collect()
     assert sorted(map(repr, again)) == sorted(map(repr, got))
