@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loomhouse.llm.exact import drop_copies
 from loomhouse.llm.mixing import mix_documents
-from loomhouse.llm.neardup import near_duplicates
+from loomhouse.llm.neardup import drop_near_copies
 from loomhouse.llm.pieces import encode_pieces
 from loomhouse.llm.quality import quality_filter
 from loomhouse.llm.queries import (
@@ -44,12 +44,10 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, the one with the smallest id.
 
-    Shingles are ``SHINGLE`` words long. Only the ids of documents that go are
-    joined back.
+    Shingles are ``SHINGLE`` words long. Rows that repeat an id are judged one
+    by one, each by its own text.
     """
-    found = near_duplicates(docs, shingle=SHINGLE)
-    gone = materialize(found.where("not kept").select("id"), "near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
+    return drop_near_copies(docs, shingle=SHINGLE)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +55,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mix_documents(
         docs, mix_levels(), MIX_WEIGHTS, share=MIX_SHARE, epochs=MIX_EPOCHS, seed=MIX_SEED
     )
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return taken.select("row.*")
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
