@@ -12,10 +12,11 @@ from loomhouse.operators.aggregates import (
     running_total,
     watch_periods,
 )
+from loomhouse.operators.history import History, apply_changes, current_versions
 from loomhouse.operators.intervals import overlap_join, point_lookup
 from loomhouse.operators.joins import either_key_lookup, expand_names
 from loomhouse.operators.versions import scd2_build
-from loomhouse.session import materialize
+from loomhouse.session import fresh_folder, materialize
 
 
 def span() -> list:
@@ -101,6 +102,25 @@ def q_fill_forward(spark, sf):
     return _filled(spark, sf, "forward")
 
 
+@query("scd2_apply_batch", _filled_sql("coalesce(v0, last_value(v0 IGNORE NULLS) OVER w)"))
+def q_apply_batch(spark, sf):
+    """A first load up to the middle of the events, then a batch with the rest.
+
+    Errors of the first half arrive with the second batch, so it holds late changes.
+    """
+    changes = table(spark, sf, "events").withColumn(
+        "v", F.when(~F.col("event_type").isin("click", "error"), F.col("value"))
+    )
+    seconds = F.unix_micros("ts")
+    middle = changes.agg(((F.min(seconds) + F.max(seconds)) / 2).alias("m")).scalar()
+    first = (seconds < middle) & (F.col("event_type") != "error")
+    how = History(["user_id"], "ts", ["event_id"], ["event_type", "v"], "forward", ["v"])
+    folder = fresh_folder(spark, "versioned")
+    apply_changes(spark, folder, how, "1", changes.where(first))
+    done = apply_changes(spark, folder, how, "2", changes.where(~first))
+    return current_versions(done, how).select("user_id", "event_type", "v", *span(), "iscurrent")
+
+
 @query(
     "scd2_point_lookup",
     f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomhouse.bindings.registry import query, sql_case, sql_list, stamp, table, text
@@ -15,6 +16,7 @@ from loomhouse.operators.keys import (
     date_key,
     next_dense_start,
 )
+from loomhouse.operators.bucketed import BucketedTable, upsert_bucketed
 from loomhouse.operators.sinks import conform, save, upsert
 from loomhouse.schemas import struct
 from loomhouse.session import fresh_folder
@@ -137,9 +139,7 @@ def q_prospect_match_strict(spark, sf):
     return _people(spark, sf, True)
 
 
-@query(
-    "prospect_upsert",
-    """
+_UPSERT_SQL = """
     WITH old AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment, 1 AS recordbatchid,
                         1 AS batchid FROM customer WHERE c_mktsegment <> 'BUILDING'),
     new AS (SELECT c_custkey, lower(c_name) AS c_name, c_acctbal + 50 AS c_acctbal,
@@ -152,10 +152,11 @@ def q_prospect_match_strict(spark, sf):
            coalesce(n.c_mktsegment, o.c_mktsegment) AS c_mktsegment,
            coalesce(n.recordbatchid, o.recordbatchid) AS recordbatchid,
            coalesce(o.batchid, n.batchid) AS batchid
-    FROM old o FULL JOIN new n ON o.c_custkey = n.c_custkey""",
-)
-def q_prospect_upsert(spark, sf):
-    """A second batch with two deliveries per key over a first batch."""
+    FROM old o FULL JOIN new n ON o.c_custkey = n.c_custkey"""
+
+
+def _deliveries(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """A first batch of customers, and a second with two deliveries per key."""
     customer = table(spark, sf, "customer").drop("c_nationkey")
     first = customer.where("c_mktsegment <> 'BUILDING'").withColumns(
         {"recordbatchid": F.lit(1), "batchid": F.lit(1)}
@@ -167,10 +168,31 @@ def q_prospect_upsert(spark, sf):
         .withColumn("c_acctbal", F.col("c_acctbal") + 25 * F.col("delivery"))
         .withColumn("c_name", F.lower("c_name"))
     )
+    return first, second
+
+
+@query("prospect_upsert", _UPSERT_SQL)
+def q_prospect_upsert(spark, sf):
+    """A second batch with two deliveries per key over a first batch."""
+    first, second = _deliveries(spark, sf)
     merged = upsert(first, second, ["c_custkey"], ["batchid"], ["delivery"])
     return merged.withColumn("c_acctbal", F.round("c_acctbal", 2))
 
 
+@query("upsert_bucketed", _UPSERT_SQL)
+def q_upsert_bucketed(spark, sf):
+    """The same batches applied to a stored table; the second one is sent twice."""
+    first, second = _deliveries(spark, sf)
+    stored_in = fresh_folder(spark, "prospects")
+    empty = BucketedTable.create(spark, stored_in, first.schema, ["c_custkey"], 64)
+    loaded = upsert_bucketed(
+        empty, "1", first.withColumn("delivery", F.lit(1)), ["batchid"], ["delivery"]
+    )
+    for _ in range(2):
+        loaded = upsert_bucketed(loaded, "2", second, ["batchid"], ["delivery"])
+    return loaded.rows().withColumn("c_acctbal", F.round("c_acctbal", 2))
+
+
 @query(
     "marketing_nameplate",
     f"""

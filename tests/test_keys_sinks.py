@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from loomhouse.operators import skew
 from loomhouse.operators.joins import either_key_lookup, match_people, role_lookup
 from loomhouse.operators.keys import (
     assign_dense_ids,
@@ -125,11 +126,12 @@ def test_people_match_blank_rules(spark):
     assert hits(strict=False) == {"a", "b", "c"}
 
 
-@pytest.mark.parametrize("large", [False, True])
-def test_one_lookup_in_two_roles(spark, large):
+@pytest.mark.parametrize("small", [False, True])
+def test_one_lookup_in_two_roles(spark, small, monkeypatch):
+    monkeypatch.setattr(skew, "broadcast_sized", lambda _: small)
     df = spark.createDataFrame([("x", "y"), ("y", "gone")], "a string, b string")
     codes = spark.createDataFrame([("x", 1), ("y", 2)], "id string, n int")
-    got = role_lookup(df, codes, "id", {"a": "a_", "b": "b_"}, ["n"], large=large).collect()
+    got = role_lookup(df, codes, "id", {"a": "a_", "b": "b_"}, ["n"]).collect()
     assert [(r["a"], r["a_n"], r["b_n"]) for r in got] == [("x", 1, 2)]
 
 

@@ -11,6 +11,12 @@ from loomhouse.operators.intervals import overlap_join, point_lookup
 FORCE = {"rows_per_task": 20}
 
 
+@pytest.fixture(autouse=True)
+def counted(monkeypatch):
+    """The sides of these tests are small; treat them as beyond a broadcast."""
+    monkeypatch.setattr(skew, "broadcast_sized", lambda _: False)
+
+
 def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
@@ -66,6 +72,40 @@ def test_hot_key_is_spread_over_tasks(spark, sides):
     assert sum(r["count"] for r in parts) == 312
 
 
+def test_small_right_side_is_broadcast_without_counting(sides, monkeypatch):
+    left, right = sides
+    monkeypatch.undo()
+    monkeypatch.setattr(skew, "hot_keys", None)
+    joined = skew.salted_join(left, right, ["k"], "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan
+    assert _rows(joined) == _rows(left.join(right, ["k"], "left"))
+
+
+def test_without_hot_keys_the_join_is_a_plain_one(spark, sides):
+    left, right = sides
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = skew.salted_join(left, right, ["k"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Join") == 1 and "_salt" not in plan
+
+
+def test_left_rows_without_key_are_spread(spark, sides):
+    left = sides[0].withColumn("k", F.lit(None).cast("long"))
+    joined = skew.salted_join(left, sides[1], ["k"], "left")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(parts) == 8 and sum(r["count"] for r in parts) == 900
+
+
 def test_hot_keys_of_both_sides(spark, sides):
     left, _ = sides
     right = spark.range(200).select((F.col("id") % 2).alias("k"), F.col("id").alias("w"))
