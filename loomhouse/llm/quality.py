@@ -78,11 +78,11 @@ def n_repeat_words(w: Column, width: int = 3) -> Column:
         ).otherwise(F.array().cast("array<int>"))
         return F.transform(places, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
 
-    def equal(a: Column, b: Column) -> Column:
+    def equal(w: Column, a: Column, b: Column) -> Column:
         same = [F.get(w, a["at"] + k) == F.get(w, b["at"] + k) for k in range(width)]
         return reduce(lambda x, y: x & y, [a["h"] == b["h"], *same])
 
-    def marked(found: Column) -> Column:
+    def marked(w: Column, found: Column) -> Column:
         placed = F.array_sort(F.transform(found, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
         pairs = let(
             placed,
@@ -90,7 +90,7 @@ def n_repeat_words(w: Column, width: int = 3) -> Column:
                 F.zip_with(
                     s,
                     F.slice(s, 2, F.size(s)),
-                    lambda a, b: F.when(equal(a, b), F.array(a["at"], b["at"])),
+                    lambda a, b: F.when(equal(w, a, b), F.array(a["at"], b["at"])),
                 ),
                 lambda x: x.isNotNull(),
             ),
@@ -100,9 +100,17 @@ def n_repeat_words(w: Column, width: int = 3) -> Column:
         )
         return F.size(F.array_distinct(F.flatten(covered)))
 
+    def repeated(w: Column, found: Column) -> Column:
+        apart = F.size(F.array_distinct(found)) == F.size(found)
+        return F.when(apart, 0).otherwise(marked(w, found))
+
+    # each step is bound once; an expression inside a lambda would run per element
     return let(
-        windows(F.transform(w, lambda x: F.xxhash64(x))),
-        lambda x: F.when(F.size(F.array_distinct(x)) == F.size(x), 0).otherwise(marked(x)),
+        w,
+        lambda w: let(
+            F.transform(w, lambda x: F.xxhash64(x)),
+            lambda h: let(windows(h), lambda x: repeated(w, x)),
+        ),
     ).cast("long")
 
 
