@@ -6,9 +6,11 @@ the next word holds one plain 64-bit value. Words are grouped in blocks; a
 block keeps the position of each document and of each run of words, so any
 block is decoded alone, all words of one selector at a time.
 
-A file is one range of document ids: a header, blocks, the table of block
-offsets and a footer. Files are written by tasks to the shared folder under a
-name of their own and moved into place, and are read back as binary files.
+A file is one range of document ids: a header, blocks, the table of blocks and
+a footer. How many files there are follows from the bytes of the texts. Tasks
+write block by block to the shared folder under a name of their own and move the
+file into place. The reader takes the tables first and deals ranges of blocks
+over tasks, so neither side ever holds a file.
 """
 
 from __future__ import annotations
@@ -36,6 +38,9 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 MAGIC = b"S8BTOK01"
 BLOCK_IDS = 1 << 16
+# Bytes of text per file, and blocks that one read takes.
+FILE_BYTES = 1 << 29
+BLOCKS_AT_ONCE = 32
 
 _FOUR = np.uint64(60)
 
@@ -148,22 +153,43 @@ def read_block(raw: memoryview) -> tuple[np.ndarray, list[int | None], np.ndarra
     return ids, [None if x else d for d, x in zip(named, null, strict=True)], ends
 
 
-def write_file(blocks: list[bytes], total: int) -> bytes:
-    """Header, blocks, block offsets, footer."""
-    offsets = np.cumsum([len(MAGIC), *map(len, blocks)]).astype("<u8")
-    foot = struct.pack("<QQ", total, len(blocks)) + MAGIC
-    return b"".join([MAGIC, *blocks, offsets.tobytes(), foot])
+class FileWriter:
+    """Writes header, blocks, table and footer to an open file.
 
+    The table has a row per block and one behind the last: its offset, the ids
+    and the documents before it.
+    """
 
-def read_file(raw: bytes):
-    """Blocks of a file, one after another, each as ``read_block`` gives it."""
-    if raw[:8] != MAGIC or raw[-8:] != MAGIC:
+    def __init__(self, out):
+        self.out, self.at, self.ids, self.docs = out, len(MAGIC), 0, 0
+        self.table: list[tuple[int, int, int]] = []
+        out.write(MAGIC)
+
+    def add(self, ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray) -> None:
+        self.table.append((self.at, self.ids, self.docs))
+        raw = write_block(ids, doc_ids, ends)
+        self.out.write(raw)
+        self.at += len(raw)
+        self.ids += len(ids)
+        self.docs += len(doc_ids)
+
+    def close(self) -> None:
+        rows = np.array([*self.table, (self.at, self.ids, self.docs)], "<u8")
+        self.out.write(rows.tobytes())
+        self.out.write(struct.pack("<QQ", self.ids, len(self.table)) + MAGIC)
+
+
+def read_table(file, size: int) -> np.ndarray:
+    """The table of blocks of an open file of ``size`` bytes."""
+    file.seek(0)
+    head = file.read(len(MAGIC))
+    file.seek(size - 24)
+    foot = file.read(24)
+    if head != MAGIC or foot[-8:] != MAGIC:
         raise ValueError("not a token file")
-    _, count = struct.unpack_from("<QQ", raw, len(raw) - 24)
-    offsets = np.frombuffer(raw, "<u8", count + 1, len(raw) - 24 - 8 * (count + 1)).tolist()
-    view = memoryview(raw)
-    for lo, hi in zip(offsets, offsets[1:], strict=False):
-        yield read_block(view[lo:hi])
+    _, count = struct.unpack_from("<QQ", foot)
+    file.seek(size - 24 - 24 * (count + 1))
+    return np.frombuffer(file.read(24 * (count + 1)), "<u8").reshape(-1, 3).astype(np.int64)
 
 
 # Token ids of texts.
@@ -173,26 +199,47 @@ def read_file(raw: bytes):
 _CUT = re.compile(r" (?=\S)")
 
 
+_ODD = re.compile(r" (?=\s|\Z)")
+# Latin letters and what follows them, each of which is one token of the pattern.
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([^\w\s']*)")
+
+
+def _byte_chars() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level pieces, by byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class BpeEncoder:
-    """Ids of the tokenizers library, with frequent words remembered."""
+    """Ids of the tokenizers library, with frequent words remembered.
+
+    A text is cut where a space precedes a word; words of letters go to the
+    library's merges directly, others through all of it. A text that holds a
+    special token is encoded as a whole.
+    """
 
     def __init__(self, path: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # words apart never hold a special token; a row of them must not form one
+        self.words.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.limit = limit
         # bytes of each id: a character of a byte-level piece stands for one byte
         self.lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for piece, i in self.tokenizer.get_vocab().items():
             self.lengths[i] = len(piece)
+        self.chars = _byte_chars()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text. A text is its head and words that follow a space."""
-        cut = [_CUT.split(t or "") for t in texts]
+    def encode(self, texts: list[str | None], end: bytes = b"") -> list[np.ndarray]:
+        """Ids of each text, ``end`` behind them. A text is its head and words behind a space."""
+        cut = [self._cut(t or "") for t in texts]
         heads = self._each([c[0] for c in cut])
         words = list(chain.from_iterable(c[1:] for c in cut))
         found = list(map(self.known.get, words))
@@ -206,25 +253,56 @@ class BpeEncoder:
                     del self.known[word]
         out, at = [], 0
         for head, c in zip(heads, cut, strict=True):
-            out.append(np.frombuffer(head + b"".join(found[at : at + len(c) - 1]), "<u4"))
-            at += len(c) - 1
+            behind = at + len(c) - 1
+            out.append(np.frombuffer(b"".join((head, *found[at:behind], end)), "<u4"))
+            at = behind
         return out
 
+    def _cut(self, text: str) -> list[str]:
+        if any(s in text for s in self.special):
+            return [text]
+        return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+
     def _look_up(self, new: set[str]) -> None:
         """Puts the ids of ``new`` among the known words."""
         if len(self.known) + len(new) > self.limit:
             self.known, self.older = {}, self.known
         for word in new & self.older.keys():
             self.known[word] = self.older[word]
-        words = list(new - self.known.keys())
-        self.known.update(zip(words, self._apart(words), strict=True))
+        rest = []
+        for word in new - self.known.keys():
+            letters = _LETTERS.fullmatch(word)
+            if letters is None:
+                rest.append(word)
+                continue
+            base, tail = letters.groups()
+            ids = self.known.get(base)
+            if ids is None:
+                ids = self._merged(base)
+                if len(base) <= 64:
+                    self.known[base] = ids
+            self.known[word] = ids + self._tail(tail)
+        self.known.update(zip(rest, self._apart(rest), strict=True))
+
+    def _merged(self, letters: str) -> bytes:
+        """Ids of letters behind a space."""
+        raw = (" " + letters).encode().decode("latin-1").translate(self.chars)
+        ids = [t.id for t in self.words.model.tokenize(raw)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {"": b""}
+            self.tails[tail] = self._ids([tail]).tobytes()
+        return self.tails[tail]
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, "<u4").tobytes() for f in found]
 
     def _ids(self, texts: list[str]) -> np.ndarray:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        found = self.words.encode_batch_fast(texts, add_special_tokens=False)
         return np.fromiter(chain.from_iterable(f.ids for f in found), "<u4")
 
     def _apart(self, words: list[str], at_once: int = 2_000) -> list[bytes]:
@@ -263,94 +341,132 @@ def write_tokens(
     """Writes the ids of all texts in ascending id order; ``file``, ``n_ids``.
 
     The folder is one that all executors reach, ``tokenizer_path`` a file that
-    each of them has. Each range of ids becomes one file named by its place;
-    a task that runs again writes the same file again. Null ids come first,
-    null and empty texts are the end id alone, repeated rows stay. The result
-    is what was written; files appear when it is computed.
+    each of them has. Each range of ids becomes one file named by its place:
+    ``files`` of them, or one per ``FILE_BYTES`` bytes of text and at least the
+    shuffle partitions. A task that runs again writes the same file again. Null
+    ids come first, null and empty texts are the end id alone, repeated rows
+    stay, equal ids are in the order of their texts. The result is what was
+    written; files appear when it is computed.
     """
     rows = picked(docs, id=id_col, text=text_col)
-    parts = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        files = max(least, size // FILE_BYTES + 1)
+    end = struct.pack("<I", end_id)
 
     def run(batches):
         system, base = _place(folder)
         part = TaskContext.get().partitionId()
         encoder = encoder_for(tokenizer_path)
-        blocks, total = [], 0
-        ids, names = [], []
+        out = writer = draft = None
+        ids, names, held = [], [], 0
 
-        def close() -> None:
-            nonlocal ids, names
-            ends = np.cumsum([len(i) for i in ids])
-            blocks.append(write_block(np.concatenate(ids), names, ends))
-            ids, names = [], []
+        def add() -> None:
+            writer.add(np.concatenate(ids), names, np.cumsum([len(i) for i in ids]))
 
-        held = 0
         for batch in small_batches(batches, "text", 2_000_000):
-            found = encoder.encode(batch["text"].to_pylist())
+            if out is None:
+                system.create_dir(base, recursive=True)
+                draft = f"{base}/.{part:06d}-{uuid.uuid4().hex}"
+                out = system.open_output_stream(draft)
+                writer = FileWriter(out)
+            found = encoder.encode(batch["text"].to_pylist(), end)
             for name, i in zip(batch["id"].to_pylist(), found, strict=True):
-                ids.append(np.append(i, np.uint32(end_id)))
+                ids.append(i)
                 names.append(name)
-                held += len(i) + 1
+                held += len(i)
                 if held >= BLOCK_IDS:
-                    total += held
-                    close()
-                    held = 0
-        if names:
-            total += held
-            close()
-        if blocks:
-            system.create_dir(base, recursive=True)
-            draft = f"{base}/.{part:06d}-{uuid.uuid4().hex}"
-            with system.open_output_stream(draft) as out:
-                out.write(write_file(blocks, total))
+                    add()
+                    ids, names, held = [], [], 0
+        if out is not None:
+            if names:
+                add()
+            writer.close()
+            out.close()
             system.move(draft, f"{base}/{part:06d}.s8b")
-            yield pa.RecordBatch.from_pydict({"file": [part], "n_ids": [total]})
+            yield pa.RecordBatch.from_pydict({"file": [part], "n_ids": [writer.ids]})
 
     return (
-        rows.repartitionByRange(parts, F.col("id").asc_nulls_first())
+        rows.repartitionByRange(files, F.col("id").asc_nulls_first())
         .sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
         .mapInArrow(run, "file long, n_ids long")
     )
 
 
+_RANGE = "path string, file long, cuts array<long>, start long, place long"
+
+
+def _block_ranges(batches):
+    """Ranges of blocks of files: their cuts, and the ids and documents before them."""
+    for batch in batches:
+        for path, size in zip(batch["path"].to_pylist(), batch["length"].to_pylist(), strict=True):
+            system, place = _place(path)
+            with system.open_input_file(place) as file:
+                table = read_table(file, size)
+            firsts = range(0, len(table) - 1, BLOCKS_AT_ONCE)
+            number = int(re.search(r"(\d+)\.s8b$", path)[1])
+            yield pa.RecordBatch.from_pylist(
+                [
+                    {
+                        "path": path,
+                        "file": number,
+                        "cuts": table[k : k + BLOCKS_AT_ONCE + 1, 0].tolist(),
+                        "start": int(table[k, 1]),
+                        "place": int(table[k, 2]),
+                    }
+                    for k in firsts
+                ],
+                schema=pa.schema(
+                    [("path", pa.string()), ("file", pa.int64()), ("cuts", pa.list_(pa.int64())),
+                     ("start", pa.int64()), ("place", pa.int64())]
+                ),
+            )
+
+
 def read_tokens(spark, folder: str) -> DataFrame:
     """``file``, ``place``, ``id``, ``start``, ``n_ids``, ``crc32`` of each document.
 
-    ``start`` counts from the begin of the file.
+    ``start`` counts from the begin of the file. A task reads block by block.
     """
-    raw = (
+    files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.s8b")
         .load(folder)
-        .select(F.regexp_extract("path", r"(\d+)\.s8b$", 1).cast("long").alias("file"), "content")
+        .select("path", "length")
     )
+    ranges = files.mapInArrow(_block_ranges, _RANGE)
+    most = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(ranges.count(), most))
 
     def run(batches):
         for batch in batches:
-            for file, content in zip(
-                batch["file"].to_pylist(), batch["content"].to_pylist(), strict=True
-            ):
-                start, place = 0, 0
-                for ids, names, ends in read_file(content):
-                    begins = np.concatenate([[0], ends[:-1]])
-                    plain = ids.astype("<u4")
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "file": [file] * len(names),
-                            "place": list(range(place, place + len(names))),
-                            "id": pa.array(names, pa.int64()),
-                            "start": start + begins,
-                            "n_ids": ends - begins,
-                            "crc32": [
-                                zlib.crc32(plain[b:e].tobytes())
-                                for b, e in zip(begins.tolist(), ends.tolist(), strict=True)
-                            ],
-                        }
-                    )
-                    start += len(ids)
-                    place += len(names)
-
-    return raw.mapInArrow(
+            for row in batch.to_pylist():
+                system, at = _place(row["path"])
+                start, place, cuts = row["start"], row["place"], row["cuts"]
+                with system.open_input_file(at) as file:
+                    for lo, hi in zip(cuts, cuts[1:], strict=False):
+                        file.seek(lo)
+                        ids, names, ends = read_block(memoryview(file.read(hi - lo)))
+                        begins = np.concatenate([[0], ends[:-1]])
+                        plain = memoryview(ids.astype("<u4")).cast("B")
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "file": [row["file"]] * len(names),
+                                "place": list(range(place, place + len(names))),
+                                "id": pa.array(names, pa.int64()),
+                                "start": start + begins,
+                                "n_ids": ends - begins,
+                                "crc32": [
+                                    zlib.crc32(plain[4 * b : 4 * e])
+                                    for b, e in zip(begins.tolist(), ends.tolist(), strict=True)
+                                ],
+                            }
+                        )
+                        start += len(ids)
+                        place += len(names)
+
+    return ranges.repartition(tasks, "path", "start").mapInArrow(
         run, "file long, place long, id long, start long, n_ids long, crc32 long"
     )
 
@@ -366,7 +482,8 @@ def token_files(
     """Writes the files, reads them back: ``id``, ``start``, ``n_ids``, ``crc32``.
 
     ``start`` is the number of ids of all documents before it. Only one number
-    per file is summed up in one task.
+    per file is summed up in one task. Nulls, ties and repeated rows as in
+    ``write_tokens``; an empty table gives no rows.
     """
     spark = docs.sparkSession
     folder = fresh_folder(spark, "tokens")
