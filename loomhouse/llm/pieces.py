@@ -19,17 +19,18 @@ from __future__ import annotations
 
 import heapq
 import re
-import zlib
 from collections.abc import Iterable
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomhouse.llm.common import mix, picked, small_batches
+from loomhouse.session import materialize
 
 MARK = "▁"
 _MASK = (1 << 64) - 1
@@ -101,12 +102,17 @@ class Pieces:
         self.by_rank = np.array(best_first)
         self.size = size
         self.part = _Parts(self.id, size)
+        # the number of a character by its code point, -1 where none is given yet
+        self.code = np.full(0x110000, -1, np.int32)
         self.written = _Written(self.id, self.byte)
         self._hash_pairs()
-        self.raw = [
+        raw = [
             bytes([self.value[i]]) if i in self.value else t.replace(MARK, " ").encode()
             for i, t in enumerate(self.text)
         ]
+        self.raw_bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_sizes = np.fromiter(map(len, raw), np.int64, size)
+        self.raw_starts = np.cumsum(self.raw_sizes) - self.raw_sizes
 
     def _hash_pairs(self) -> None:
         """Open-addressed table of all pairs of parts that make a piece."""
@@ -201,9 +207,7 @@ class Pieces:
         n, width = len(texts), int(lengths.max())
         part = np.full((n, width + 1), -1, np.int32)
         inside = np.arange(width + 1) < lengths[:, None]
-        part[inside] = np.fromiter(
-            map(self.part.__getitem__, "".join(texts)), np.int32, int(lengths.sum())
-        )
+        part[inside] = self._numbers("".join(texts))
         rank = np.full((n, width + 1), _NONE, np.int32)
         rank[:, :-1] = self._pair(part[:, :-1], part[:, 1:])
         after = np.tile(np.arange(1, width + 2), (n, 1))
@@ -244,6 +248,16 @@ class Pieces:
             lo = hi
         return found
 
+    def _numbers(self, text: str) -> np.ndarray:
+        """Part number of each character."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        found = self.code[points]
+        if (found < 0).any():
+            for point in np.unique(points[found < 0]).tolist():
+                self.code[point] = self.part[chr(point)]
+            found = self.code[points]
+        return found
+
     def _in_bytes(self, parts: list[int]) -> bytes:
         """Ids of parts of which some are characters without a piece."""
         size, names = self.size, self.part.names
@@ -256,16 +270,32 @@ class Pieces:
         """Rank of the piece that two parts make, ``_NONE`` where there is none."""
         key = (left.astype(np.int64) << 32) | right
         slot = ((key.view(np.uint64) * _SPREAD) >> np.uint64(64 - _TABLE)).astype(np.int64)
-        out = np.full(key.shape, _NONE, np.int32)
-        for step in range(self.steps):
+        there = self.table_key[slot]
+        out = np.where(there == key, self.table_rank[slot], np.int32(_NONE))
+        # on from a slot that another pair holds
+        at = np.nonzero((there != key) & (there != -1))
+        key, slot = key[at], slot[at]
+        for step in range(1, self.steps):
             hit = self.table_key[slot + step] == key
-            out[hit] = self.table_rank[(slot + step)[hit]]
+            out[tuple(a[hit] for a in at)] = self.table_rank[(slot + step)[hit]]
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ``ids``: space marks to spaces, without the first space."""
-        joined = b"".join(map(self.raw.__getitem__, ids))
-        return joined.decode(errors="replace").removeprefix(" ")
+        return self.decode_all(np.asarray(ids, np.int64), np.array([len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of ids one after another, which end at ``ends``."""
+        sizes = self.raw_sizes[ids]
+        last = np.cumsum(sizes)
+        # the place of each byte among the bytes of all pieces
+        place = np.repeat(self.raw_starts[ids] - (last - sizes), sizes) + np.arange(sizes.sum())
+        raw = self.raw_bytes[place].tobytes()
+        cuts = np.append(0, last)[np.append(0, ends)].tolist()
+        return [
+            raw[lo:hi].decode(errors="replace").removeprefix(" ")
+            for lo, hi in zip(cuts, cuts[1:], strict=False)
+        ]
 
 
 @lru_cache(2)
@@ -295,11 +325,6 @@ class Encoder:
         self.plain: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
 
-    @property
-    def known(self) -> dict[str, bytes]:
-        """Chunks whose ids hold wherever they occur; with dropout there are none."""
-        return {} if self.below else {c: ids for c, (ids, _) in self.plain.items()}
-
     def encode(
         self,
         texts: list[str | None],
@@ -307,6 +332,15 @@ class Encoder:
         epochs: list[int | None] | None = None,
     ) -> list[np.ndarray]:
         """Ids of each text; ``docs``, ``epochs`` and the places of chunks key the dropout."""
+        return self.encode_counted(texts, docs, epochs)[0]
+
+    def encode_counted(
+        self,
+        texts: list[str | None],
+        docs: list[int | None],
+        epochs: list[int | None] | None = None,
+    ) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of each text, and how many it has without dropout."""
         named = [_chunks(t) if t else [] for t in texts]
         sizes = np.fromiter(map(len, named), np.int64, len(named))
         place = {c: k for k, c in enumerate(dict.fromkeys(chain.from_iterable(named)))}
@@ -316,6 +350,7 @@ class Encoder:
             map(place.__getitem__, chain.from_iterable(named)), np.int64, int(sizes.sum())
         )
         out = list(map(ids.__getitem__, which.tolist()))
+        plain = np.fromiter(map(len, ids), np.int64, len(ids))[which] // 4
         if self.below:
             keys = self._keys(docs, epochs or [0] * len(docs), sizes)
             other = np.flatnonzero(self._differs(chunks, steps, which, keys))
@@ -324,11 +359,13 @@ class Encoder:
             )
             for at, i in zip(other.tolist(), cut, strict=True):
                 out[at] = i
-        ends = np.cumsum(sizes).tolist()
+        ends = np.cumsum(sizes)
+        so_far = np.append(0, np.cumsum(plain))
+        cuts = ends.tolist()
         return [
             np.frombuffer(b"".join(out[lo:hi]), "<i4")
-            for lo, hi in zip([0, *ends], ends, strict=False)
-        ]
+            for lo, hi in zip([0, *cuts], cuts, strict=False)
+        ], so_far[ends] - so_far[ends - sizes]
 
     def _plain(self, chunks: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Ids and merges of distinct chunks without dropout."""
@@ -383,50 +420,87 @@ def encode_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     copies: bool = False,
+    counted: bool = False,
 ) -> DataFrame:
     """``id`` and ``ids`` of every row of ``docs``.
 
     ``model_path`` has to exist on every executor. Null and empty texts have no
     ids; a null id counts as 0 for the dropout; repeated rows are encoded
-    alike, or with ``copies`` under an epoch of their own, from 0 on. Other
+    alike, or with ``copies`` under an epoch of their own, from 0 on. With
+    ``counted`` also ``n_plain``, the number of ids without dropout, and
+    ``text_hash``, by which a decoded text is told to be the same. Other
     columns of ``docs`` are not read.
     """
     rows = picked(docs, id=id_col, text=text_col)
     if copies:
-        counted = rows.groupBy("id", "text").agg(F.count(F.lit(1)).alias("n"))
-        rows = counted.select(
+        numbered = rows.groupBy("id", "text").agg(F.count(F.lit(1)).alias("n"))
+        rows = numbered.select(
             "id", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("epoch")
         )
     else:
         rows = rows.withColumn("epoch", F.lit(0).cast("long"))
+    if counted:
+        rows = rows.withColumn("text_hash", text_hash(F.col("text")))
 
     def run(batches):
         encoder = encoder_for(model_path, dropout, seed)
         for batch in small_batches(batches, "text", 2_000_000):
             texts, names = batch["text"].to_pylist(), batch["id"].to_pylist()
-            ids = encoder.encode(texts, names, batch["epoch"].to_pylist())
+            ids, plain = encoder.encode_counted(texts, names, batch["epoch"].to_pylist())
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate([np.empty(0, np.int32), *ids])
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                names=["id", "ids"],
-            )
+            found = {
+                "id": batch["id"],
+                "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+            }
+            if counted:
+                found |= {"n_plain": pa.array(plain), "text_hash": batch["text_hash"]}
+            yield pa.RecordBatch.from_pydict(found)
+
+    schema = "id long, ids array<int>" + ", n_plain long, text_hash string" * counted
+    return rows.mapInArrow(run, schema)
 
-    return rows.mapInArrow(run, "id long, ids array<int>")
 
+def text_hash(text: Column) -> Column:
+    """128 bits of a text; null counts as empty."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
-def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
-    """``id`` and ``text`` from ``id`` and ``ids``; null ids decode to an empty text."""
+
+def decode_pieces(encoded: DataFrame, model_path: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id`` and ``text`` from ``id`` and ``ids``, and the columns to ``keep``.
+
+    Null ids decode to an empty text.
+    """
+    kept = ["id", *keep]
 
     def run(batches):
         pieces = load(model_path)
         for batch in batches:
-            texts = [pieces.decode(i or []) for i in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array(texts, pa.string())], names=["id", "text"]
-            )
-
-    return encoded.select("id", "ids").mapInArrow(run, "id long, text string")
+            # about 4 bytes of text per id
+            for part in _slices(batch, "ids", 500_000):
+                ids = part["ids"]
+                sizes = pc.fill_null(pc.list_value_length(ids), 0)
+                flat = ids.flatten().to_numpy(zero_copy_only=False)
+                texts = pieces.decode_all(flat, np.cumsum(sizes.to_numpy(zero_copy_only=False)))
+                columns = [part[c] for c in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(texts, pa.string())], names=[*kept, "text"]
+                )
+
+    rows = encoded.select(*kept, "ids")
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept)
+    return rows.mapInArrow(run, f"{schema}, text string")
+
+
+def _slices(batch: pa.RecordBatch, column: str, most: int):
+    """Parts of a batch with about ``most`` list entries; one long list is a part of its own."""
+    sizes = pc.fill_null(pc.list_value_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // most
+    cuts = (np.flatnonzero(np.diff(part)) + 1).tolist()
+    for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
 
 
 def round_trip(
@@ -437,38 +511,14 @@ def round_trip(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``id``, ``n_ids``, ``n_merged``, ``ids_crc32``, ``lossless``.
-
-    ``n_merged`` is the number of ids of several characters.
+    """``id``, ``ids``, ``n_plain``, ``lossless``.
 
-    Encodes and decodes in one pass, so ids do not leave the task.
+    The ids are stored and the stored table is decoded. ``n_plain`` is the
+    number of ids without dropout; ``lossless`` tells whether the decoded text
+    is that of the row.
     """
-
-    def run(batches):
-        pieces = load(model_path)
-        encoder = encoder_for(model_path, dropout, seed)
-        long = np.array([len(p) > 1 and p in pieces.id for p in pieces.text])
-        for batch in small_batches(batches, "text", 2_000_000):
-            texts = batch["text"].to_pylist()
-            found = encoder.encode(texts, batch["id"].to_pylist())
-            columns = [
-                [len(i) for i in found],
-                [int(long[i].sum()) for i in found],
-                [zlib.crc32(i.tobytes()) for i in found],
-                [
-                    pieces.decode(i.tolist()) == (t or "")
-                    for i, t in zip(found, texts, strict=True)
-                ],
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["id"],
-                    *[pa.array(c, pa.int64()) for c in columns[:3]],
-                    pa.array(columns[3], pa.bool_()),
-                ],
-                names=["id", "n_ids", "n_merged", "ids_crc32", "lossless"],
-            )
-
-    return picked(docs, id=id_col, text=text_col).mapInArrow(
-        run, "id long, n_ids long, n_merged long, ids_crc32 long, lossless boolean"
-    )
+    encoded = encode_pieces(docs, model_path, dropout, seed, id_col, text_col, counted=True)
+    stored = materialize(encoded, "pieces")
+    decoded = decode_pieces(stored, model_path, ("n_plain", "text_hash", "ids"))
+    same = text_hash(F.col("text")) == F.col("text_hash")
+    return decoded.select("id", "ids", "n_plain", same.alias("lossless"))

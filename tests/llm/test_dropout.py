@@ -44,6 +44,54 @@ def test_remembered_merges_give_the_ids_of_one_by_one():
             assert ids.tobytes() == (b"".join(cuts(encoder, text, doc, epoch)) if text else b"")
 
 
+FULL = 1 << 64
+
+
+def mixed(h: int, value: int) -> int:
+    out = (h ^ value) * 0x9E3779B97F4A7C15 % FULL
+    return out ^ (out >> 29)
+
+
+def brute_ids(model, score, word, key, limit):
+    """Of all neighbours that make a piece and are not skipped, the best and leftmost merge."""
+    rank = {p: r for r, p in enumerate(sorted(score, key=lambda p: -score[p]))}
+    parts = [(i, ch) for i, ch in enumerate(word)]
+    while True:
+        open_ = []
+        for k in range(len(parts) - 1):
+            place, joined = parts[k][0], parts[k][1] + parts[k + 1][1]
+            if joined in rank and mixed(mixed(key, place), rank[joined]) >> 32 >= limit:
+                open_.append((rank[joined], place, k))
+        if not open_:
+            break
+        k = min(open_)[2]
+        parts[k : k + 2] = [(parts[k][0], parts[k][1] + parts[k + 1][1])]
+    out = []
+    for _, p in parts:
+        out += [model.piece_to_id(p)] if p in score else [model.piece_to_id(f"<0x{b:02X}>") for b in p.encode()]
+    return out
+
+
+def test_ids_equal_a_scan_over_all_neighbours():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    score = {
+        model.id_to_piece(i): model.get_score(i)
+        for i in range(model.get_piece_size())
+        if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))
+    }
+    texts = ["the quick brown foxes are international", "straightforwardly  naïve 中文 é", "a" * 60, "1234567 x"]
+    encoder = Encoder(load(PATH), 0.3, 21)
+    got = encoder.encode(texts, [5, 6, 7, None], [0, 1, 2, 3])
+    for text, doc, epoch, ids in zip(texts, [5, 6, 7, 0], [0, 1, 2, 3], got, strict=True):
+        start = mixed(mixed(mixed(0, 21), doc), epoch)
+        want = []
+        for place, chunk in enumerate(_chunks(text)):
+            want += brute_ids(model, score, chunk, mixed(start, place), encoder.below)
+        assert ids.tolist() == want
+
+
 def test_copies_of_a_row_differ_by_epoch(spark):
     text = " ".join(["international house of the quick brown foxes"] * 9)
     rows = [(1, text)] * 3 + [(2, text), (None, text), (3, None), (3, None)]

@@ -153,7 +153,11 @@ def test_rows_that_repeat_an_id_are_judged_one_by_one(spark):
 def test_pieces(docs, none):
     rows = round_trip(docs, PIECES).collect()
     assert len(rows) == len(ROWS) and all(r.lossless for r in rows)
-    assert {r.n_ids for r in rows if r.id in (3, 4)} == {0}
+    assert {(len(r.ids), r.n_plain) for r in rows if r.id in (3, 4)} == {(0, 0)}
+    plain = {r.id: r for r in round_trip(docs, PIECES, dropout=0.0).collect() if r.id in (1, 6)}
+    assert all(len(r.ids) == r.n_plain for r in plain.values())
+    assert [r.n_plain for r in rows if r.id == 6] == [plain[6].n_plain]
+    assert all(len(r.ids) > r.n_plain for r in rows if r.id == 6)
     encoded = encode_pieces(docs, PIECES)
     texts = sorted(r.text for r in decode_pieces(encoded, PIECES).collect())
     assert texts == sorted(t or "" for _, t, _, _ in ROWS)
