@@ -20,6 +20,7 @@ from loomhouse.lineage.documents import (
     script_tables,
     source_entries,
 )
+from loomhouse.lineage.increment import StoredGraph, merge_documents
 from loomhouse.lineage.identifiers import normalize_table, parse_column, rewrite_csv_call
 from loomhouse.lineage.retrieval import nearest, nearest_many, with_neighbours
 from loomhouse.session import fresh_folder
@@ -479,9 +480,7 @@ def q_edges_merge(spark, sf):
     )
 
 
-@query(
-    "lineage_graph_edges",
-    f"""
+_EDGES_SQL = f"""
     WITH {_DOCS_SQL}, {_NEEDS_SQL}
     SELECT 'CONTAINS_SCRIPT' AS edge_type, pipeline AS src, script AS dst FROM doc
     UNION SELECT 'DEPENDS_ON', src, dst FROM needs
@@ -494,12 +493,34 @@ def q_edges_merge(spark, sf):
     UNION SELECT 'IN_TABLE', src, sschema || '.' || stable FROM ed
     UNION SELECT 'DERIVED_FROM', tgt, src FROM ed
     UNION SELECT 'READS_FROM', script, src FROM ed
-    UNION SELECT 'GENERATES', script, tgt FROM ed""",
-)
+    UNION SELECT 'GENERATES', script, tgt FROM ed"""
+
+
+@query("lineage_graph_edges", _EDGES_SQL)
 def q_graph_edges(spark, sf):
     return edge_table(spark, sf)
 
 
+def grown_graph(spark, sf) -> StoredGraph:
+    """The graph of two batches of documents whose file names interleave."""
+    every = documents(spark, sf)
+    early = F.col("target").startswith("wh.")
+    folder = fresh_folder(spark, "graph")
+    merge_documents(spark, folder, "B", every.where(~early), script_needs(spark, sf), buckets=16)
+    return merge_documents(spark, folder, "A", every.where(early), pipeline_needs(spark, sf))
+
+
+@query("graph_merge_increment", f"WITH {_DOCS_SQL}, {_VERTEX_SQL} SELECT * FROM m")
+def q_graph_increment(spark, sf):
+    """Vertices of a graph that took its documents in two batches."""
+    return grown_graph(spark, sf).vertices()
+
+
+@query("graph_edges_increment", _EDGES_SQL)
+def q_graph_edges_increment(spark, sf):
+    return grown_graph(spark, sf).edges()
+
+
 @query(
     "script_io_columns",
     f"""

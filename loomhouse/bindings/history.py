@@ -111,12 +111,12 @@ def q_apply_batch(spark, sf):
     changes = table(spark, sf, "events").withColumn(
         "v", F.when(~F.col("event_type").isin("click", "error"), F.col("value"))
     )
-    seconds = F.unix_micros("ts")
-    middle = changes.agg(((F.min(seconds) + F.max(seconds)) / 2).alias("m")).scalar()
-    first = (seconds < middle) & (F.col("event_type") != "error")
+    day = F.unix_date(F.to_date("ts"))
+    middle = changes.agg(((F.min(day) + F.max(day)) / 2).alias("m")).scalar()
+    first = (day < middle) & (F.col("event_type") != "error")
     how = History(["user_id"], "ts", ["event_id"], ["event_type", "v"], "forward", ["v"])
     folder = fresh_folder(spark, "versioned")
-    apply_changes(spark, folder, how, "1", changes.where(first))
+    apply_changes(spark, folder, how, "1", changes.where(first), buckets=16)
     done = apply_changes(spark, folder, how, "2", changes.where(~first))
     return current_versions(done, how).select("user_id", "event_type", "v", *span(), "iscurrent")
 

@@ -184,7 +184,7 @@ def q_upsert_bucketed(spark, sf):
     """The same batches applied to a stored table; the second one is sent twice."""
     first, second = _deliveries(spark, sf)
     stored_in = fresh_folder(spark, "prospects")
-    empty = BucketedTable.create(spark, stored_in, first.schema, ["c_custkey"], 64)
+    empty = BucketedTable.create(spark, stored_in, first.schema, ["c_custkey"], 16)
     loaded = upsert_bucketed(
         empty, "1", first.withColumn("delivery", F.lit(1)), ["batchid"], ["delivery"]
     )

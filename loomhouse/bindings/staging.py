@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomhouse.bindings.registry import query, row_count, stamp, table, text
 from loomhouse.functions import fixed_width as fw
@@ -17,7 +18,7 @@ from loomhouse.sources.files import (
     read_wire_lines,
     split_wire_lines,
 )
-from loomhouse.sources.xml import flatten_actions, read_actions
+from loomhouse.sources.xml import flatten_actions, read_actions, read_any_actions
 
 
 def write_delimited(df: DataFrame, name: str, sep: str = "|") -> str:
@@ -361,8 +362,8 @@ def q_fixed_width_financial(spark, sf):
 _ACTIONS = ["NEW", "ADDACCT", "UPDACCT", "UPDCUST", "CLOSEACCT", "INACT"]
 
 
-def action_log(spark, sf) -> DataFrame:
-    """Orders as customer actions, written as XML and read back.
+def nested_actions(spark, sf) -> DataFrame:
+    """Orders as customer actions with nested elements.
 
     The first order of a customer is a NEW action and carries all attributes;
     later orders carry some.
@@ -431,9 +432,25 @@ def action_log(spark, sf) -> DataFrame:
             ).alias("Account"),
         ).alias("Customer"),
     )
-    folder = fresh_folder(spark, "CustomerMgmt.xml")
+    return nested
+
+
+def action_files(nested: DataFrame) -> str:
+    folder = fresh_folder(nested.sparkSession, "CustomerMgmt.xml")
     nested.write.format("xml").option("rowTag", "Action").option("rootTag", "Actions").save(folder)
-    return flatten_actions(read_actions(spark, folder, "Action"))
+    return folder
+
+
+def action_log(spark, sf) -> DataFrame:
+    """The actions written as XML and read back."""
+    return flatten_actions(read_actions(spark, action_files(nested_actions(spark, sf)), "Action"))
+
+
+def without_nulls(value: Column, kind: T.DataType) -> Column:
+    """Nested text with blanks for nulls, so that every element is written."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[without_nulls(value[f.name], f.dataType).alias(f.name) for f in kind])
+    return F.coalesce(value, F.lit(""))
 
 
 # The same actions, with blanks as nulls.
@@ -476,10 +493,7 @@ ACTIONS_CTE = """
     FROM a)"""
 
 
-@query(
-    "xml_action_flatten",
-    f"WITH {ACTIONS_CTE}"
-    + """
+_FLAT_SQL = f"WITH {ACTIONS_CTE}" + """
     SELECT actiontype AS "ActionType", strftime(update_ts, '%Y-%m-%dT%H:%M:%S') AS "ActionTS",
            CAST(customerid AS VARCHAR) AS "C_ID", taxid AS "C_TAX_ID", lower(gender) AS "C_GNDR",
            CAST(tier AS VARCHAR) AS "C_TIER", CAST(dob AS VARCHAR) AS "C_DOB",
@@ -498,13 +512,43 @@ ACTIONS_CTE = """
            CAST(NULL AS VARCHAR) AS "C_EXT_2",
            CAST(accountid AS VARCHAR) AS "CA_ID", CAST(taxstatus AS VARCHAR) AS "CA_TAX_ST",
            CAST(brokerid AS VARCHAR) AS "CA_B_ID", accountdesc AS "CA_NAME"
-    FROM act""",
-)
+    FROM act"""
+
+
+@query("xml_action_flatten", _FLAT_SQL)
 def q_xml_action_flatten(spark, sf):
     flat = action_log(spark, sf)
     return flat.select(*[labels.blank_to_null(F.col(n)).alias(n) for n in flat.columns])
 
 
+@query(
+    "xml_found_columns",
+    _FLAT_SQL.replace(
+        "FROM act",
+        """, 'web' || o_orderkey % 3 AS "Channel", o_orderkey % 7 || '' AS "Level",
+           'P' || customerid AS "Partner", customerid || 'q' AS "Level_1" FROM act""",
+    ),
+)
+def q_xml_found_columns(spark, sf):
+    """The same actions with an attribute and elements nobody declared."""
+    nested = nested_actions(spark, sf)
+    full = nested.select(*[without_nulls(F.col(f.name), f.dataType).alias(f.name) for f in nested.schema])
+    order = F.col("Customer.ContactInfo.C_PHONE_1.C_LOCAL").cast("long")
+    customer = F.col("Customer._C_ID")
+    loyalty = F.struct(
+        (order % 7).cast("string").alias("Level"),
+        F.struct(F.concat(F.lit("P"), customer).alias("Partner"), F.concat(customer, F.lit("q")).alias("Level")).alias("More"),
+    )
+    more = full.withColumns(
+        {
+            "_Channel": F.concat(F.lit("web"), order % 3),
+            "Customer": F.col("Customer").withField("Loyalty", loyalty),
+        }
+    )
+    flat, _ = read_any_actions(spark, action_files(more), "Action")
+    return flat.select(*[labels.blank_to_null(F.col(n)).alias(n) for n in flat.columns])
+
+
 @query(
     "customer_stage",
     f"WITH {ACTIONS_CTE}"

@@ -56,16 +56,8 @@ def _file_parts() -> tuple[Column, Column, Column]:
     return schema, table, F.when(F.col("file").isNotNull(), F.concat_ws(".", schema, table))
 
 
-def vertices(documents: DataFrame, derived: DataFrame | None = None) -> DataFrame:
-    """``(label, key, name, type)``: every vertex the documents mention.
-
-    The first mention in document order sets name and type; a file source
-    makes its table a FILE whatever came first. Each mention becomes one small
-    row and the merge is a plain aggregate. ``derived`` are the derivation rows
-    of the documents, where they are stored already.
-    """
-    if derived is None:
-        derived = derivations(source_entries(documents))
+def vertex_mentions(documents: DataFrame, derived: DataFrame) -> DataFrame:
+    """``(label, key, name, type, forced, seq)``: one small row per mention."""
     none = F.lit(None)
     place = F.col("file_name")
     zero = F.lit(0)
@@ -100,9 +92,22 @@ def vertices(documents: DataFrame, derived: DataFrame | None = None) -> DataFram
         ).alias("v")
     )
     mentions = per_document.unionByName(per_target).unionByName(per_source).select("v.*")
+    return mentions.where(F.coalesce("key", F.lit("")) != "")
+
+
+def vertices(documents: DataFrame, derived: DataFrame | None = None) -> DataFrame:
+    """``(label, key, name, type)``: every vertex the documents mention.
+
+    The first mention in document order sets name and type; a file source
+    makes its table a FILE whatever came first. Each mention becomes one small
+    row and the merge is a plain aggregate. ``derived`` are the derivation rows
+    of the documents, where they are stored already.
+    """
+    if derived is None:
+        derived = derivations(source_entries(documents))
     forced = F.max(F.when(F.col("forced"), F.col("type")))
     return (
-        mentions.where(F.coalesce("key", F.lit("")) != "")
+        vertex_mentions(documents, derived)
         .groupBy("label", "key")
         .agg(
             F.min_by("name", "seq").alias("name"),

@@ -19,7 +19,7 @@ from loomhouse.sources.files import (
     read_wire_lines,
     split_wire_lines,
 )
-from loomhouse.sources.xml import flatten_actions, read_actions
+from loomhouse.sources.xml import column_names, flatten_actions, read_actions, read_any_actions
 
 ACTIONS = """<?xml version="1.0" encoding="UTF-8"?>
 <TPCDI:Actions xmlns:TPCDI="http://www.tpc.org/tpc-di">
@@ -62,6 +62,71 @@ def test_xml_actions_to_customer_stage(spark, tmp_path):
     assert inactive["customerid"] is None and inactive["status"] == "Inactive"
 
 
+ASIDES = """<Log xmlns:T="u">
+<!-- <T:Action A="0"><N>no</N></T:Action> -->
+<T:Action A="1"><Customer C_ID="7 > 6" T:EXTRA="x"><Name><L>one <![CDATA[</T:Action> <b>]]> end</L></Name></Customer></T:Action>
+<T:Action A='2' Odd="y/"><New><Deep><Deeper><L>two</L></Deeper></Deep></New><!-- </T:Action> --><L>three</L></T:Action>
+<T:Action A="3"/><T:Action A="4"><N/></T:Action>
+<T:Action A="5"><![CDATA[</T:Action></T:Action> <!-- </T:Action>]]><L>four</L></T:Action>
+<T:Action A="6"><L>five</T:Action>
+<T:Action A="7"><N>last</N></T:Action>
+</Log>"""
+
+
+def test_cdata_comments_and_unknown_columns(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(ASIDES)
+    flat, rejects = read_any_actions(spark, str(tmp_path), "T:Action")
+    assert flat.columns == ["A", "C_ID", "EXTRA", "L", "Odd", "L_1", "L_2", "N"]
+    got = {r["A"]: tuple(r)[1:] for r in flat.collect()}
+    none = (None,) * 7
+    assert got == {
+        "1": ("7 > 6", "x", "one </T:Action> <b> end", None, None, None, None),
+        "2": (None, None, None, "y/", "two", "three", None),
+        "3": none,
+        "4": none,
+        "5": (None, None, None, None, None, "four", None),
+        "7": (None, None, None, None, None, None, "last"),
+    }
+    (bad,) = rejects.collect()
+    assert "mismatched" in bad["reason"] and bad["record"].startswith('<T:Action A="6">')
+
+
+def test_a_section_left_open_rejects_the_rest_of_the_file(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<L><A n="1"/><A n="2"><x><![CDATA[</A> <A n="3"/></A>')
+    (tmp_path / "b.xml").write_text('<L><A n="4"><y>z</y></A></L>')
+    flat, rejects = read_any_actions(spark, str(tmp_path), "A")
+    assert sorted(r["n"] for r in flat.collect()) == ["1", "4"]
+    assert rejects.count() == 1
+
+
+def test_fixed_columns_survive_cdata(spark, tmp_path):
+    text = ACTIONS.replace("4779 Weller Way", "<![CDATA[4779 </TPCDI:Action> Way]]>")
+    (tmp_path / "CustomerMgmt.xml").write_text(text)
+    flat = flatten_actions(read_actions(spark, str(tmp_path)))
+    new, gone = flat.orderBy("ActionTS").collect()
+    assert new["C_ADLINE1"] == "4779 </TPCDI:Action> Way" and new["CA_NAME"] == "CJlmMUFy"
+    assert gone["ActionType"] == "INACT"
+
+
+def test_xml_splits_with_asides_in_many_blocks(spark, tmp_path):
+    one = '<A n="%d"><x><![CDATA[%s</A>]]></x></A>\n'
+    text = "<L>" + "".join(one % (k, "y" * (k % 700)) for k in range(600)) + "</L>"
+    (tmp_path / "c.xml").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        flat, rejects = read_any_actions(spark, str(tmp_path), "A")
+        rows = {int(r["n"]): r["x"] for r in flat.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert rows == {k: "y" * (k % 700) + "</A>" for k in range(600)} and rejects.isEmpty()
+
+
+def test_column_names_are_numbered():
+    assert column_names(["A.x", "B.x", "x", "A.y"]) == ["x", "x_1", "x_2", "y"]
+
+
 def test_one_xml_file_is_read_by_many_tasks(spark, tmp_path):
     head, body = ACTIONS.split("<TPCDI:Action ", 1)
     body = "<TPCDI:Action " + body.replace("</TPCDI:Actions>\n", "")
