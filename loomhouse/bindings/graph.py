@@ -23,7 +23,8 @@ from loomhouse.lineage.documents import (
 from loomhouse.lineage.increment import StoredGraph, merge_documents
 from loomhouse.lineage.identifiers import normalize_table, parse_column, rewrite_csv_call
 from loomhouse.lineage.retrieval import nearest, nearest_many, with_neighbours
-from loomhouse.session import fresh_folder
+from loomhouse.lineage.vector_index import build_index, recall
+from loomhouse.session import fresh_folder, materialize
 from loomhouse.sources.catalog import catalog_of
 from loomhouse.sources.files import read_whole_texts
 
@@ -875,9 +876,7 @@ def q_vector_topk(spark, sf):
     return with_neighbours(found, edges, "vec_id").withColumn("score", F.round("score", 6))
 
 
-@query(
-    "vector_topk_many",
-    """
+_TOPK_SQL = """
     WITH s AS (
         SELECT q.vec_id AS question, v.vec_id AS node,
                round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]),
@@ -885,10 +884,36 @@ def q_vector_topk(spark, sf):
         FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0)
     SELECT question, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, node) AS INT) AS rank,
            node, score
-    FROM s QUALIFY rank <= 10""",
-)
+    FROM s QUALIFY rank <= 10"""
+
+
+def vector_questions(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """All vectors, and as questions those whose id is divisible by 50."""
+    nodes = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return nodes, nodes.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "question")
+
+
+@query("vector_topk_many", _TOPK_SQL)
 def q_vector_topk_many(spark, sf):
     """The ten vectors nearest to each vector whose id is divisible by 50."""
-    nodes = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    questions = nodes.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "question")
+    nodes, questions = vector_questions(spark, sf)
     return nearest_many(nodes, questions, 10, "vec_id", "embedding")
+
+
+@query("vector_topk_index")
+def q_vector_topk_index(spark, sf):
+    """The same by the index, with the share of the exact rows it found."""
+    nodes, questions = vector_questions(spark, sf)
+    index = build_index(nodes, "vec_id", "embedding")
+    found = materialize(index.search(questions, 10, vector="embedding"), "found")
+    exact = nearest_many(nodes, questions, 10, "vec_id", "embedding")
+    return found.join(recall(found, exact), "question")
+
+
+@query("vector_topk_bounded", _TOPK_SQL)
+def q_vector_topk_bounded(spark, sf):
+    """All of them by the index, with the lists its bounds leave open."""
+    nodes, questions = vector_questions(spark, sf)
+    return build_index(nodes, "vec_id", "embedding").search(
+        questions, 10, exact=True, vector="embedding"
+    )

@@ -63,14 +63,23 @@ def nearest_many(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(few - 1).cast("long"))).alias("a"),
         F.pmod(F.xxhash64(question), F.lit(many)).alias("b"),
     )
+    return ranked_best(node_rows, question_rows, ["a", "b"], k)
+
+
+def unit(rows: pd.Series) -> np.ndarray:
+    """Vectors of length one, as rows; a vector of zeros stays."""
+    m = np.stack(rows.to_list()).astype(float)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(norm == 0, 1.0, norm)
+
+
+def ranked_best(
+    node_rows: DataFrame, question_rows: DataFrame, block: list[str], k: int
+) -> DataFrame:
+    """``(question, rank, node, score)``: the best ``k`` of the pairs that meet in a block."""
     kinds = {r.name: r.dataType.simpleString() for s in (node_rows, question_rows) for r in s.schema}
     schema = f"question {kinds['question']}, node {kinds['node']}, score double"
 
-    def unit(rows: pd.Series) -> np.ndarray:
-        m = np.stack(rows.to_list()).astype(float)
-        norm = np.linalg.norm(m, axis=1, keepdims=True)
-        return m / np.where(norm == 0, 1.0, norm)
-
     def best(here: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(here) and len(asked):
@@ -86,7 +95,7 @@ def nearest_many(
         return pd.concat(found)
 
     per_block = (
-        node_rows.groupBy("a", "b").cogroup(question_rows.groupBy("a", "b"))
+        node_rows.groupBy(*block).cogroup(question_rows.groupBy(*block))
         .applyInPandas(best, schema)
     )
     order = Window.partitionBy("question").orderBy(F.desc("score"), "node")
