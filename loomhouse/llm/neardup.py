@@ -358,7 +358,8 @@ def near_duplicates(
     groups = components(_similar(classes)).join(classes.select("id", "n", "h1", "h2", "least"), "id")
     groups = materialize(groups, "minmax-groups")
     weights = groups.groupBy("label").agg(F.sum("n").alias("weight"))
-    texts = rows.withColumnRenamed("id", "least")
+    # a shuffle at every size: groups grow with the documents
+    texts = rows.withColumnRenamed("id", "least").hint("merge")
     links = (
         meet(groups, "label", _chunks(weights, "label", GROUP_SHINGLES))
         .join(texts, "least")
