@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from loomhouse.operators.keys import (
     date_key,
     next_dense_start,
 )
+from loomhouse.operators.audited import Checks, write_audited
 from loomhouse.operators.bucketed import BucketedTable, upsert_bucketed
 from loomhouse.operators.sinks import conform, save, upsert
 from loomhouse.schemas import struct
@@ -435,3 +438,44 @@ def q_table_append(spark, sf):
     save(batch(orders.where("o_orderstatus <> 'P'"), 1), folder, "overwrite")
     save(batch(orders.where("o_orderstatus = 'P'"), 2), folder)
     return spark.read.schema(target).parquet(folder)
+
+
+_AUDITED = {
+    "orders": (("o_orderkey",), "o_totalprice"),
+    "customer": (("c_custkey",), "c_acctbal"),
+    "lineitem": (("l_orderkey", "l_linenumber"), "l_extendedprice"),
+}
+
+
+@query(
+    "load_audit",
+    " UNION ALL ".join(
+        f"""
+    SELECT '{name}' AS table_name, (SELECT count(*) FROM {name})::BIGINT AS "rows",
+           (SELECT count(*) FROM {name} WHERE {value} IS NULL)::BIGINT AS nulls,
+           (SELECT count(*) FROM {name} WHERE NOT coalesce({value} > 0, false))::BIGINT AS not_positive,
+           (SELECT max(n) FROM (SELECT count(*) AS n FROM {name} GROUP BY {", ".join(keys)}))::BIGINT AS most_copies,
+           true AS near, (SELECT count(*) FROM {name})::BIGINT AS published"""
+        for name, (keys, value) in _AUDITED.items()
+    ),
+)
+def q_load_audit(spark, sf):
+    """Tables audited while they are written; what was published is counted."""
+    folder = fresh_folder(spark, "audited")
+    found = []
+    for name, (keys, value) in _AUDITED.items():
+        checks = Checks(not_null=keys, unique=keys, least_rows=1)
+        rows = table(spark, sf, name).withColumn("positive", F.col(value) > 0)
+        seen = write_audited(rows.withColumn("positive", F.nullif("positive", F.lit(False))), folder, name, checks)
+        near = abs(seen["distinct"] - seen["rows"]) <= 0.2 * seen["rows"]
+        published = spark.read.parquet(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("published"))
+        found.append(
+            published.select(
+                F.lit(name).alias("table_name"), F.lit(seen["rows"]).cast("long").alias("rows"),
+                F.lit(seen[f"null_{value}"]).cast("long").alias("nulls"),
+                F.lit(seen["null_positive"]).cast("long").alias("not_positive"),
+                F.lit(seen["most_copies"]).cast("long").alias("most_copies"),
+                F.lit(near).alias("near"), "published",
+            )
+        )
+    return reduce(DataFrame.unionByName, found)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomhouse.bindings.registry import query, table
 from loomhouse.lineage.closure import load_levels
+from loomhouse.lineage.cycles import load_order
 from loomhouse.lineage.documents import resolve_scripts, script_pipelines
 from loomhouse.lineage.graph import attach_texts, dependency_edges, text_counts
 from loomhouse.lineage.reviews import (
@@ -161,6 +165,57 @@ def q_load_order_levels(spark, sf):
     return load_levels(needs, names, "pipeline").withColumnRenamed("node", "pipeline")
 
 
+_RING_SQL = """
+    needs AS (
+        SELECT 'o' || o_orderkey AS src, 'c' || o_custkey AS dst FROM orders
+        UNION SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
+        UNION SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation
+        UNION SELECT 'n' || n_nationkey, 'n' || (n_nationkey + 5) % 25 FROM nation WHERE n_nationkey % 5 = 1
+        UNION SELECT 'r' || r_regionkey, 'r' || (r_regionkey + 1) % 3 FROM region WHERE r_regionkey < 3
+        UNION SELECT 'r' || r_regionkey, 'r' || r_regionkey FROM region WHERE r_regionkey = 3),
+    reach AS (SELECT src, dst FROM needs UNION SELECT r.src, n.dst FROM reach r JOIN needs n ON n.src = r.dst),
+    on_ AS (SELECT a.src AS node, min(a.dst) AS cycle FROM reach a
+            JOIN reach b ON b.src = a.dst AND b.dst = a.src GROUP BY a.src),
+    stuck AS (SELECT DISTINCT src FROM reach WHERE dst IN (SELECT node FROM on_)
+              UNION SELECT node FROM on_)"""
+
+
+@query(
+    "load_order_cycles",
+    f"""
+    WITH RECURSIVE {_RING_SQL},
+    p AS (SELECT 'o' || o_orderkey AS pipeline, 3 AS depth FROM orders
+          UNION ALL SELECT 'c' || c_custkey, 2 FROM customer
+          UNION ALL SELECT 'n' || n_nationkey, 1 FROM nation
+          UNION ALL SELECT 'r' || r_regionkey, 0 FROM region)
+    SELECT pipeline, CASE WHEN s.src IS NULL THEN depth END AS level, cycle,
+           s.src IS NOT NULL AND cycle IS NULL AS behind
+    FROM p LEFT JOIN on_ ON node = pipeline LEFT JOIN stuck s ON s.src = pipeline""",
+)
+def q_load_order_cycles(spark, sf):
+    """Orders need customers, these nations, these regions; some of these need each other."""
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+
+    def pair(df, a, src, b, dst):
+        return df.select(
+            F.concat(F.lit(a), src).alias("src"), F.concat(F.lit(b), dst).alias("dst")
+        )
+
+    needs = [
+        pair(orders, "o", F.col("o_orderkey"), "c", F.col("o_custkey")),
+        pair(customer, "c", F.col("c_custkey"), "n", F.col("c_nationkey")),
+        pair(nation, "n", F.col("n_nationkey"), "r", F.col("n_regionkey")),
+        pair(nation.where("n_nationkey % 5 = 1"), "n", F.col("n_nationkey"), "n", (F.col("n_nationkey") + 5) % 25),
+        pair(region.where("r_regionkey < 3"), "r", F.col("r_regionkey"), "r", (F.col("r_regionkey") + 1) % 3),
+        pair(region.where("r_regionkey = 3"), "r", F.col("r_regionkey"), "r", F.col("r_regionkey")),
+    ]
+    edges = reduce(DataFrame.unionByName, needs)
+    return load_order(edges, pipeline_names(spark, sf), "pipeline").withColumnRenamed(
+        "node", "pipeline"
+    )
+
+
 def script_files(spark, sf):
     """Customer scripts of the positive balances, one file per script row."""
     return table(spark, sf, "customer").where("c_acctbal >= 0").select(

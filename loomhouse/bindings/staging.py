@@ -16,6 +16,7 @@ from loomhouse.sources.files import (
     read_batch_dates,
     read_delimited,
     read_wire_lines,
+    read_with_rejects,
     split_wire_lines,
 )
 from loomhouse.sources.xml import flatten_actions, read_actions, read_any_actions
@@ -117,6 +118,28 @@ def q_prospect_stage(spark, sf):
 )
 def q_trade_stage(spark, sf):
     """Orders as ``Trade.txt``; a quantity that is no number reads as null."""
+    trades = read_delimited(spark, trade_files(spark, sf), TRADE_FILE)
+    return trades.withColumn("t_dts", stamp("t_dts"))
+
+
+@query(
+    "trade_stage_rejects",
+    """
+    SELECT o_orderkey AS tradeid, 'quantity: n/a' AS reason, true AS is_line FROM orders
+    WHERE o_orderstatus = 'P'""",
+)
+def q_trade_stage_rejects(spark, sf):
+    """The same lines; those that do not fit, with their place in their file."""
+    path = trade_files(spark, sf)
+    _, rejects = read_with_rejects(spark, path, TRADE_FILE)
+    return rejects.select(
+        F.split("record", r"\|")[0].cast("long").alias("tradeid"),
+        "reason",
+        ((F.col("line") > 0) & F.col("file").contains("part-")).alias("is_line"),
+    )
+
+
+def trade_files(spark, sf) -> str:
     bad = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(
         (F.col("o_custkey") % 1000).cast("string")
     )
@@ -126,8 +149,7 @@ def q_trade_stage(spark, sf):
         "o_totalprice", F.lit(0.5), F.lit(0.25), F.lit(0.0),
     )
     positional = rows.toDF(*[f"c{i}" for i in range(14)])
-    trades = read_delimited(spark, write_delimited(positional, "Trade.txt"), TRADE_FILE)
-    return trades.withColumn("t_dts", stamp("t_dts"))
+    return write_delimited(positional, "Trade.txt")
 
 
 def wire_lines(spark, sf) -> DataFrame:

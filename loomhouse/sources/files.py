@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomhouse.session import materialize
+
 # Fixed value: names of the quarterly wire files (audit files do not match).
 FINWIRE_NAME = r"^FINWIRE\d{4}Q\d$"
 
@@ -20,6 +24,57 @@ def read_delimited(
     return spark.read.csv(path, schema=schema, sep=sep, header=False, mode="PERMISSIVE")
 
 
+def read_with_rejects(
+    spark: SparkSession, path: str, schema: str | T.StructType, sep: str = "|"
+) -> tuple[DataFrame, DataFrame]:
+    """The typed rows of header-less files, and what of them did not fit.
+
+    The lines are read and parsed once and stored. A line with a field that does
+    not parse or with too few or too many fields is in both: as a row with nulls,
+    as ``read_delimited`` gives it, and as a reject ``(file, line, reason,
+    record)``. ``line`` counts from 1, blank lines included; blank lines are no
+    rows and no rejects.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    whole = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    stored = materialize(
+        spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
+            F.when(F.trim("value") != "", F.from_csv("value", whole.toDDL(), options)).alias("row"),
+        ),
+        "lines",
+    )
+    rows = stored.where("row is not null").select(*[F.col("row")[n].alias(n) for n in schema.names])
+    blocks = stored.groupBy("file", "block").agg(F.min("at").alias("least"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = blocks.select(
+        "file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("least") + 1).alias("shift")
+    )
+    record = F.col("row._corrupt")
+    fields = F.split(record, re.escape(sep))
+    wrong = [
+        F.when(
+            F.col("row")[n].isNull() & (F.trim(F.get(fields, F.lit(i))) != ""),
+            F.concat(F.lit(f"{n}: "), F.get(fields, F.lit(i))),
+        )
+        for i, n in enumerate(schema.names)
+    ]
+    expected = len(schema)
+    reason = F.when(
+        F.size(fields) != expected, F.concat(F.size(fields), F.lit(f" fields instead of {expected}"))
+    ).otherwise(F.concat_ws(", ", *wrong))
+    rejects = (
+        stored.where(record.isNotNull())
+        .join(shifts, ["file", "block"])
+        .select("file", (F.col("at") + F.col("shift")).alias("line"), reason.alias("reason"), record.alias("record"))
+    )
+    return rows, rejects
+
+
 def file_stem() -> Column:
     """File name of the scanned row without its extension."""
     return F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")

@@ -53,9 +53,16 @@ class Store:
             out.write(bytearray(text.encode()))
         finally:
             out.close()
+        self._rename(draft, name)
+
+    def move(self, source: str, name: str) -> None:
+        """Renames a file or folder to ``name``, which must not exist yet."""
+        self._rename(self._at(source), name)
+
+    def _rename(self, source, name: str) -> None:
         options = self._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
-            self._context.rename(draft, self._at(name), options)
+            self._context.rename(source, self._at(name), options)
         except Exception as e:
             if self._files.exists(self._at(name)):
                 raise AlreadyThere(f"{name} was published by another writer") from e
