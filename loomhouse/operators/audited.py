@@ -24,11 +24,13 @@ class AuditFailed(RuntimeError):
 class Checks:
     """``not_null`` columns, ``unique`` keys, and named ``rules``, SQL that holds for every row.
 
-    ``least_rows`` guards against an input that came empty.
+    At most ``copies`` rows may share the ``unique`` keys; ``least_rows`` guards
+    against an input that came empty.
     """
 
     not_null: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
+    copies: int = 1
     rules: tuple[tuple[str, str], ...] = ()
     least_rows: int = 0
 
@@ -62,7 +64,7 @@ def write_audited(df: DataFrame, folder: str, name: str, checks: Checks) -> dict
     found = dict(observed.get)
     wrong = [f"{found[f'null_{c}']} nulls in {c}" for c in checks.not_null if found[f"null_{c}"]]
     wrong += [f"{found[f'broken_{n}']} rows break {n}" for n, _ in checks.rules if found[f"broken_{n}"]]
-    if checks.unique and found["most_copies"] > 1:
+    if checks.unique and found["most_copies"] > checks.copies:
         wrong.append(f"{found['most_copies']} rows of one key ({', '.join(checks.unique)})")
     if found["rows"] < checks.least_rows:
         wrong.append(f"{found['rows']} rows instead of {checks.least_rows} or more")
