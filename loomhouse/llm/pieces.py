@@ -487,7 +487,7 @@ def decode_pieces(encoded: DataFrame, model_path: str, keep: tuple[str, ...] = (
                     [*columns, pa.array(texts, pa.string())], names=[*kept, "text"]
                 )
 
-    rows = encoded.select(*kept, "ids")
+    rows = encoded.select(*dict.fromkeys([*kept, "ids"]))
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept)
     return rows.mapInArrow(run, f"{schema}, text string")
