@@ -11,6 +11,7 @@ from loomhouse.bindings.scripts import padded
 from loomhouse.lineage import graph as lg
 from loomhouse.lineage.audit import class_counts, edge_directions, run_difference, script_extract
 from loomhouse.lineage.closure import derivation_paths, reachable, relational_edges
+from loomhouse.lineage.cycles import reachable_in_order
 from loomhouse.lineage.documents import (
     attach_scripts,
     derivations,
@@ -750,22 +751,32 @@ def q_upstream_paths(spark, sf):
     return paths.withColumn("path", F.array_join("path", ">"))
 
 
-@query(
-    "lineage_downstream_impact",
-    f"""
+_IMPACT_SQL = f"""
     WITH RECURSIVE {_WALK_SQL},
     p AS (SELECT dst AS start, src AS node, 1 AS depth FROM ed WHERE starts_with(dst, 'r')
           UNION ALL
           SELECT p.start, ed.src, p.depth + 1 FROM p JOIN ed ON ed.dst = p.node)
-    SELECT * FROM p""",
-)
-def q_downstream_impact(spark, sf):
-    """Everything that goes unfilled when a region is missing."""
+    SELECT * FROM p"""
+
+
+def impact_walk(spark, sf) -> tuple[DataFrame, DataFrame]:
     flipped = walk_edges(spark, sf).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     regions = table(spark, sf, "region").select(
         F.concat(F.lit("r"), "r_regionkey").alias("node")
     )
-    return reachable(flipped, regions)
+    return flipped, regions
+
+
+@query("lineage_downstream_impact", _IMPACT_SQL)
+def q_downstream_impact(spark, sf):
+    """Everything that goes unfilled when a region is missing."""
+    return reachable(*impact_walk(spark, sf))
+
+
+@query("lineage_impact_in_order", _IMPACT_SQL)
+def q_impact_in_order(spark, sf):
+    """The same, level by level of the graph."""
+    return reachable_in_order(*impact_walk(spark, sf))
 
 
 @query(

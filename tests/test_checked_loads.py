@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomhouse.lineage.cycles import cycle_members, load_order
+from loomhouse.lineage.closure import reachable
+from loomhouse.lineage.cycles import cycle_members, load_order, reachable_in_order
 from loomhouse.operators import skew
 from loomhouse.operators.audited import AuditFailed, Checks, write_audited
 from loomhouse.sources.files import read_delimited, read_with_rejects
@@ -145,3 +146,16 @@ def test_no_edges_and_no_cycles(spark):
     assert cycle_members(none).count() == 0
     chain = spark.createDataFrame([(f"{k}", f"{k + 1}") for k in range(9)], "src string, dst string")
     assert cycle_members(chain).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_walks_in_level_order_reach_what_plain_walks_reach(spark, seed):
+    rng = random.Random(seed)
+    names = [f"n{k}" for k in range(18)]
+    arcs = [(rng.choice(names), rng.choice(names)) for _ in range(26)]
+    arcs += [(f"t{k}", f"t{k + 1}") for k in range(6)] + [("t0", "t4"), ("t6", names[0]), (names[3], "t2")]
+    edges = spark.createDataFrame(arcs, "src string, dst string")
+    starts = spark.createDataFrame([("t0",), (names[0],), (names[1],), ("nowhere",), ("t0",)], "node string")
+    got = sorted((r["start"], r["node"], r["depth"]) for r in reachable_in_order(edges, starts).collect())
+    assert got == sorted((r["start"], r["node"], r["depth"]) for r in reachable(edges, starts).collect())
+    assert reachable_in_order(edges, starts.where("node = 'nowhere'")).count() == 0
