@@ -40,7 +40,7 @@ from loomhouse.llm.common import (
 )
 from loomhouse.llm.components import components
 from loomhouse.operators.skew import ROWS_PER_TASK, salted_join
-from loomhouse.session import materialize
+from loomhouse.session import fresh_folder, materialize
 
 SHINGLE = 4
 BANDS, ROWS = 64, 7
@@ -49,6 +49,8 @@ SKETCH, SKETCH_LEAST = 128, 76
 # Sketches and shingles that meet in one task at most, for groups in chunks.
 BUCKET_ROWS = 20_000
 GROUP_SHINGLES = 2_000_000
+# Bytes of text signed at once, and of a row group when rows are numbered.
+BATCH_BYTES, ROW_GROUP_BYTES = 1_000_000, 8 << 20
 
 _SIGNATURE = "id long, n long, h1 long, h2 long, bands array<long>, sketch binary"
 _NAMES = ["id", "n", "h1", "h2", "bands", "sketch"]
@@ -94,7 +96,7 @@ def min_max(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _signatures(batches, size: int):
     known = WordHash()
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "text", BATCH_BYTES):
         flat, sizes = shingles(as_bytes(batch["text"]), known, size)
         full = sizes > 0
         starts = (np.cumsum(sizes) - sizes)[full]
@@ -423,7 +425,11 @@ def drop_near_copies(
     row = "row_number"
     while row in docs.columns:
         row += "_"
-    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
+    spark, folder = docs.sparkSession, fresh_folder(docs.sparkSession, "near-rows")
+    # whole texts are written: small row groups keep the writers small
+    counted = docs.withColumn(row, F.monotonically_increasing_id())
+    counted.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
+    numbered = spark.read.schema(counted.schema).parquet(folder)
     ids = picked(numbered, id=row, given=id_col)
     found = near_duplicates(numbered, row, text_col, shingle).select("id", "component")
     named = materialize(found.join(ids, "id"), "near-named")
