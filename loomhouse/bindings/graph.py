@@ -22,7 +22,12 @@ from loomhouse.lineage.documents import (
     source_entries,
 )
 from loomhouse.lineage.increment import StoredGraph, merge_documents
-from loomhouse.lineage.identifiers import normalize_table, parse_column, rewrite_csv_call
+from loomhouse.lineage.identifiers import (
+    normalize_table,
+    parse_column,
+    parse_quoted,
+    rewrite_csv_call,
+)
 from loomhouse.lineage.retrieval import nearest, nearest_many, with_neighbours
 from loomhouse.lineage.vector_index import build_index, recall
 from loomhouse.session import fresh_folder, materialize
@@ -351,6 +356,37 @@ def q_identifier_parse(spark, sf):
     )
 
 
+@query(
+    "lineage_identifier_quoted",
+    """
+    WITH i AS (SELECT o_orderkey, o_orderkey % 6 AS f, o_custkey AS k FROM orders)
+    SELECT o_orderkey,
+           CASE f WHEN 0 THEN 'my.schema' || k WHEN 1 THEN 'main' WHEN 2 THEN 'db.s' || k
+                  WHEN 3 THEN 'a"b' WHEN 4 THEN 's' END AS schema_name,
+           CASE f WHEN 0 THEN 't' WHEN 1 THEN 'my.t' || k WHEN 2 THEN 't' WHEN 3 THEN 'x.y'
+                  WHEN 4 THEN 't' END AS table_name,
+           CASE f WHEN 0 THEN 'c' WHEN 1 THEN 'c' WHEN 2 THEN 'c' WHEN 3 THEN 'd' || k
+                  WHEN 4 THEN 'c' || k END AS column_name
+    FROM i""",
+)
+def q_identifier_quoted(spark, sf):
+    """Quoted parts with dots and doubled quotes, four parts, an open quote."""
+    k, form = F.col("o_custkey"), F.col("o_orderkey") % 6
+    identifier = (
+        F.when(form == 0, F.concat(F.lit('"my.schema'), k, F.lit('".t.c')))
+        .when(form == 1, F.concat(F.lit('"my.t'), k, F.lit('"."c"')))
+        .when(form == 2, F.concat(F.lit("db.s"), k, F.lit(".t.c")))
+        .when(form == 3, F.concat(F.lit('"a""b"."x.y"."d'), k, F.lit('"')))
+        .when(form == 4, F.concat(F.lit("s.t.c"), k))
+        .otherwise(F.concat(F.lit('"open'), k, F.lit(".t.c")))
+    )
+    parsed = parse_quoted(identifier, F.lit(None).cast("struct<schema: string, table: string>"))
+    return table(spark, sf, "orders").select(
+        "o_orderkey", parsed["schema"].alias("schema_name"), parsed["table"].alias("table_name"),
+        parsed["column"].alias("column_name"),
+    )
+
+
 @query(
     "lineage_table_normalize",
     """

@@ -276,7 +276,14 @@ def q_code_mapping(spark, sf):
 _EVENT_STATUS = {
     "purchase": "SBMT", "view": "PNDG", "click": "CMPT", "error": "CNCL", "signup": "ACTV",
 }
-_OPENS = "(s = 'SBMT' AND t IN ('TMB', 'TMS') OR s = 'PNDG')"
+
+
+def opens_sql(status: str, kind: str) -> str:
+    """Whether a history row opens a trade: pending, or a submitted market order."""
+    return f"({status} = 'PNDG' OR {status} || coalesce({kind}, '') IN ('SBMTTMB', 'SBMTTMS'))"
+
+
+_OPENS = opens_sql("s", "t")
 
 
 @query(

@@ -109,3 +109,48 @@ def parse_column(identifier: Column, file: Column) -> Column:
             triple(_join_parts(inner, 1, 2), F.get(inner, F.size(inner) - 2), F.lit("file_content")),
         )
     )
+
+
+def identifier_parts(identifier: Column) -> Column:
+    """The parts of a dotted name; null where a quote is left open or a part is missing.
+
+    Dots inside double quotes belong to their part, doubled quotes are one.
+    """
+    part = r'"(?:[^"]++|"")*+"|[^".]++'
+    found = F.regexp_extract_all(identifier, F.lit(part), F.lit(0))
+
+    def bare(p: Column) -> Column:
+        inner = F.substr(p, F.lit(2), F.length(p) - 2)
+        return F.when(p.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(p)
+
+    whole = identifier.rlike(rf"^(?:{part})(?:\.(?:{part}))*+$")
+    return F.when(whole, F.transform(found, bare))
+
+
+def parse_quoted(identifier: Column, file: Column) -> Column:
+    """``parse_column`` for names with quoted parts or with a database in front, too.
+
+    Database and schema of four parts are joined by a dot. A name with an open
+    quote has no recognised form. A data file in quotes and all other forms are
+    read as before.
+    """
+    parts = identifier_parts(identifier)
+    count = F.size(parts)
+
+    def piece(i: int) -> Column:
+        return F.get(parts, F.lit(i))
+
+    schema = (
+        F.when(count == 2, F.lit(DEFAULT_SCHEMA))
+        .when(count == 3, piece(0))
+        .otherwise(F.concat_ws(".", piece(0), piece(1)))
+    )
+    table, column = F.element_at(parts, -2), F.element_at(parts, -1)
+    named = F.struct(schema.alias("schema"), table.alias("table"), column.alias("column"))
+    quoted = F.contains(identifier, F.lit('"')) & count.isin(2, 3, 4)
+    open_ = F.contains(identifier, F.lit('"')) & parts.isNull()
+    return (
+        F.when(open_, F.lit(None))
+        .when(quoted | (count == 4), named)
+        .otherwise(parse_column(identifier, file))
+    )

@@ -147,3 +147,21 @@ def test_either_key_has_no_cartesian_plan(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert sorted(r["id"] for r in out.collect()) == [1, 2]
+
+
+def test_dense_ids_split_an_order_key_that_most_rows_share(spark, monkeypatch):
+    from loomhouse.operators import keys
+
+    stored = {}
+    write = keys.materialize
+    monkeypatch.setattr(keys, "materialize", lambda df, name: stored.setdefault(name, write(df, name)))
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 10 < 6, 7).otherwise(F.col("id") % 1000).alias("k"),
+        F.when(F.col("id") % 10 < 3, F.lit(0)).otherwise(F.col("id")).alias("v"),
+    )
+    numbered = keys.assign_dense_ids(df, ["k"], "sk", partitions=8)
+    sizes = [r["count"] for r in stored["dense-ids"].groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 2 * 20_000 / 8 and sum(sizes) == 20_000
+    rows = numbered.orderBy("sk").collect()
+    assert [r["sk"] for r in rows] == list(range(1, 20_001))
+    assert [r["k"] for r in rows] == sorted(r["k"] for r in rows)

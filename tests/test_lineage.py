@@ -33,6 +33,7 @@ from loomhouse.lineage.identifiers import (
     file_table,
     normalize_table,
     parse_column,
+    parse_quoted,
     rewrite_csv_call,
 )
 from loomhouse.lineage import retrieval
@@ -414,3 +415,28 @@ def test_properties_of_vertices(spark):
         ("Script", "s.sql", "s.sql", "SQL", None, None, "x/s.sql", "SELECT 1"),
     }
     assert lg.vertex_properties(vertex_rows.limit(0), columns.limit(0), texts).isEmpty()
+
+
+def test_quoted_and_four_part_names(spark):
+    cases = {
+        '"my.schema".t.c': ("my.schema", "t", "c"),
+        "db.s.t.c": ("db.s", "t", "c"),
+        '"a""b"."c.d"': ("main", 'a"b', "c.d"),
+        '"d"."s.x"."t"."c"': ("d.s.x", "t", "c"),
+        "s.t.c": ("s", "t", "c"),
+        "t.c": ("main", "t", "c"),
+        "file.c": ("dir", "f.csv", "c"),
+        '"a.b.f.csv"': ("a.b", "f", "file_content"),
+        '"open.t.c': None,
+        'a."b': None,
+        '"x"y.t.c': None,
+        "a..c.d": None,
+        "a.b.c.d.e": None,
+        "constant": None,
+        "": None,
+        None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "i string")
+    file = F.struct(F.lit("dir").alias("schema"), F.lit("f.csv").alias("table"))
+    got = {r["i"]: r["p"] and tuple(r["p"]) for r in df.select("i", parse_quoted(F.col("i"), file).alias("p")).collect()}
+    assert got == cases
