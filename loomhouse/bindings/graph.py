@@ -31,7 +31,7 @@ from loomhouse.lineage.identifiers import (
 from loomhouse.lineage.retrieval import nearest, nearest_many, with_neighbours
 from loomhouse.lineage.vector_index import build_index, recall
 from loomhouse.session import fresh_folder, materialize
-from loomhouse.sources.catalog import catalog_of
+from loomhouse.sources.catalog import catalog_of, register_files, session_catalog
 from loomhouse.sources.files import read_whole_texts
 
 
@@ -874,12 +874,13 @@ def q_relational_paths(spark, sf):
                 WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
                 ELSE data_type END AS type,
            CASE WHEN column_name = 'o_orderkey' THEN 'Primary Key: true' END AS description,
-           CAST(NULL AS VARCHAR) AS comment
+           CASE WHEN table_name IN ('customer', 'orders')
+                THEN column_name || ' of one ' || table_name END AS comment
     FROM information_schema.columns
     WHERE table_name IN ('customer', 'orders', 'lineitem', 'events')""",
 )
 def q_catalog_enrich(spark, sf):
-    """One document per order names the tables; the catalog covers all tables."""
+    """One document per order names the tables; the session's catalog covers all tables."""
     picked = F.when(F.col("o_orderstatus") == "F", "tpch.orders").otherwise("tpch.customer")
     doc = F.to_json(
         F.struct(
@@ -895,12 +896,16 @@ def q_catalog_enrich(spark, sf):
         F.concat(padded("o_orderkey"), F.lit(".json")).alias("name"), doc.alias("content")
     )
     parsed, _ = parse_documents(texts)
-    catalog = catalog_of(
-        spark,
-        {f"tpch.{t}": table(spark, sf, t) for t in TABLES},
-        {"tpch.orders": ["o_orderkey"]},
-    )
-    return lg.enrich_columns(parsed, catalog)
+    folder = fresh_folder(spark, "catalog")
+    database = f"tpch_{folder[-32:]}"
+    said = {
+        t: {c: f"{c} of one {t}" for c in table(spark, sf, t).columns} for t in ("customer", "orders")
+    }
+    register_files(spark, database, folder, {t: f"{sf}/{t}.parquet" for t in TABLES}, said)
+    known = {
+        f"tpch.{name.split('.')[1]}": df for name, df in session_catalog(spark, database).items()
+    }
+    return lg.enrich_columns(parsed, catalog_of(spark, known, {"tpch.orders": ["o_orderkey"]}))
 
 
 @query(

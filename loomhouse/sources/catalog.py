@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CATALOG_SCHEMA = (
     "table_full_name string, column string, position int, type string, "
@@ -41,3 +42,35 @@ def session_catalog(spark: SparkSession, database: str) -> dict[str, DataFrame]:
         for t in spark.catalog.listTables(database)
         if not t.isTemporary
     }
+
+
+def with_comments(schema: T.StructType, comments: dict[str, str]) -> T.StructType:
+    """The schema with column comments as the catalog keeps them."""
+    return T.StructType(
+        [
+            T.StructField(
+                f.name,
+                f.dataType,
+                f.nullable,
+                f.metadata | ({"comment": comments[f.name]} if f.name in comments else {}),
+            )
+            for f in schema
+        ]
+    )
+
+
+def register_files(
+    spark: SparkSession,
+    database: str,
+    folder: str,
+    files: dict[str, str],
+    comments: dict[str, dict[str, str]],
+) -> None:
+    """A database in ``folder`` whose tables are parquet files that stay where they are.
+
+    Column comments go into the catalog with the schema; no data are copied.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{folder}'")
+    for name, path in files.items():
+        schema = with_comments(spark.read.parquet(path).schema, comments.get(name, {}))
+        spark.catalog.createTable(f"`{database}`.`{name}`", path=path, source="parquet", schema=schema)

@@ -11,7 +11,7 @@ from loomhouse.functions import fixed_width as fw
 from loomhouse.functions import labels
 from loomhouse.plans.warehouse import stage_customers
 from loomhouse.schemas import TRADE_FILE, WAREHOUSE
-from loomhouse.sources.catalog import catalog_of, session_catalog
+from loomhouse.sources.catalog import catalog_of, register_files, session_catalog
 from loomhouse.sources.files import (
     read_batch_dates,
     read_delimited,
@@ -253,3 +253,17 @@ def test_phone_rating_and_tags(spark):
         labels.tag_list({"A": F.lit(False)}).alias("n"),
     ).first()
     assert tuple(row) == ("5", None, False, True, None, "B+C", None)
+
+
+def test_comments_go_through_the_catalog(spark, tmp_path):
+    spark.range(3).selectExpr("id", "'x' AS s").write.parquet(str(tmp_path / "t"))
+    register_files(
+        spark, "noted", str(tmp_path / "db"), {"t": str(tmp_path / "t")}, {"t": {"s": "it's a text"}}
+    )
+    try:
+        found = session_catalog(spark, "noted")
+        assert found["noted.t"].count() == 3
+        rows = {r["column"]: r["comment"] for r in catalog_of(spark, found).collect()}
+        assert rows == {"id": None, "s": "it's a text"}
+    finally:
+        spark.sql("DROP DATABASE noted CASCADE")
