@@ -12,7 +12,8 @@ From bands to components, without ever listing the pairs of a group:
 2. Members of a band bucket are compared by a sketch (low bytes of 128
    signature values). A bucket gives a spanning forest of the pairs whose
    sketches agree in 76 places or more (six deviations below 0.8), so at most
-   one link per member. This drops documents that share only a passage.
+   one link per member. This drops documents that share only a passage. The
+   links of all buckets are drawn in to one or a few per member.
 3. Connected sketches make a candidate group. Inside it the full shingle sets
    are compared: a visited document is compared with all documents that no
    visited one has reached yet, and a spanning forest of the confirmed links
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomhouse.llm.common import (
@@ -177,22 +178,23 @@ def meet(df: DataFrame, group: str, chunks: DataFrame) -> DataFrame:
 
 
 def _agreeing(ids: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning forest of the sketches that agree in enough places."""
+    """Links that connect the sketches that agree in enough places, from the first of each component."""
     links, rest, queue = [], np.arange(len(ids)), []
     while len(rest):
         if not queue:
-            queue, rest = [rest[0]], rest[1:]
+            root, rest = rest[0], rest[1:]
+            queue = [root]
             continue
         x = queue.pop()
         near = (sketches[rest] == sketches[x]).sum(1) >= SKETCH_LEAST
-        links += [(ids[x], ids[y]) for y in rest[near]]
+        links += [(ids[root], ids[y]) for y in rest[near]]
         queue += rest[near].tolist()
         rest = rest[~near]
     return links
 
 
 def _bucket_links(batches):
-    """Links inside the buckets of a partition that is sorted by bucket."""
+    """Links inside the buckets of a partition that is sorted by bucket and id; ``a < b``."""
     held: list[pa.RecordBatch] = []
 
     def links(table: pa.Table) -> pa.RecordBatch:
@@ -204,9 +206,11 @@ def _bucket_links(batches):
         first = np.repeat(starts, sizes)
         near = (sketches == sketches[first]).sum(1) >= SKETCH_LEAST
         near[starts] = False
-        a, b = [ids[first[near]]], [ids[near]]
-        apart = np.flatnonzero(np.add.reduceat(near, starts) < sizes - 1)
-        for g in apart[sizes[apart] > 2]:
+        apart = np.flatnonzero(np.add.reduceat(near, starts, dtype=np.int64) < sizes - 1)
+        apart = apart[sizes[apart] > 2]
+        done = near & ~np.repeat(np.isin(np.arange(len(starts)), apart), sizes)
+        a, b = [ids[first[done]]], [ids[done]]
+        for g in apart:
             span = slice(starts[g], starts[g] + sizes[g])
             if more := _agreeing(ids[span], sketches[span]):
                 more = np.array(more, np.int64)
@@ -403,7 +407,7 @@ def _similar(classes: DataFrame) -> DataFrame:
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("weight")).where("weight > 1")
     members = meet(banded, "key", _chunks(shared, "key", BUCKET_ROWS))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (
+    return _drawn_in(
         members.join(classes.select("id", "sketch"), "id")
         .select("id", "sketch", "key", "i", "j")
         .repartition(parts, "key", "i", "j")
@@ -412,6 +416,25 @@ def _similar(classes: DataFrame) -> DataFrame:
     )
 
 
+def _drawn_in(links: DataFrame) -> DataFrame:
+    """Fewer links that connect the same ids; ``a < b`` in ``links``.
+
+    Buckets of one group have different first members, so an id has up to a link
+    for each of its buckets. It keeps the link to the least of them; the others
+    are linked to that one, which many ids say alike. An id has no more links
+    here than buckets and chunks, so no task holds more of it.
+    """
+    least = F.min("a").over(Window.partitionBy("b"))
+    other = F.when(F.col("a") == F.col("_least"), F.col("b")).otherwise(F.col("a"))
+    return (
+        links.repartition("b")
+        .distinct()
+        .withColumn("_least", least)
+        .select(F.col("_least").alias("a"), other.alias("b"))
+        .distinct()
+    )
+
+
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:

@@ -31,7 +31,7 @@ from loomhouse.llm.simple8b import (
     unpack,
 )
 from loomhouse.llm.urls import bloom_filter, possible_hits
-from loomhouse.session import fresh_folder
+from loomhouse.session import fresh_folder, materialize
 
 SCHEMA = "doc_id long, text string"
 
@@ -89,6 +89,27 @@ def test_components_equal_brute_force(spark, monkeypatch, chunked):
     assert len(set(low.values())) < len(low)
 
 
+def test_links_of_a_large_group_grow_with_its_members(spark):
+    rng, rows = random.Random(8), []
+    base = [f"w{k}" for k in range(150)]
+    for i in range(600):
+        words = list(base)
+        for _ in range(3):
+            words[rng.randrange(150)] = f"n{rng.randrange(100_000)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "id long, text string")
+    signed = materialize(
+        docs.mapInArrow(lambda b: neardup._signatures(b, 4), neardup._SIGNATURE), "signed"
+    )
+    links = [(r.a, r.b) for r in neardup._similar(signed).collect()]
+    assert len(links) < 1.5 * len(rows) and all(a < b for a, b in links)
+    low = list(range(len(rows)))
+    for a, b in sorted(links, key=lambda x: x[::-1]):  # united by the larger end
+        old, least = max(low[a], low[b]), min(low[a], low[b])
+        low = [least if x == old else x for x in low]
+    assert set(low) == {0}
+
+
 def test_min_max_halves_the_hashing():
     flat, sizes = neardup.shingles([b"a b c d e f g h", b"a b c d e f g x"], neardup.WordHash())
     out = neardup.min_max(flat, np.cumsum(sizes) - sizes)
