@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 from collections.abc import Iterable
 from functools import lru_cache
 from itertools import chain
@@ -61,6 +62,14 @@ class _Parts(dict):
         return number
 
 
+class _Places(dict):
+    """Numbers of chunks in the order in which they are first asked for."""
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        return number
+
+
 class _Written(dict):
     """Ids of a final part: its piece, else its bytes.
 
@@ -261,10 +270,13 @@ class Pieces:
     def _in_bytes(self, parts: list[int]) -> bytes:
         """Ids of parts of which some are characters without a piece."""
         size, names = self.size, self.part.names
-        ids = chain.from_iterable(
-            (p,) if p < size else self.written[names[p - size]] for p in parts
-        )
-        return np.fromiter(ids, "<i4").tobytes()
+        ids = []
+        for p in parts:
+            if p < size:
+                ids.append(p)
+            else:
+                ids += self.written[names[p - size]]
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the piece that two parts make, ``_NONE`` where there is none."""
@@ -343,12 +355,12 @@ class Encoder:
         """Ids of each text, and how many it has without dropout."""
         named = [_chunks(t) if t else [] for t in texts]
         sizes = np.fromiter(map(len, named), np.int64, len(named))
-        place = {c: k for k, c in enumerate(dict.fromkeys(chain.from_iterable(named)))}
-        chunks = list(place)
-        ids, steps = self._plain(chunks)
+        place = _Places()
         which = np.fromiter(
             map(place.__getitem__, chain.from_iterable(named)), np.int64, int(sizes.sum())
         )
+        chunks = list(place)
+        ids, steps = self._plain(chunks)
         out = list(map(ids.__getitem__, which.tolist()))
         plain = np.fromiter(map(len, ids), np.int64, len(ids))[which] // 4
         if self.below:
@@ -369,16 +381,24 @@ class Encoder:
 
     def _plain(self, chunks: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Ids and merges of distinct chunks without dropout."""
-        new = [c for c in chunks if c not in self.plain]
+        found = list(map(self.plain.get, chunks))
+        new = [k for k, f in enumerate(found) if f is None]
         if len(self.plain) + len(new) > self.limit:
-            self.plain, self.older, new = {}, self.plain, chunks
-        fresh = [c for c in new if c not in self.older]
-        self.plain.update((c, self.older[c]) for c in new if c in self.older)
-        self.plain.update(zip(fresh, self.pieces.plain_all(fresh), strict=True))
-        found = list(map(self.plain.__getitem__, chunks))
-        for c in fresh:
-            if len(c) > 64:
-                del self.plain[c]
+            # those found are carried over
+            known = {c: f for c, f in zip(chunks, found, strict=True) if f is not None}
+            self.plain, self.older = known, self.plain
+        fresh = []
+        for k in new:
+            f = found[k] = self.older.get(chunks[k])
+            if f is None:
+                fresh.append(k)
+            else:
+                self.plain[chunks[k]] = f
+        made = self.pieces.plain_all([chunks[k] for k in fresh])
+        for k, f in zip(fresh, made, strict=True):
+            found[k] = f
+            if len(chunks[k]) <= 64:
+                self.plain[chunks[k]] = f
         return [i for i, _ in found], [m for _, m in found]
 
     def _keys(self, docs, epochs, sizes: np.ndarray) -> np.ndarray:

@@ -438,3 +438,38 @@ def test_toxicity_on_held_out_rows(spark):
     score = {r.id: r.score for r in ftrl.score(df, model).collect()}
     held = [(score[i], t) for i, _, t in rows if zlib.crc32(str(i).encode()) % 5 == 0]
     assert sum((s >= 0.5) == bool(t) for s, t in held) / len(held) > 0.95
+
+
+# --- work of the encoders -----------------------------------------------------
+
+
+class Asked(dict):
+    """Counts the look-ups of its keys."""
+
+    n = 0
+
+    def get(self, key, other=None):
+        self.n += 1
+        return super().get(key, other)
+
+    def __contains__(self, key):
+        self.n += 1
+        return super().__contains__(key)
+
+    def __getitem__(self, key):
+        self.n += 1
+        return super().__getitem__(key)
+
+
+def test_a_known_chunk_is_looked_up_once():
+    from loomhouse.llm.queries import piece_model
+
+    encoder, text = Encoder(load(piece_model()), 0.1, 17), "some words and some more words"
+    first = encoder.encode([text], [4])[0].tolist()
+    encoder.plain = Asked(encoder.plain)
+    assert encoder.encode([text], [4])[0].tolist() == first
+    assert encoder.plain.n == 4
+    few = Encoder(load(piece_model()), 0.1, 17, limit=3)  # what is known is carried over
+    for words in (text, "more and others", text, "y" * 70 + " some " + "y" * 70, text):
+        whole = Encoder(load(piece_model()), 0.1, 17).encode([words], [4])[0].tolist()
+        assert few.encode([words], [4])[0].tolist() == whole
