@@ -56,6 +56,25 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return np.maximum(out, np.int8(1))
 
 
+def _followed(behind: np.ndarray) -> np.ndarray:
+    """The places from 0 on, each ``behind`` the one before, as long as there are any.
+
+    Doubled steps lead from place to place 64 at a time; those between follow from them.
+    """
+    n = len(behind)
+    steps = [np.append(behind, np.int32(n))]
+    for _ in range(6):
+        steps.append(steps[-1][steps[-1]])
+    far, at, places = steps.pop().tolist(), 0, []
+    while at < n:
+        places.append(at)
+        at = far[at]
+    places = np.array(places, np.int32)
+    for step in reversed(steps):
+        places = np.stack([places, step[places]], 1).ravel()
+    return places[places < n].astype(np.int64)
+
+
 def pack(values: np.ndarray) -> np.ndarray:
     """Simple-8b words of unsigned 64-bit values.
 
@@ -83,12 +102,7 @@ def pack(values: np.ndarray) -> np.ndarray:
         if not fits.any():
             break
         best[: len(fits)][fits] = s
-    jump = COUNTS[best].astype(np.uint8).tobytes()
-    starts, at = [], 0
-    while at < n:
-        starts.append(at)
-        at += jump[at]
-    starts = np.array(starts)
+    starts = _followed(np.minimum(np.arange(n) + COUNTS[best], n).astype(np.int32))
     chosen = best[starts].astype(np.int64)
     words = chosen.astype(np.uint64) << _FOUR
     for s in range(1, len(COUNTS)):
@@ -226,6 +240,8 @@ class BpeEncoder:
         self.tokenizer, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
         # words apart never hold a special token; a row of them must not form one
         self.words.encode_special_tokens = True
+        # they are remembered here; the model's own cache only costs time
+        self.words.model._resize_cache(0)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.limit = limit
         # bytes of each id: a character of a byte-level piece stands for one byte
@@ -245,10 +261,12 @@ class BpeEncoder:
         found = list(map(self.known.get, words))
         missing = [i for i, f in enumerate(found) if f is None]
         if missing:
-            self._look_up({words[i] for i in missing})
-            for i in missing:
-                found[i] = self.known[words[i]]
-            for word in {words[i] for i in missing}:
+            unknown = [words[i] for i in missing]
+            new = set(unknown)
+            self._look_up(new)
+            for i, ids in zip(missing, map(self.known.__getitem__, unknown), strict=True):
+                found[i] = ids
+            for word in new:
                 if len(word) > 64:
                     del self.known[word]
         out, at = [], 0
@@ -267,28 +285,40 @@ class BpeEncoder:
         """Puts the ids of ``new`` among the known words."""
         if len(self.known) + len(new) > self.limit:
             self.known, self.older = {}, self.known
-        for word in new & self.older.keys():
-            self.known[word] = self.older[word]
-        rest = []
-        for word in new - self.known.keys():
-            letters = _LETTERS.fullmatch(word)
-            if letters is None:
+        rest, letters, tailed = [], [], []
+        for word in new:
+            ids = self.older.get(word) if self.older else None
+            if ids is not None:
+                self.known[word] = ids
+            elif word.isascii() and word.isalpha():
+                letters.append(word)
+            elif (found := _LETTERS.fullmatch(word)) is None:
                 rest.append(word)
-                continue
-            base, tail = letters.groups()
-            ids = self.known.get(base)
-            if ids is None:
-                ids = self._merged(base)
-                if len(base) <= 64:
-                    self.known[base] = ids
-            self.known[word] = ids + self._tail(tail)
+            else:
+                tailed.append((word, *found.groups()))
+        bases = {base for _, base, _ in tailed}
+        bases.difference_update(letters)
+        letters += [base for base in bases if base not in self.known]
+        merged = self._merged(letters)
+        self.known.update(zip(letters, merged, strict=True))
+        for word, base, tail in tailed:
+            self.known[word] = self.known[base] + self._tail(tail) if tail else self.known[base]
+        for base in letters:
+            if len(base) > 64 and base not in new:
+                del self.known[base]
         self.known.update(zip(rest, self._apart(rest), strict=True))
 
-    def _merged(self, letters: str) -> bytes:
-        """Ids of letters behind a space."""
-        raw = (" " + letters).encode().decode("latin-1").translate(self.chars)
-        ids = [t.id for t in self.words.model.tokenize(raw)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _merged(self, letters: list[str]) -> list[bytes]:
+        """Ids of words of letters behind a space."""
+        tokenize = self.words.model.tokenize
+        space, flat, ends = self.chars[32], [], []
+        for word in letters:
+            if not word.isascii():  # letters of ASCII stand for themselves
+                word = word.encode().decode("latin-1").translate(self.chars)
+            flat += [token.id for token in tokenize(space + word)]
+            ends.append(4 * len(flat))
+        ids = np.array(flat, "<u4").tobytes()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _tail(self, tail: str) -> bytes:
         if tail not in self.tails:

@@ -443,6 +443,28 @@ def test_toxicity_on_held_out_rows(spark):
 # --- work of the encoders -----------------------------------------------------
 
 
+def test_new_words_of_letters_are_merged_together(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, calls, merged = BpeEncoder(path), [], BpeEncoder._merged
+    monkeypatch.setattr(BpeEncoder, "_merged", lambda self, w: calls.append(w) or merged(self, w))
+    texts = ["Ab cde, fgé. hij cde " + "x" * 80 + " k\u00fcl", None, "Ab  cde (fgé) " + "x" * 80 + "!", ""]
+    got = encoder.encode(texts)
+    assert len(calls) == 1
+    plain = encoder.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+    assert [g.tolist() for g in got] == [f.ids for f in plain]
+    assert [g.tolist() for g in encoder.encode(texts)] == [f.ids for f in plain]
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 5000])
+def test_words_start_where_a_plain_walk_starts_them(n):
+    behind = np.minimum(np.arange(n) + np.random.default_rng(n).choice([1, 2, 7, 60], n), n)
+    at, starts = 0, []
+    while at < n:
+        starts.append(at)
+        at = behind[at]
+    assert simple8b._followed(behind.astype(np.int32)).tolist() == starts
+
+
 class Asked(dict):
     """Counts the look-ups of its keys."""
 
