@@ -30,9 +30,9 @@ class Checks:
 
     not_null: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
-    copies: int = 1
     rules: tuple[tuple[str, str], ...] = ()
     least_rows: int = 0
+    copies: int = 1
 
 
 def write_audited(df: DataFrame, folder: str, name: str, checks: Checks) -> dict[str, int]:
