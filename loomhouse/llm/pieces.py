@@ -49,6 +49,13 @@ def skipped(key, place, rank, limit: int):
     return (mix(mix(key, place), rank) >> np.uint64(32)) < np.uint64(limit)
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of spans one after another."""
+    out = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    out += np.arange(len(out))
+    return out
+
+
 class _Parts(dict):
     """Numbers of pieces and characters; those without a piece come behind."""
 
@@ -62,14 +69,6 @@ class _Parts(dict):
         return number
 
 
-class _Places(dict):
-    """Numbers of chunks in the order in which they are first asked for."""
-
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = len(self)
-        return number
-
-
 class _Written(dict):
     """Ids of a final part: its piece, else its bytes.
 
@@ -177,85 +176,109 @@ class Pieces:
         ids = chain.from_iterable(map(self.written.__getitem__, filter(None, parts)))
         return np.fromiter(ids, "<i4").tobytes()
 
-    def plain_all(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+    def plain_all(
+        self, chunks: list[str], joined: str | None = None
+    ) -> list[tuple[bytes, bytes]]:
         """Ids of chunks without dropout, and their merges as 64-bit place and rank.
 
         The merges are in no order; those of a chunk above ``_SHORT`` are not listed.
+        ``joined``: the chunks one after another, if those given have plain spaces.
         """
-        steps = [b""] * len(chunks)
-        ids = self.segment_all(chunks, np.zeros(len(chunks), np.uint64), 0, steps)
-        return list(zip(ids, steps, strict=True))
+        joined = "".join(chunks) if joined is None else joined
+        steps, every = [b""] * len(chunks), np.arange(len(chunks))
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        flat, starts, counts = self.segment_all(
+            joined, lengths, every, np.zeros(len(chunks), np.uint64), 0, steps
+        )
+        raw, lows, highs = flat.tobytes(), (4 * starts).tolist(), (4 * (starts + counts)).tolist()
+        return [(raw[lo:hi], done) for lo, hi, done in zip(lows, highs, steps, strict=True)]
 
     def segment_all(
         self,
-        chunks: list[str],
+        joined: str,
+        lengths: np.ndarray,
+        which: np.ndarray,
         keys: np.ndarray,
         limit: int,
         steps: list[bytes] | None = None,
-    ) -> list[bytes]:
-        """``segment`` of many chunks, the agendas of equally long ones side by side."""
-        out = [b""] * len(chunks)
-        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        order = np.argsort(lengths, kind="stable")
-        short = int(np.searchsorted(lengths[order], _SHORT, "right"))
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``segment`` of chunks by number, the agendas of equally long ones side by side.
+
+        ``joined`` has all chunks one after another. Returns the ids of those in
+        ``which``, and where those of each begin and how many they are.
+        """
+        firsts, numbers = np.cumsum(lengths) - lengths, self._numbers(joined)
+        starts, counts = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
+        out, at = [np.empty(0, np.int32)], 0
+        # lengths in 16 bits are sorted by their digits
+        sizes = np.minimum(lengths[which], _SHORT + 1).astype(np.uint16)
+        order = np.argsort(sizes, kind="stable")
+        short = int(np.searchsorted(sizes[order], _SHORT, "right"))
         for lo in range(0, short, _ROWS):
             rows = order[lo : min(lo + _ROWS, short)]
-            texts = [chunks[r] for r in rows]
             merges = None if steps is None else []
-            found = self._merge(texts, lengths[rows], keys[rows], limit, merges)
-            for r, ids in zip(rows.tolist(), found, strict=True):
-                out[r] = ids
+            names = which[rows]
+            ids, n = self._merge(numbers, firsts[names], lengths[names], keys[rows], limit, merges)
+            starts[rows], counts[rows] = at + np.cumsum(n) - n, n
+            out.append(ids)
+            at += len(ids)
             if steps is not None:
                 for r, done in zip(rows.tolist(), _by_row(merges, len(rows)), strict=True):
                     steps[r] = done
-        for r in order[short:]:
-            out[r] = self.segment(chunks[r], int(keys[r]), limit)
-        return out
-
-    def _merge(self, texts, lengths, keys, limit, merges=None) -> list[bytes]:
-        n, width = len(texts), int(lengths.max())
-        part = np.full((n, width + 1), -1, np.int32)
-        inside = np.arange(width + 1) < lengths[:, None]
-        part[inside] = self._numbers("".join(texts))
-        rank = np.full((n, width + 1), _NONE, np.int32)
-        rank[:, :-1] = self._pair(part[:, :-1], part[:, 1:])
-        after = np.tile(np.arange(1, width + 2), (n, 1))
-        before = np.tile(np.arange(-1, width), (n, 1))
+        for r in order[short:].tolist():
+            first = firsts[which[r]]
+            chunk = joined[first : first + lengths[which[r]]]
+            ids = np.frombuffer(self.segment(chunk, int(keys[r]), limit), "<i4")
+            starts[r], counts[r] = at, len(ids)
+            out.append(ids)
+            at += len(ids)
+        return np.concatenate(out), starts, counts
+
+    def _merge(self, numbers, firsts, lengths, keys, limit, merges=None):
+        """Ids of chunks that begin at ``firsts`` of ``numbers``, and how many each has."""
+        n, width = len(firsts), int(lengths.max())
+        # a column without a part ends each row on both sides
+        wide = width + 1
+        column = np.arange(wide, dtype=np.int32)
+        inside = column < lengths[:, None]
+        part = np.full(n * wide, -1, np.int32)
+        part[inside.ravel()] = numbers[(firsts[:, None] + column)[inside]]
+        rank = np.full(n * wide, _NONE, np.int32)
+        pairs = np.flatnonzero(part[1:] >= 0)
+        pairs = pairs[part[pairs] >= 0]
+        rank[pairs] = self._pair(part[pairs], part[pairs + 1])
+        place = np.arange(n * wide, dtype=np.int32)
+        after, before = place + 1, place - 1
+        before[::wide] = place[width::wide]
+        by_row = rank.reshape(n, wide)
         rows = np.arange(n)
         while len(rows):
-            at = rank[rows].argmin(1)
-            best = rank[rows, at]
+            at = (by_row if len(rows) == n else by_row.take(rows, 0)).argmin(1)
+            p = rows * wide + at
+            best = rank.take(p)
             going = best < _NONE
-            rows, at, best = rows[going], at[going], best[going]
-            take = np.ones(len(rows), bool)
+            if not going.all():
+                rows, at, p, best = rows[going], at[going], p[going], best[going]
+            r = rows
             if limit:
-                take = ~skipped(keys[rows], at.astype(np.uint64), best.astype(np.uint64), limit)
-                rank[rows[~take], at[~take]] = _NONE
-            r, i = rows[take], at[take]
+                drop = skipped(keys.take(rows), at.astype(np.uint64), best.astype(np.uint64), limit)
+                rank[p[drop]] = _NONE
+                take = ~drop
+                r, at, p, best = rows[take], at[take], p[take], best[take]
             if merges is not None:
-                merges.append((r, (i << 32) | best[take]))
-            j = after[r, i]
-            part[r, i] = self.by_rank[best[take]]
-            part[r, j] = -1
-            rank[r, j] = _NONE
-            k = after[r, j]
-            after[r, i] = k
-            in_row = k <= width
-            before[r[in_row], k[in_row]] = i[in_row]
-            k = np.minimum(k, width)
-            rank[r, i] = self._pair(part[r, i], part[r, k])
-            h = before[r, i]
-            has = h >= 0
-            rank[r[has], h[has]] = self._pair(part[r[has], h[has]], part[r[has], i[has]])
+                merges.append((r, (at << 32) | best))
+            made = self.by_rank.take(best)
+            j = after.take(p)
+            k, h = after.take(j), before.take(p)
+            part[p], part[j], rank[j] = made, -1, _NONE
+            after[p], before[k] = k, p
+            found = self._pair(
+                np.concatenate([made, part.take(h)]), np.concatenate([part.take(k), made])
+            )
+            rank[p], rank[h] = found[: len(p)], found[len(p) :]
         kept = part >= 0
-        flat = part[kept]
-        ends = np.cumsum(kept.sum(1)).tolist()
-        plain = (part < self.size).all(1).tolist()
-        raw, found, lo = flat.astype("<i4").tobytes(), [], 0
-        for hi, easy in zip(ends, plain, strict=True):
-            found.append(raw[4 * lo : 4 * hi] if easy else self._in_bytes(flat[lo:hi].tolist()))
-            lo = hi
-        return found
+        flat, counts = part[kept], kept.reshape(n, wide).sum(1)
+        return self._in_bytes(flat, counts) if (flat >= self.size).any() else (flat, counts)
 
     def _numbers(self, text: str) -> np.ndarray:
         """Part number of each character."""
@@ -267,29 +290,39 @@ class Pieces:
             found = self.code[points]
         return found
 
-    def _in_bytes(self, parts: list[int]) -> bytes:
-        """Ids of parts of which some are characters without a piece."""
-        size, names = self.size, self.part.names
-        ids = []
-        for p in parts:
-            if p < size:
-                ids.append(p)
-            else:
-                ids += self.written[names[p - size]]
-        return struct.pack(f"<{len(ids)}i", *ids)
+    def _in_bytes(self, flat: np.ndarray, counts: np.ndarray):
+        """Ids and counts of rows of parts of which some are characters without a piece."""
+        odd = flat >= self.size
+        names, named = np.unique(flat[odd], return_inverse=True)
+        raw = [self.written[self.part.names[p - self.size]] for p in names.tolist()]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        times = np.ones(len(flat), np.int64)
+        times[odd] = sizes[named]
+        out = np.repeat(flat, times)
+        source = np.fromiter(chain.from_iterable(raw), np.int32)
+        out[np.repeat(odd, times)] = source[_spans((np.cumsum(sizes) - sizes)[named], sizes[named])]
+        behind = np.append(0, np.cumsum(times))
+        ends = np.cumsum(counts)
+        return out, behind[ends] - behind[ends - counts]
 
     def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the piece that two parts make, ``_NONE`` where there is none."""
         key = (left.astype(np.int64) << 32) | right
         slot = ((key.view(np.uint64) * _SPREAD) >> np.uint64(64 - _TABLE)).astype(np.int64)
         there = self.table_key[slot]
-        out = np.where(there == key, self.table_rank[slot], np.int32(_NONE))
+        same = there == key
+        out = np.where(same, self.table_rank[slot], np.int32(_NONE))
         # on from a slot that another pair holds
-        at = np.nonzero((there != key) & (there != -1))
+        at = np.flatnonzero(~same & (there != -1))
         key, slot = key[at], slot[at]
         for step in range(1, self.steps):
-            hit = self.table_key[slot + step] == key
-            out[tuple(a[hit] for a in at)] = self.table_rank[(slot + step)[hit]]
+            if not len(at):
+                break
+            there = self.table_key[slot + step]
+            hit = there == key
+            out[at[hit]] = self.table_rank[slot[hit] + step]
+            on = ~hit & (there != -1)
+            at, key, slot = at[on], key[on], slot[on]
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -325,7 +358,34 @@ def _by_row(merges: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[bytes]:
 
 
 def _chunks(text: str) -> list[str]:
-    return _CHUNK.findall(MARK + text.replace(MARK, _STAND_IN).replace(" ", MARK))
+    return _CHUNK.findall(MARK + _marked(text))
+
+
+def _marked(text: str) -> str:
+    return text.replace(MARK, _STAND_IN).replace(" ", MARK)
+
+
+def _cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``_chunks`` of texts: the distinct ones with plain spaces, their numbers in order, chunks per text."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    full = pc.greater(pc.binary_length(texts), 0)
+    sizes = np.zeros(len(texts), np.int64)
+    space, none = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+    spaced = pc.binary_join_element_wise(space, texts.filter(full), none)
+    if not len(spaced):
+        return [], np.empty(0, np.int64), sizes
+    ends = np.frombuffer(spaced.buffers()[1], np.int64)[spaced.offset :][: len(spaced) + 1]
+    raw = np.frombuffer(spaced.buffers()[2], np.uint8)[: ends[-1]]
+    # a chunk starts with the first of some spaces
+    first = raw == ord(" ")
+    first[1:] &= raw[:-1] != ord(" ")
+    first[ends[:-1]] = True
+    starts = np.append(np.flatnonzero(first[ends[0] :]) + ends[0], ends[-1])
+    sizes[full.to_numpy(zero_copy_only=False)] = np.diff(np.searchsorted(starts, ends))
+    chunks = pa.LargeStringArray.from_buffers(
+        len(starts) - 1, pa.py_buffer(starts), spaced.buffers()[2]
+    ).dictionary_encode()
+    return chunks.dictionary.to_pylist(), chunks.indices.to_numpy().astype(np.int64), sizes
 
 
 class Encoder:
@@ -353,31 +413,32 @@ class Encoder:
         epochs: list[int | None] | None = None,
     ) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of each text, and how many it has without dropout."""
-        named = [_chunks(t) if t else [] for t in texts]
-        sizes = np.fromiter(map(len, named), np.int64, len(named))
-        place = _Places()
-        which = np.fromiter(
-            map(place.__getitem__, chain.from_iterable(named)), np.int64, int(sizes.sum())
-        )
-        chunks = list(place)
-        ids, steps = self._plain(chunks)
-        out = list(map(ids.__getitem__, which.tolist()))
-        plain = np.fromiter(map(len, ids), np.int64, len(ids))[which] // 4
+        ids, ends, plain = self.encode_flat(pa.array(texts, pa.string()), docs, epochs)
+        return np.split(ids, ends[:-1]) if len(ends) else [], plain
+
+    def encode_flat(
+        self, texts: pa.Array, docs: list[int | None], epochs: list[int | None] | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of texts one after another, their ends, and how many each has without dropout."""
+        spaced, which, sizes = _cut(texts)
+        ids, steps = self._plain(spaced)
+        plain = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        source = np.frombuffer(b"".join(ids), "<i4")
+        starts, counts = (np.cumsum(plain) - plain)[which], plain[which]
+        ends = np.cumsum(sizes)
+        so_far = np.append(0, np.cumsum(counts))
+        n_plain = so_far[ends] - so_far[ends - sizes]
         if self.below:
             keys = self._keys(docs, epochs or [0] * len(docs), sizes)
-            other = np.flatnonzero(self._differs(chunks, steps, which, keys))
-            cut = self.pieces.segment_all(
-                [chunks[k] for k in which[other].tolist()], keys[other], self.below
+            other = np.flatnonzero(self._differs(spaced, steps, which, keys))
+            lengths = np.fromiter(map(len, spaced), np.int64, len(spaced))
+            cut, at, n = self.pieces.segment_all(
+                _marked("".join(spaced)), lengths, which[other], keys[other], self.below
             )
-            for at, i in zip(other.tolist(), cut, strict=True):
-                out[at] = i
-        ends = np.cumsum(sizes)
-        so_far = np.append(0, np.cumsum(plain))
-        cuts = ends.tolist()
-        return [
-            np.frombuffer(b"".join(out[lo:hi]), "<i4")
-            for lo, hi in zip([0, *cuts], cuts, strict=False)
-        ], so_far[ends] - so_far[ends - sizes]
+            starts[other], counts[other] = at + len(source), n
+            source = np.concatenate([source, cut])
+            so_far = np.append(0, np.cumsum(counts))
+        return source[_spans(starts, counts)], so_far[ends], n_plain
 
     def _plain(self, chunks: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Ids and merges of distinct chunks without dropout."""
@@ -394,11 +455,12 @@ class Encoder:
                 fresh.append(k)
             else:
                 self.plain[chunks[k]] = f
-        made = self.pieces.plain_all([chunks[k] for k in fresh])
-        for k, f in zip(fresh, made, strict=True):
+        left = [chunks[k] for k in fresh]
+        made = self.pieces.plain_all(left, _marked("".join(left)))
+        for k, chunk, f in zip(fresh, left, made, strict=True):
             found[k] = f
-            if len(chunks[k]) <= 64:
-                self.plain[chunks[k]] = f
+            if len(chunk) <= 64:
+                self.plain[chunk] = f
         return [i for i, _ in found], [m for _, m in found]
 
     def _keys(self, docs, epochs, sizes: np.ndarray) -> np.ndarray:
@@ -464,14 +526,12 @@ def encode_pieces(
 
     def run(batches):
         encoder = encoder_for(model_path, dropout, seed)
-        for batch in small_batches(batches, "text", 2_000_000):
-            texts, names = batch["text"].to_pylist(), batch["id"].to_pylist()
-            ids, plain = encoder.encode_counted(texts, names, batch["epoch"].to_pylist())
-            ends = np.cumsum([0, *map(len, ids)])
-            flat = np.concatenate([np.empty(0, np.int32), *ids])
+        for batch in small_batches(batches, "text", 6_000_000):
+            names, epochs = batch["id"].to_pylist(), batch["epoch"].to_pylist()
+            ids, ends, plain = encoder.encode_flat(batch["text"], names, epochs)
             found = {
                 "id": batch["id"],
-                "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                "ids": pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids)),
             }
             if counted:
                 found |= {"n_plain": pa.array(plain), "text_hash": batch["text_hash"]}

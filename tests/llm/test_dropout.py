@@ -1,11 +1,14 @@
 """Merge-dropout draws for every occurrence of a word."""
 
+import sys
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
+from loomhouse.llm import pieces
 from loomhouse.llm.pieces import Encoder, _chunks, encode_pieces, load
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -104,3 +107,28 @@ def test_copies_of_a_row_differ_by_epoch(spark):
         [*((d, tuple(i.tolist())) for (d, _), i in zip(want, ids, strict=True)), (3, ()), (3, ())]
     )
     assert len({i for _, i in got}) == 6
+
+
+def test_chunks_cut_from_bytes_are_those_of_the_pattern():
+    texts = ["a b", None, "", " ", "  a  b ", "a\tb\n c", "é 中 文  \U0001f600", "▁x ▁ y", "b ", " b", "a" * 90 + " b"]
+    for some in (pa.array(texts), pa.array(["z  ", *texts, "z"]).slice(1, len(texts)), pa.array([None, ""], pa.string())):
+        spaced, which, sizes = pieces._cut(some)
+        found = iter(pieces._marked(spaced[k]) for k in which)
+        want = [_chunks(t) if t else [] for t in some.to_pylist()]
+        assert [[next(found) for _ in range(n)] for n in sizes] == want
+        assert next(found, None) is None and len(set(spaced)) == len(spaced)
+
+
+def test_python_calls_do_not_grow_with_the_occurrences():
+    def calls(text):
+        encoder, seen = Encoder(load(PATH), 0.3, 5), []
+        sys.setprofile(lambda frame, event, arg: seen.append(1) if event in ("call", "c_call") else None)
+        try:
+            encoder.encode([text], [1])
+        finally:
+            sys.setprofile(None)
+        return len(seen)
+
+    words = "the quick brown foxes are over lazy international dogs \U0001f600 "
+    calls(words)
+    assert calls(words * 550) - calls(words * 50) < 1_500
