@@ -72,6 +72,21 @@ def small_batches(
                 yield batch.slice(int(lo), int(hi - lo))
 
 
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of spans one after another."""
+    out = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    out += np.arange(len(out))
+    return out
+
+
+def distinct_parts(starts: np.ndarray, data: pa.Buffer) -> tuple[list[str], np.ndarray]:
+    """The distinct texts between neighbouring ``starts`` of ``data``, and the number of each part."""
+    parts = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), data)
+    coded = parts.dictionary_encode()
+    texts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return texts, coded.indices.to_numpy().astype(np.int64)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomhouse.llm.common import mix, picked, small_batches
+from loomhouse.llm.common import distinct_parts, mix, picked, small_batches, spans
 from loomhouse.session import materialize
 
 MARK = "▁"
@@ -49,13 +49,6 @@ def skipped(key, place, rank, limit: int):
     return (mix(mix(key, place), rank) >> np.uint64(32)) < np.uint64(limit)
 
 
-def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places of spans one after another."""
-    out = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    out += np.arange(len(out))
-    return out
-
-
 class _Parts(dict):
     """Numbers of pieces and characters; those without a piece come behind."""
 
@@ -300,7 +293,7 @@ class Pieces:
         times[odd] = sizes[named]
         out = np.repeat(flat, times)
         source = np.fromiter(chain.from_iterable(raw), np.int32)
-        out[np.repeat(odd, times)] = source[_spans((np.cumsum(sizes) - sizes)[named], sizes[named])]
+        out[np.repeat(odd, times)] = source[spans((np.cumsum(sizes) - sizes)[named], sizes[named])]
         behind = np.append(0, np.cumsum(times))
         ends = np.cumsum(counts)
         return out, behind[ends] - behind[ends - counts]
@@ -382,10 +375,7 @@ def _cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     first[ends[:-1]] = True
     starts = np.append(np.flatnonzero(first[ends[0] :]) + ends[0], ends[-1])
     sizes[full.to_numpy(zero_copy_only=False)] = np.diff(np.searchsorted(starts, ends))
-    chunks = pa.LargeStringArray.from_buffers(
-        len(starts) - 1, pa.py_buffer(starts), spaced.buffers()[2]
-    ).dictionary_encode()
-    return chunks.dictionary.to_pylist(), chunks.indices.to_numpy().astype(np.int64), sizes
+    return *distinct_parts(starts, spaced.buffers()[2]), sizes
 
 
 class Encoder:
@@ -438,7 +428,7 @@ class Encoder:
             starts[other], counts[other] = at + len(source), n
             source = np.concatenate([source, cut])
             so_far = np.append(0, np.cumsum(counts))
-        return source[_spans(starts, counts)], so_far[ends], n_plain
+        return source[spans(starts, counts)], so_far[ends], n_plain
 
     def _plain(self, chunks: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Ids and merges of distinct chunks without dropout."""

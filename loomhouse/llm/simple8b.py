@@ -25,12 +25,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomhouse.llm.common import picked, small_batches
+from loomhouse.llm.common import distinct_parts, picked, small_batches, spans
 from loomhouse.session import fresh_folder
 
 # fixed values: ids per word and bits per id by selector, 0 is the escape
@@ -209,11 +210,12 @@ def read_table(file, size: int) -> np.ndarray:
 # Token ids of texts.
 
 # A space in front of a character that is not white space always starts a
-# token of the byte-level pattern, so texts can be cut there.
-_CUT = re.compile(r" (?=\S)")
-
-
-_ODD = re.compile(r" (?=\s|\Z)")
+# token of the byte-level pattern, and so does a sign behind a letter; texts can
+# be cut there. A byte by which white space outside of ASCII may begin is left alone.
+_LETTER, _SIGN, _BLANK = (np.zeros(256, bool) for _ in range(3))
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN[[b for b in range(33, 127) if not (chr(b).isalnum() or chr(b) in "'_")]] = True
+_BLANK[[*range(33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 # Latin letters and what follows them, each of which is one token of the pattern.
 _LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([^\w\s']*)")
 
@@ -228,9 +230,10 @@ def _byte_chars() -> dict[int, str]:
 class BpeEncoder:
     """Ids of the tokenizers library, with frequent words remembered.
 
-    A text is cut where a space precedes a word; words of letters go to the
-    library's merges directly, others through all of it. A text that holds a
-    special token is encoded as a whole.
+    Texts are cut where a space precedes a word and where a sign follows a letter;
+    the parts of a batch are told apart and counted over their bytes. Words of
+    letters go to the library's merges directly, others through all of it. A text
+    that holds a special token is encoded as a whole.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -254,59 +257,80 @@ class BpeEncoder:
         self.tails: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str | None], end: bytes = b"") -> list[np.ndarray]:
-        """Ids of each text, ``end`` behind them. A text is its head and words behind a space."""
-        cut = [self._cut(t or "") for t in texts]
-        heads = self._each([c[0] for c in cut])
-        words = list(chain.from_iterable(c[1:] for c in cut))
-        found = list(map(self.known.get, words))
+        """Ids of each text, ``end`` behind them."""
+        ids, ends = self.encode_flat(pa.array(texts, pa.string()), end)
+        return np.split(ids, ends[:-1]) if len(ends) else []
+
+    def encode_flat(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after another, ``end`` behind each, and where those of each end."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole = np.zeros(len(texts), bool)
+        for special in self.special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero(whole)
+        parts, which, sizes = _cut(texts)
+        known = self._known(parts)
+        if len(whole):
+            # a text with a special token is one part of its own
+            kept = np.ones(len(sizes), bool)
+            kept[whole] = False
+            which = which[np.repeat(kept, sizes)]
+            sizes[whole] = 0
+            at = np.cumsum(sizes)[whole]
+            which = np.insert(which, at, len(known) + np.arange(len(whole)))
+            sizes[whole] = 1
+            known += self._each(texts.take(whole).to_pylist())
+        if end:
+            which = np.insert(which, np.cumsum(sizes), len(known))
+            sizes = sizes + 1
+            known.append(end)
+        counts = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = (np.cumsum(counts) - counts)[which]
+        counts = counts[which]
+        flat = np.frombuffer(b"".join(known), "<u4")[spans(starts, counts)]
+        return flat, np.append(0, np.cumsum(counts))[np.cumsum(sizes)]
+
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, from those remembered or made now."""
+        found = list(map(self.known.get, parts))
         missing = [i for i, f in enumerate(found) if f is None]
         if missing:
-            unknown = [words[i] for i in missing]
-            new = set(unknown)
-            self._look_up(new)
-            for i, ids in zip(missing, map(self.known.__getitem__, unknown), strict=True):
+            new = [parts[i] for i in missing]
+            if len(self.known) + len(new) > self.limit:
+                self.known, self.older = {}, self.known
+            for i, part, ids in zip(missing, new, self._look_up(new), strict=True):
                 found[i] = ids
-            for word in new:
-                if len(word) > 64:
-                    del self.known[word]
-        out, at = [], 0
-        for head, c in zip(heads, cut, strict=True):
-            behind = at + len(c) - 1
-            out.append(np.frombuffer(b"".join((head, *found[at:behind], end)), "<u4"))
-            at = behind
-        return out
-
-    def _cut(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]
-        return _CUT.split(text) if _ODD.search(text) else text.split(" ")
-
-    def _look_up(self, new: set[str]) -> None:
-        """Puts the ids of ``new`` among the known words."""
-        if len(self.known) + len(new) > self.limit:
-            self.known, self.older = {}, self.known
-        rest, letters, tailed = [], [], []
-        for word in new:
-            ids = self.older.get(word) if self.older else None
-            if ids is not None:
-                self.known[word] = ids
+                if len(part) <= 64:
+                    self.known[part] = ids
+        return found
+
+    def _look_up(self, new: list[str]) -> list[bytes]:
+        """Ids of distinct parts that are not known."""
+        ids = list(map(self.older.get, new)) if self.older else [None] * len(new)
+        letters, tailed, bare, rest = [], [], [], []
+        for i, part in enumerate(new):
+            if ids[i] is not None:
+                continue
+            word = part[1:]
+            if part[:1] != " " or not word or word[0].isspace():
+                bare.append(i)
             elif word.isascii() and word.isalpha():
-                letters.append(word)
+                letters.append(i)
             elif (found := _LETTERS.fullmatch(word)) is None:
-                rest.append(word)
+                rest.append(i)
             else:
-                tailed.append((word, *found.groups()))
-        bases = {base for _, base, _ in tailed}
-        bases.difference_update(letters)
-        letters += [base for base in bases if base not in self.known]
-        merged = self._merged(letters)
-        self.known.update(zip(letters, merged, strict=True))
-        for word, base, tail in tailed:
-            self.known[word] = self.known[base] + self._tail(tail) if tail else self.known[base]
-        for base in letters:
-            if len(base) > 64 and base not in new:
-                del self.known[base]
-        self.known.update(zip(rest, self._apart(rest), strict=True))
+                tailed.append((i, *found.groups()))
+        merged = self._merged([new[i][1:] for i in letters] + [base for _, base, _ in tailed])
+        for i, made in zip(letters, merged, strict=False):
+            ids[i] = made
+        for (i, _, tail), made in zip(tailed, merged[len(letters) :], strict=True):
+            ids[i] = made + self._tail(tail) if tail else made
+        for i, made in zip(rest, self._apart([new[i][1:] for i in rest]), strict=True):
+            ids[i] = made
+        found = self.words.encode_batch_fast([new[i] for i in bare], add_special_tokens=False)
+        for i, made in zip(bare, found, strict=True):
+            ids[i] = np.array(made.ids, "<u4").tobytes()
+        return ids
 
     def _merged(self, letters: list[str]) -> list[bytes]:
         """Ids of words of letters behind a space."""
@@ -348,6 +372,25 @@ class BpeEncoder:
         return [raw[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist(), strict=False)]
 
 
+def _cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct parts of texts, their numbers in order, and how many parts each text has."""
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
+    if not len(texts) or ends[0] == ends[-1]:
+        return [], np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+    raw = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    first = np.zeros(len(raw), bool)
+    first[:-1] = (raw[:-1] == ord(" ")) & ~_BLANK[raw[1:]]
+    first[1:] |= _LETTER[raw[:-1]] & _SIGN[raw[1:]]
+    cuts = ends - ends[0]
+    # the end of a text is no place in front of a word
+    last = cuts[1:][np.diff(cuts) > 0] - 1
+    first[last[raw[last] == ord(" ")]] = False
+    first[cuts[:-1][np.diff(cuts) > 0]] = True
+    starts = np.append(np.flatnonzero(first), len(raw))
+    sizes = np.diff(np.searchsorted(starts, cuts))
+    return *distinct_parts(starts + ends[0], texts.buffers()[2]), sizes
+
+
 @lru_cache(1)
 def encoder_for(path: str) -> BpeEncoder:
     """The encoder of a worker process, so that its tasks share what it remembers."""
@@ -395,13 +438,14 @@ def write_tokens(
         def add() -> None:
             writer.add(np.concatenate(ids), names, np.cumsum([len(i) for i in ids]))
 
-        for batch in small_batches(batches, "text", 2_000_000):
+        for batch in small_batches(batches, "text", 6_000_000):
             if out is None:
                 system.create_dir(base, recursive=True)
                 draft = f"{base}/.{part:06d}-{uuid.uuid4().hex}"
                 out = system.open_output_stream(draft)
                 writer = FileWriter(out)
-            found = encoder.encode(batch["text"].to_pylist(), end)
+            flat, ends = encoder.encode_flat(batch["text"], end)
+            found = np.split(flat, ends[:-1])
             for name, i in zip(batch["id"].to_pylist(), found, strict=True):
                 ids.append(i)
                 names.append(name)

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -495,3 +496,26 @@ def test_a_known_chunk_is_looked_up_once():
     for words in (text, "more and others", text, "y" * 70 + " some " + "y" * 70, text):
         whole = Encoder(load(piece_model()), 0.1, 17).encode([words], [4])[0].tolist()
         assert few.encode([words], [4])[0].tolist() == whole
+
+
+def test_a_known_word_is_looked_up_once_in_a_batch():
+    encoder = BpeEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["some words, and some words. and 12 ", None, "some and <|endoftext|> some", "words, 12\u00a0x"] * 30
+    encoder.known = Asked()
+    got = encoder.encode(texts, b"\x02\0\0\0")
+    plain = encoder.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+    assert [g.tolist() for g in got] == [[*f.ids, 2] for f in plain]
+    encoder.known.n = 0
+    assert [g.tolist() for g in encoder.encode(texts)] == [f.ids for f in plain]
+    assert encoder.known.n <= 15 < sum(len((t or "").split()) for t in texts)
+
+
+def test_parts_are_those_of_a_slice_with_texts_that_end_in_a_space():
+    encoder = BpeEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["x ", "y", " ", " ", ".a", "b", ".", None, "", "  ", "\u3000 \u3000a", "c ", "d. 'e's, f_g. \x1c h"]
+    flat, ends = encoder.encode_flat(pa.array(["z ", *texts, " z"]).slice(1, len(texts)))
+    plain = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [g.tolist() for g in np.split(flat, ends[:-1])] == plain
+    none, at = encoder.encode_flat(pa.array([None, ""], pa.string()), b"\x02\0\0\0")
+    assert (none.tolist(), at.tolist()) == ([2, 2], [1, 2])
+    assert encoder.encode([]) == []
