@@ -22,7 +22,7 @@ import re
 import struct
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ _MASK = (1 << 64) - 1
 _STAND_IN = "\ud800"
 _SHORT, _ROWS, _NONE = 40, 6_000, 1 << 30
 # Occurrences whose merges are drawn at once.
-_DRAWS = 200_000
+_DRAWS = 50_000
 _TABLE, _SPREAD = 20, np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -177,14 +177,25 @@ class Pieces:
         The merges are in no order; those of a chunk above ``_SHORT`` are not listed.
         ``joined``: the chunks one after another, if those given have plain spaces.
         """
-        joined = "".join(chunks) if joined is None else joined
-        steps, every = [b""] * len(chunks), np.arange(len(chunks))
+        ids, steps = self.plain_arrays(chunks, "".join(chunks) if joined is None else joined)
+        return list(zip(ids.to_pylist(), steps.to_pylist(), strict=True))
+
+    def plain_arrays(
+        self, chunks: list[str], joined: str
+    ) -> tuple[pa.LargeBinaryArray, pa.LargeBinaryArray]:
+        """``plain_all`` in two arrays, without an object per chunk."""
+        merges, every = [], np.arange(len(chunks))
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
         flat, starts, counts = self.segment_all(
-            joined, lengths, every, np.zeros(len(chunks), np.uint64), 0, steps
+            joined, lengths, every, np.zeros(len(chunks), np.uint64), 0, merges
+        )
+        rows = np.concatenate([np.empty(0, np.int64), *[r for r, _ in merges]])
+        done = np.concatenate([np.empty(0, np.int64), *[m for _, m in merges]])
+        steps = done[np.argsort(rows)].astype("<u8")
+        return (
+            _as_binary(flat[spans(starts, counts)].astype("<i4"), counts),
+            _as_binary(steps, np.bincount(rows, minlength=len(chunks))),
         )
-        raw, lows, highs = flat.tobytes(), (4 * starts).tolist(), (4 * (starts + counts)).tolist()
-        return [(raw[lo:hi], done) for lo, hi, done in zip(lows, highs, steps, strict=True)]
 
     def segment_all(
         self,
@@ -193,12 +204,13 @@ class Pieces:
         which: np.ndarray,
         keys: np.ndarray,
         limit: int,
-        steps: list[bytes] | None = None,
+        steps: list[tuple[np.ndarray, np.ndarray]] | None = None,
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``segment`` of chunks by number, the agendas of equally long ones side by side.
 
         ``joined`` has all chunks one after another. Returns the ids of those in
-        ``which``, and where those of each begin and how many they are.
+        ``which``, and where those of each begin and how many they are. To ``steps``
+        are added the merges of those up to ``_SHORT``, with their places in ``which``.
         """
         firsts, numbers = np.cumsum(lengths) - lengths, self._numbers(joined)
         starts, counts = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
@@ -216,8 +228,7 @@ class Pieces:
             out.append(ids)
             at += len(ids)
             if steps is not None:
-                for r, done in zip(rows.tolist(), _by_row(merges, len(rows)), strict=True):
-                    steps[r] = done
+                steps += [(rows[r], done) for r, done in merges]
         for r in order[short:].tolist():
             first = firsts[which[r]]
             chunk = joined[first : first + lengths[which[r]]]
@@ -341,13 +352,18 @@ def load(model_path: str) -> Pieces:
     return Pieces(model_path)
 
 
-def _by_row(merges: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[bytes]:
-    """The merges of each of ``n`` rows, as bytes."""
-    rows = np.concatenate([np.empty(0, np.int64), *[r for r, _ in merges]])
-    done = np.concatenate([np.empty(0, np.int64), *[m for _, m in merges]])
-    raw = done[np.argsort(rows, kind="stable")].astype("<u8").tobytes()
-    ends = (8 * np.cumsum(np.bincount(rows, minlength=n))).tolist()
-    return [raw[lo:hi] for lo, hi in zip([0, *ends], ends, strict=False)]
+def _as_binary(flat: np.ndarray, counts: np.ndarray) -> pa.LargeBinaryArray:
+    """Rows of ``counts`` numbers each, as bytes."""
+    ends = np.append(0, np.cumsum(counts)) * flat.itemsize
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(flat)]
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), buffers)
+
+
+def _as_numbers(rows: pa.LargeBinaryArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows one after another, and how many each row has."""
+    ends = np.frombuffer(rows.buffers()[1], np.int64)[rows.offset :][: len(rows) + 1]
+    flat = np.frombuffer(rows.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
+    return flat, np.diff(ends) // flat.itemsize
 
 
 def _chunks(text: str) -> list[str]:
@@ -379,13 +395,16 @@ def _cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """Segments texts; the dropout-free merges of ``limit`` to ``2 * limit`` chunks are remembered."""
+    """Segments texts; the dropout-free merges of ``limit`` chunks, or of a batch's, are remembered.
+
+    ``plain`` numbers the remembered chunks; their ids and merges lie in two arrays.
+    """
 
     def __init__(self, pieces: Pieces, dropout: float, seed: int, limit: int = 400_000):
         self.pieces, self.seed, self.limit = pieces, seed, limit
         self.below = int(dropout * (1 << 32))
-        self.plain: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.plain: dict[str, int] = {}
+        self.forms = [pa.array([], pa.large_binary())] * 2
 
     def encode(
         self,
@@ -412,8 +431,7 @@ class Encoder:
         """Ids of texts one after another, their ends, and how many each has without dropout."""
         spaced, which, sizes = _cut(texts)
         ids, steps = self._plain(spaced)
-        plain = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        source = np.frombuffer(b"".join(ids), "<i4")
+        source, plain = _as_numbers(ids, "<i4")
         starts, counts = (np.cumsum(plain) - plain)[which], plain[which]
         ends = np.cumsum(sizes)
         so_far = np.append(0, np.cumsum(counts))
@@ -430,28 +448,25 @@ class Encoder:
             so_far = np.append(0, np.cumsum(counts))
         return source[spans(starts, counts)], so_far[ends], n_plain
 
-    def _plain(self, chunks: list[str]) -> tuple[list[bytes], list[bytes]]:
+    def _plain(self, chunks: list[str]) -> list[pa.LargeBinaryArray]:
         """Ids and merges of distinct chunks without dropout."""
-        found = list(map(self.plain.get, chunks))
-        new = [k for k, f in enumerate(found) if f is None]
-        if len(self.plain) + len(new) > self.limit:
-            # those found are carried over
-            known = {c: f for c, f in zip(chunks, found, strict=True) if f is not None}
-            self.plain, self.older = known, self.plain
-        fresh = []
-        for k in new:
-            f = found[k] = self.older.get(chunks[k])
-            if f is None:
-                fresh.append(k)
-            else:
-                self.plain[chunks[k]] = f
-        left = [chunks[k] for k in fresh]
-        made = self.pieces.plain_all(left, _marked("".join(left)))
-        for k, chunk, f in zip(fresh, left, made, strict=True):
-            found[k] = f
-            if len(chunk) <= 64:
-                self.plain[chunk] = f
-        return [i for i, _ in found], [m for _, m in found]
+        at = np.fromiter(map(self.plain.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new, first = np.flatnonzero(at < 0), len(self.plain)
+        left = [chunks[k] for k in new.tolist()]
+        at[new] = first + np.arange(len(left))
+        made = self.pieces.plain_arrays(left, _marked("".join(left)))
+        forms = [pa.concat_arrays(both) for both in zip(self.forms, made, strict=True)]
+        found = [f.take(pa.array(at)) for f in forms]
+        if first + len(left) > self.limit:
+            # those of this batch are carried over
+            self.plain, first, left, forms = {}, 0, chunks, found
+        short = np.fromiter(map(len, left), np.int64, len(left)) <= 64
+        if not short.all():
+            keep = pa.array(np.append(np.ones(first, bool), short))
+            left, forms = list(compress(left, short)), [f.filter(keep) for f in forms]
+        self.plain.update(zip(left, range(first, first + len(left)), strict=True))
+        self.forms = forms
+        return found
 
     def _keys(self, docs, epochs, sizes: np.ndarray) -> np.ndarray:
         """Key of each occurrence from seed, document, epoch and place in the document."""
@@ -463,8 +478,7 @@ class Encoder:
 
     def _differs(self, chunks, steps, which: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Whether an occurrence skips any of the merges its chunk has without dropout."""
-        merges = np.frombuffer(b"".join(steps), "<u8")
-        counts = np.fromiter(map(len, steps), np.int64, len(steps)) // 8
+        merges, counts = _as_numbers(pa.array(steps, pa.large_binary()), "<u8")
         starts = np.cumsum(counts) - counts
         out = (np.fromiter(map(len, chunks), np.int64, len(chunks)) > _SHORT)[which]
         for lo in range(0, len(which), _DRAWS):

@@ -1,6 +1,7 @@
 """Merge-dropout draws for every occurrence of a word."""
 
 import sys
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -132,3 +133,22 @@ def test_python_calls_do_not_grow_with_the_occurrences():
     words = "the quick brown foxes are over lazy international dogs \U0001f600 "
     calls(words)
     assert calls(words * 550) - calls(words * 50) < 1_500
+
+
+def test_remembered_chunks_take_little_memory():
+    limit = 30_000
+    letters = np.random.default_rng(3).integers(97, 123, (5, limit // 2, 7), np.uint8)
+    texts = [" ".join(words.view("S7").ravel().astype(str)) for words in letters]
+    encoder = Encoder(load(PATH), 0.1, 17, limit)
+    encoder.encode(["warm up"], [0])
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    for text in texts:
+        encoder.encode([text], [1])
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(encoder.plain) <= limit and held < 300 * limit
+    # a text without spaces is not kept
+    encoder.encode(["x" * 300_000], [1])
+    assert pa.total_allocated_bytes() - before < 300 * limit
+    assert all(len(c) <= 64 for c in encoder.plain) and len(encoder.forms[0]) == len(encoder.plain)
