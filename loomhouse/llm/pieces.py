@@ -398,6 +398,7 @@ class Encoder:
     """Segments texts; the dropout-free merges of ``limit`` chunks, or of a batch's, are remembered.
 
     ``plain`` numbers the remembered chunks; their ids and merges lie in two arrays.
+    A chunk is remembered when it comes twice in a batch; most that come once are rare.
     """
 
     def __init__(self, pieces: Pieces, dropout: float, seed: int, limit: int = 400_000):
@@ -430,7 +431,7 @@ class Encoder:
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of texts one after another, their ends, and how many each has without dropout."""
         spaced, which, sizes = _cut(texts)
-        ids, steps = self._plain(spaced)
+        ids, steps = self._plain(spaced, np.bincount(which, minlength=len(spaced)))
         source, plain = _as_numbers(ids, "<i4")
         starts, counts = (np.cumsum(plain) - plain)[which], plain[which]
         ends = np.cumsum(sizes)
@@ -448,8 +449,8 @@ class Encoder:
             so_far = np.append(0, np.cumsum(counts))
         return source[spans(starts, counts)], so_far[ends], n_plain
 
-    def _plain(self, chunks: list[str]) -> list[pa.LargeBinaryArray]:
-        """Ids and merges of distinct chunks without dropout."""
+    def _plain(self, chunks: list[str], times: np.ndarray) -> list[pa.LargeBinaryArray]:
+        """Ids and merges of distinct chunks without dropout; ``times``: how often each occurs."""
         at = np.fromiter(map(self.plain.get, chunks, repeat(-1)), np.int64, len(chunks))
         new, first = np.flatnonzero(at < 0), len(self.plain)
         left = [chunks[k] for k in new.tolist()]
@@ -457,13 +458,14 @@ class Encoder:
         made = self.pieces.plain_arrays(left, _marked("".join(left)))
         forms = [pa.concat_arrays(both) for both in zip(self.forms, made, strict=True)]
         found = [f.take(pa.array(at)) for f in forms]
-        if first + len(left) > self.limit:
+        again = times > 1
+        if first + np.count_nonzero(again[new]) > self.limit:
             # those of this batch are carried over
-            self.plain, first, left, forms = {}, 0, chunks, found
-        short = np.fromiter(map(len, left), np.int64, len(left)) <= 64
-        if not short.all():
-            keep = pa.array(np.append(np.ones(first, bool), short))
-            left, forms = list(compress(left, short)), [f.filter(keep) for f in forms]
+            again[at < first] = True
+            self.plain, first, left, forms, new = {}, 0, chunks, found, slice(None)
+        keep = again[new] & (np.fromiter(map(len, left), np.int64, len(left)) <= 64)
+        every = pa.array(np.append(np.ones(first, bool), keep))
+        left, forms = list(compress(left, keep.tolist())), [f.filter(every) for f in forms]
         self.plain.update(zip(left, range(first, first + len(left)), strict=True))
         self.forms = forms
         return found
