@@ -32,7 +32,7 @@ from loomhouse.lineage.retrieval import nearest, nearest_many, with_neighbours
 from loomhouse.lineage.vector_index import build_index, recall
 from loomhouse.session import fresh_folder, materialize
 from loomhouse.sources.catalog import catalog_of, register_files, session_catalog
-from loomhouse.sources.files import read_whole_texts
+from loomhouse.sources.files import read_whole_texts, write_folders
 
 
 def document_texts(spark, sf) -> DataFrame:
@@ -307,9 +307,10 @@ def q_docs_read(spark, sf):
         ).alias("lineage"),
     )
     folder = fresh_folder(spark, "documents")
-    table(spark, sf, "supplier").select(
-        F.to_json(doc).alias("value"), F.col("s_suppkey").alias("k")
-    ).write.partitionBy("k").text(folder)
+    write_folders(
+        table(spark, sf, "supplier").select(F.to_json(doc).alias("value"), F.col("s_suppkey").alias("k")),
+        "k", folder,
+    )
     number = F.regexp_extract("path", r"k=(\d+)/", 1)
     texts = read_whole_texts(spark, folder, "*.txt").select(
         F.concat(F.lit("d"), number, F.lit(".json")).alias("name"), "content"

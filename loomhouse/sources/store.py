@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
+def place(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path, for tasks, of a folder named as Spark names it."""
+    return fs.FileSystem.from_uri(uri if "://" in uri else re.sub(r"^(file:)?/+", "file:///", uri))
+
+
 class AlreadyThere(RuntimeError):
     """Another writer published the name first."""
 

@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from loomhouse.bindings import QUERIES
 from loomhouse.functions import fixed_width as fw
 from loomhouse.functions import labels
 from loomhouse.plans.warehouse import stage_customers
@@ -18,6 +19,7 @@ from loomhouse.sources.files import (
     read_whole_texts,
     read_wire_lines,
     split_wire_lines,
+    write_folders,
 )
 from loomhouse.sources.xml import column_names, flatten_actions, read_actions, read_any_actions
 
@@ -231,6 +233,48 @@ def test_whole_texts(spark, tmp_path):
     assert row[0]["path"].endswith("/a/x.sql")
 
 
+def test_folders_are_written_as_by_partitions_and_listed_by_few_tasks(spark, tmp_path):
+    rows = [(k, f"é {k}\nend") for k in range(200)] + [(7, None), (7, ""), (7, "é 7\nend"), (None, "none")]
+    df = spark.createDataFrame(rows, "k long, value string").coalesce(1)
+    df.write.partitionBy("k").text(f"{tmp_path}/plain")
+    write_folders(df, "k", f"{tmp_path}/own")
+    write_folders(df.limit(0), "k", f"{tmp_path}/empty")
+
+    def found(folder):
+        read = read_whole_texts(spark, f"{tmp_path}/{folder}", "*.txt")
+        return sorted((p.split("/")[-2], text) for _, p, text in read.collect())
+
+    spark.sparkContext.setJobGroup("listing", "one listing of 201 folders")
+    try:
+        read_whole_texts(spark, f"{tmp_path}/own", "*.txt")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages) < 100
+    assert found("own") == found("plain") and len(found("own")) == 201 and found("empty") == []
+    assert dict(found("own"))["k=7"] == "é 7\nend\n\n\né 7\nend\n"
+
+
+@pytest.mark.parametrize("query", ["lineage_docs_read"])
+def test_files_of_their_own_are_written_by_many_tasks(spark, tmp_path, monkeypatch, query):
+    """Tasks by the number of folders, though the table is one small file."""
+    monkeypatch.setattr("loomhouse.sources.files.FOLDERS_PER_TASK", 5)
+    spark.createDataFrame(
+        [(k, f"s{k}", k % 25, 1.5) for k in range(100)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"
+    ).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.sparkContext.setJobGroup(query, query)
+    try:
+        rows = QUERIES[query](spark, str(tmp_path)).count()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(query) for s in tracker.getJobInfo(j).stageIds]
+    known = [i for i in map(tracker.getStageInfo, stages) if i]
+    # the writing tasks are the only ones of that number: 100 // 5 + 1
+    assert rows in (100, 200) and 21 in {i.numTasks for i in known}
+
+
 def test_catalog_lists_columns(spark):
     df = spark.range(1).withColumn("v", F.lit("x"))
     rows = catalog_of(spark, {"s.t": df}, {"s.t": ["id"]}).orderBy("position").collect()
