@@ -20,7 +20,7 @@ from loomhouse.lineage.reviews import (
 )
 from loomhouse.operators.aggregates import usage_stats
 from loomhouse.session import fresh_folder
-from loomhouse.sources.files import read_whole_texts
+from loomhouse.sources.files import read_whole_texts, write_folders
 
 
 def padded(c: str):
@@ -262,10 +262,13 @@ def q_script_text_counts(spark, sf):
 def q_script_files_read(spark, sf):
     """Script files of the suppliers, a folder each, read back whole."""
     folder = fresh_folder(spark, "scripts")
-    table(spark, sf, "supplier").select(
-        F.concat(F.lit("SELECT * FROM t\nWHERE k = "), "s_suppkey").alias("value"),
-        F.col("s_suppkey").alias("k"),
-    ).write.partitionBy("k").text(folder)
+    write_folders(
+        table(spark, sf, "supplier").select(
+            F.concat(F.lit("SELECT * FROM t\nWHERE k = "), "s_suppkey").alias("value"),
+            F.col("s_suppkey").alias("k"),
+        ),
+        "k", folder,
+    )
     texts = read_whole_texts(spark, folder, "*.txt")
     number = F.regexp_extract("path", r"k=(\d+)/", 1).cast("long")
     return texts.select(

@@ -256,7 +256,7 @@ def test_folders_are_written_as_by_partitions_and_listed_by_few_tasks(spark, tmp
     assert dict(found("own"))["k=7"] == "é 7\nend\n\n\né 7\nend\n"
 
 
-@pytest.mark.parametrize("query", ["lineage_docs_read"])
+@pytest.mark.parametrize("query", ["lineage_docs_read", "script_files_read"])
 def test_files_of_their_own_are_written_by_many_tasks(spark, tmp_path, monkeypatch, query):
     """Tasks by the number of folders, though the table is one small file."""
     monkeypatch.setattr("loomhouse.sources.files.FOLDERS_PER_TASK", 5)
