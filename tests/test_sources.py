@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomhouse.bindings import QUERIES
+from loomhouse.bindings import QUERIES, staging
 from loomhouse.functions import fixed_width as fw
 from loomhouse.functions import labels
 from loomhouse.plans.warehouse import stage_customers
 from loomhouse.schemas import TRADE_FILE, WAREHOUSE
+from loomhouse.session import materialize
+from loomhouse.sources import xml
 from loomhouse.sources.catalog import catalog_of, register_files, session_catalog
 from loomhouse.sources.files import (
     read_batch_dates,
@@ -125,6 +129,49 @@ def test_xml_splits_with_asides_in_many_blocks(spark, tmp_path):
     assert rows == {k: "y" * (k % 700) + "</A>" for k in range(600)} and rejects.isEmpty()
 
 
+def test_stored_leaves_keep_no_texts_and_few_places(spark, tmp_path, monkeypatch):
+    """Of each file only the records that are first with a path are sorted; columns as the files show them."""
+    kept = []
+    monkeypatch.setattr(xml, "materialize", lambda df, name: kept.append(materialize(df, name)) or kept[-1])
+    (tmp_path / "a.xml").write_text('<L><A n="0"><z>1</z></A><A n="0"><x.</A></L>')
+    # the larger file is read first
+    more = "".join(f'<A n="{k}"><y>{k}</y><z>{k}</z><v>{"long" * 9}</v></A>' for k in range(1, 500))
+    (tmp_path / "b.xml").write_text(f"<L>{more}</L>")
+    flat, rejects = read_any_actions(spark, str(tmp_path), "A")
+    assert flat.columns == ["n", "z", "y", "v"] and flat.count() == 500
+    assert [r["record"] for r in rejects.collect()] == ['<A n="0"><x.</A>']
+    (leaves,) = kept
+    assert leaves.where("reason is null and x is not null").isEmpty()
+    assert leaves.where("first is not null").count() <= 2
+
+
+def test_first_places_hold_in_any_order_and_with_few_paths_remembered(monkeypatch):
+    monkeypatch.setattr(xml, "MOST_COLUMNS", 1)
+    rows = [("b", 0, 1, 0, "<A><p/><q/></A>"), ("b", 0, 0, 1, "<A><q/></A>"), ("a", 9, 9, 0, "<A><r/><p/></A>")]
+    batch = pa.RecordBatch.from_pylist(
+        [{"file": f, "piece": {"block": b, "at": at}, "k": k, "x": x} for f, b, at, k, x in rows]
+    )
+    found = [r for b in xml._parsed([batch, batch]) for r in b.to_pylist()]
+    first = {}
+    for r in found:
+        for i in r["first"] or []:
+            place = (r["file"], r["piece"]["block"], r["piece"]["at"], r["k"], i)
+            path = r["leaves"][i][0]
+            first[path] = min(first.get(path, place), place)
+    assert first == {"p": ("a", 9, 9, 0, 1), "q": ("b", 0, 0, 1, 0), "r": ("a", 9, 9, 0, 0)}
+
+
+def test_action_files_are_packed_and_small(spark, monkeypatch):
+    monkeypatch.setattr(staging, "ACTIONS_PER_FILE", 20)
+    nested = staging.nested_actions(spark, "/root/testdata/sf0.001").limit(70).coalesce(1)
+    folder = Path(staging.action_files(nested).removeprefix("file:"))
+    packed = list(folder.glob("*.xml.gz"))
+    assert len(packed) == 4 and not list(folder.glob("*.xml"))
+    want = nested.select("_ActionTS", "Customer._C_ID").collect()
+    got = read_actions(spark, str(folder), "Action").select("_ActionTS", "Customer._C_ID").collect()
+    assert sorted(got) == sorted(want)
+
+
 def test_column_names_are_numbered():
     assert column_names(["A.x", "B.x", "x", "A.y"]) == ["x", "x_1", "x_2", "y"]
 
