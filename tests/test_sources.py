@@ -254,6 +254,16 @@ def test_tolerant_delimited_read(spark, tmp_path):
     assert b["tradeid"] == 2 and b["t_dts"] is None
 
 
+def test_delimited_files_are_packed_and_small(spark, monkeypatch):
+    monkeypatch.setattr(staging, "LINES_PER_FILE", 20)
+    rows = [(k, None if k % 3 else "", f"é \"{k}\"") for k in range(70)]
+    df = spark.createDataFrame(rows, "a long, b string, c string").coalesce(1)
+    folder = Path(staging.write_delimited(df, "packed").removeprefix("file:"))
+    assert len(list(folder.glob("*.csv.gz"))) == 4 and not list(folder.glob("*.csv"))
+    got = read_delimited(spark, str(folder), df.schema).select("a", "b").collect()
+    assert sorted(r["a"] for r in got) == list(range(70)) and {r["b"] for r in got} == {None}
+
+
 def test_date_file_into_its_table(spark, tmp_path):
     (tmp_path / "Date.txt").write_text(
         "19500101|1950-01-01|January 1, 1950|1950|1950|19501|1950 Q1|19501|1950 January"
