@@ -264,6 +264,11 @@ def test_delimited_files_are_packed_and_small(spark, monkeypatch):
     assert sorted(r["a"] for r in got) == list(range(70)) and {r["b"] for r in got} == {None}
 
 
+def test_wire_files_are_packed(spark):
+    lines = staging.staged_wire(spark, "/root/testdata/sf0.001")
+    assert lines.count() > 0 and all(f.endswith(".txt.gz") for f in lines.inputFiles() if "_audit" not in f)
+
+
 def test_date_file_into_its_table(spark, tmp_path):
     (tmp_path / "Date.txt").write_text(
         "19500101|1950-01-01|January 1, 1950|1950|1950|19501|1950 Q1|19501|1950 January"
