@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from pathlib import Path
 
 import pyarrow as pa
@@ -269,6 +270,20 @@ def test_wire_files_are_packed(spark):
     assert lines.count() > 0 and all(f.endswith(".txt.gz") for f in lines.inputFiles() if "_audit" not in f)
 
 
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before = shuffled()
+    counts = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(100):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left and counts.count() == 7
+
+
 def test_date_file_into_its_table(spark, tmp_path):
     (tmp_path / "Date.txt").write_text(
         "19500101|1950-01-01|January 1, 1950|1950|1950|19501|1950 Q1|19501|1950 January"
